@@ -4,6 +4,7 @@ from .exprs import (  # noqa: F401
     first_nonnull,
     half_even,
     half_up,
+    ident,
     mode_or,
     money,
     most_frequent,
@@ -11,6 +12,7 @@ from .exprs import (  # noqa: F401
     percent,
     ratio,
     sum_or_zero,
+    text_literal,
     whole_days,
     year_month,
 )

@@ -33,8 +33,7 @@ def churn_base(fact: DataFrame, customers: DataFrame, products: DataFrame, payme
     fact's own key. Written dimensions let Catalyst broadcast a small one by its file size and let
     adaptive execution split a product that holds many orders.
     """
-    delivered = fact.filter(
-        (F.col("order_status") == "delivered") & F.col("order_purchase_timestamp").isNotNull())
+    delivered = fact.filter("order_status = 'delivered' AND order_purchase_timestamp IS NOT NULL")
     return (
         delivered.join(payments.select("order_id", "payment_type"), "order_id", "left")
         .join(customers.select("customer_id", "customer_unique_id", "customer_state"), "customer_id")
@@ -68,7 +67,7 @@ def churn_rate(labels: DataFrame, label: str = "churned") -> DataFrame:
 
 def _mean(column: str) -> Column:
     # money and delays are decimals: an exact sum, divided once, does not depend on row order
-    return F.sum(column).cast("double") / F.nullif(F.count(column), F.lit(0))
+    return F.expr(f"CAST(sum({column}) AS DOUBLE) / nullif(count({column}), 0)")
 
 
 def customer_profile(base: DataFrame, days: int = CHURN_DAYS) -> DataFrame:

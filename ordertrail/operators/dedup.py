@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import ident
+
 
 def dedup_first(df: DataFrame, key: str, order_by: Sequence[str] | None = None) -> DataFrame:
     """Keep the first row of every key in the stated order (default: the smallest of the other columns).
@@ -14,11 +16,10 @@ def dedup_first(df: DataFrame, key: str, order_by: Sequence[str] | None = None)
     Written as an aggregation, so a key with very many copies is reduced inside each task before
     anything is shuffled. NULL counts as a key of its own.
     """
-    rest = [c for c in df.columns if c != key]
-    lead = list(order_by or [])
+    rest = [ident(c) for c in df.columns if c != key]
     if not rest:
         return df.distinct()
     # the remaining columns close the order, so that it is total
-    ranked = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(lead)], *rest)
-    first = df.groupBy(key).agg(F.min(ranked).alias("_first"))
-    return first.select(*[F.col(key) if c == key else F.col("_first")[c].alias(c) for c in df.columns])
+    ranked = [f"{ident(c)} AS o{i}" for i, c in enumerate(order_by or [])] + rest
+    first = df.groupBy(key).agg(F.expr(f"min(struct({', '.join(ranked)}))").alias("_first"))
+    return first.selectExpr(*[ident(c) if c == key else f"_first.{ident(c)}" for c in df.columns])

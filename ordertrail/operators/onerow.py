@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import ident
+
 
 def with_totals(df: DataFrame, *totals: Column) -> DataFrame:
     """Add global aggregates to every row; the broadcast side is exactly one row."""
@@ -19,6 +19,7 @@ def with_overall_max(grouped: DataFrame, column: str, name: str) -> DataFrame:
     The maximum is taken of a struct that starts with ``column`` and holds all others. Both uses of
     ``grouped`` then need the same columns, so Spark runs its shuffle once and reads it twice.
     """
-    others: Sequence[str] = [c for c in grouped.columns if c != column]
-    top = F.max(F.when(F.col(column).isNotNull(), F.struct(column, *others)))[column]
+    others = [ident(c) for c in grouped.columns if c != column]
+    first = ident(column)
+    top = F.expr(f"max(CASE WHEN {first} IS NOT NULL THEN struct({', '.join([first, *others])}) END).{first}")
     return grouped.crossJoin(F.broadcast(grouped.agg(top.alias(name))))

@@ -15,20 +15,17 @@ Reference = tuple[str, DataFrame, bool]
 def fk_filter(fact: DataFrame, refs: Sequence[Reference]) -> DataFrame:
     """Keep the fact rows whose every reference exists in its dimension.
 
-    Where NULL is allowed, one NULL row joins the dimension's keys and keys are compared NULL-safe.
-    That keeps every reference a hash or sort-merge semi join; an ``OR IS NULL`` in the condition
-    would make it a nested loop.
+    Keys are compared NULL-safe, and where NULL is allowed one NULL row joins the dimension's keys. That
+    keeps every reference a hash or sort-merge semi join; an ``OR IS NULL`` in the condition would make
+    it a nested loop. Both sides are shuffled for the join itself, so that adaptive execution can split
+    a key that holds many rows.
     """
     for key, dim, nullable in refs:
-        keys = dim.select(key)
+        keys = dim.select(F.col(key).alias("_ref")).filter(F.col("_ref").isNotNull())
         if nullable:
-            absent = dim.sparkSession.range(1).select(F.lit(None).cast(keys.schema[key].dataType).alias(key))
+            absent = dim.sparkSession.range(1).select(F.lit(None).cast(keys.schema["_ref"].dataType).alias("_ref"))
             keys = keys.unionByName(absent)
-        else:
-            fact = fact.filter(F.col(key).isNotNull())
-        probe = keys.select(F.col(key).alias("_ref"))
-        match = F.col(key).eqNullSafe(F.col("_ref")) if nullable else F.col(key) == F.col("_ref")
-        fact = fact.join(probe, match, "left_semi")
+        fact = fact.join(keys, F.col(key).eqNullSafe(F.col("_ref")), "left_semi")
     return fact
 
 

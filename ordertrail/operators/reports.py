@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import half_up, percent, ratio, year_month
+from ..functions import half_up, ident, percent, ratio, text_literal, year_month
 
 # Lifecycle stages in order, each with the statuses that have reached it.
 # The second stage is every known status but the first one.
@@ -24,34 +24,32 @@ REACHED = {
 }
 
 
-def lifecycle_stages(status: str = "order_status") -> list[tuple[str, Column]]:
-    """The six cumulative stages as (name, predicate); a NULL status has reached only the first."""
-    stages = [("created", F.lit(True)), ("approved", F.col(status) != "created")]
-    return stages + [(name, F.col(status).isin(reached)) for name, reached in REACHED.items()]
+def lifecycle_stages(status: str = "order_status") -> list[tuple[str, str]]:
+    """The six cumulative stages as (name, SQL predicate); a NULL status has reached only the first."""
+    def one_of(names: Sequence[str]) -> str:
+        return f"{ident(status)} IN ({', '.join(map(text_literal, names))})"
+    stages = [("created", "true"), ("approved", f"{ident(status)} <> 'created'")]
+    return stages + [(name, one_of(reached)) for name, reached in REACHED.items()]
 
 
-def stage_counts(df: DataFrame, stages: Sequence[tuple[str, Column]], by: Sequence[str] = ()) -> DataFrame:
+def stage_counts(df: DataFrame, stages: Sequence[tuple[str, str]], by: Sequence[str] = ()) -> DataFrame:
     """One wide row (per segment) with the number of orders that reached each stage."""
-    return df.groupBy(*by).agg(*[F.count_if(pred).alias(name) for name, pred in stages])
+    return df.groupBy(*by).agg(*[F.expr(f"count_if({predicate}) AS {ident(name)}") for name, predicate in stages])
 
 
 def unpivot_stages(wide: DataFrame, names: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Turn stage columns into rows (step, stage, cnt, total) in one pass over ``wide``."""
-    rows = [
-        F.struct(F.lit(i).alias("step"), F.lit(name).alias("stage"), F.col(name).alias("cnt"),
-                 F.col(names[0]).alias("total"))
-        for i, name in enumerate(names, 1)
-    ]
-    return wide.select(*by, F.inline(F.array(*rows)))
+    rows = ", ".join(f"{i}, {text_literal(name)}, {ident(name)}, {ident(names[0])}" for i, name in enumerate(names, 1))
+    return wide.selectExpr(*map(ident, by), f"stack({len(names)}, {rows}) AS (step, stage, cnt, total)")
 
 
 def dropoff(df: DataFrame, count: str = "cnt", step: str = "step", by: Sequence[str] = ()) -> DataFrame:
     """Add the percentage lost since the previous step. The input is one row per step and segment."""
     previous = F.lag(count).over(Window.partitionBy(*by).orderBy(step))
-    return df.withColumn("dropoff_pct", percent(previous - F.col(count), F.nullif(previous, F.lit(0))))
+    return df.withColumn("dropoff_pct", percent(previous - F.col(count), previous))
 
 
-def funnel_conversion(df: DataFrame, stages: Sequence[tuple[str, Column]] | None = None,
+def funnel_conversion(df: DataFrame, stages: Sequence[tuple[str, str]] | None = None,
                       by: Sequence[str] = ()) -> DataFrame:
     """Orders per stage, share of all orders, and percentage lost since the stage before."""
     stages = lifecycle_stages() if stages is None else stages
@@ -70,12 +68,9 @@ def _by_status(fact: DataFrame) -> DataFrame:
 
     The total is taken over the few grouped rows, so the fact is read once.
     """
-    grouped = fact.groupBy("order_status").agg(
-        F.count("*").alias("order_count"),
-        F.sum("order_revenue").alias("revenue"),
-        F.count("order_revenue").alias("with_revenue"),
-    )
-    return grouped.withColumn("total", F.sum("revenue").over(Window.partitionBy()))
+    grouped = fact.groupBy("order_status").agg(*map(F.expr, [
+        "count(*) AS order_count", "sum(order_revenue) AS revenue", "count(order_revenue) AS with_revenue"]))
+    return grouped.withColumn("total", F.expr("sum(revenue) OVER ()"))
 
 
 def revenue_leakage(fact: DataFrame) -> DataFrame:
@@ -88,7 +83,7 @@ def revenue_leakage(fact: DataFrame) -> DataFrame:
         .select(
             "order_status", "order_count", gmv.alias("stage_gmv"),
             percent(gmv, "total").alias("pct_of_total_gmv"),
-            half_up(ratio(gmv, F.nullif("order_count", F.lit(0))), 2).alias("avg_order_value"),
+            half_up(ratio(gmv, "order_count"), 2).alias("avg_order_value"),
         )
         .orderBy(F.desc_nulls_first("stage_gmv"), "order_status")
     )
@@ -102,18 +97,22 @@ def revenue_by_status(fact: DataFrame) -> DataFrame:
         .select(
             "order_status", "order_count", half_up("revenue", 2).alias("stage_gmv"),
             percent("revenue", "total").alias("pct_of_total_gmv"),
-            half_up(ratio("revenue", F.nullif("with_revenue", F.lit(0))), 2).alias("avg_order_value"),
+            half_up(ratio("revenue", "with_revenue"), 2).alias("avg_order_value"),
         )
         .orderBy(F.desc_nulls_first("stage_gmv"), "order_status")
     )
 
 
 def _rollup_by_dimension(fact: DataFrame, dim: DataFrame, key: str, attribute: str,
-                         partials: Sequence[Column], finals: Sequence[Column], min_orders: int) -> DataFrame:
-    """Aggregate by foreign key, look the attribute up, and roll the partial results up to it."""
-    per_key = fact.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"), *partials)
+                         partials: Sequence[str], finals: Sequence[str], min_orders: int) -> DataFrame:
+    """Aggregate by foreign key, look the attribute up, and roll the partial results up to it.
+
+    ``partials`` are SQL aggregates per key, ``finals`` combine them.
+    """
+    known = fact.filter(f"{ident(key)} IS NOT NULL")
+    per_key = known.groupBy(key).agg(*map(F.expr, ["count(*) AS n", *partials]))
     grouped = per_key.join(dim.select(key, attribute), key).groupBy(attribute)
-    return grouped.agg(F.sum("n").alias("total_orders"), *finals).filter(F.col("total_orders") > min_orders)
+    return grouped.agg(*map(F.expr, ["sum(n) AS total_orders", *finals])).filter(f"total_orders > {int(min_orders)}")
 
 
 def _limited(df: DataFrame, limit: int | None) -> DataFrame:
@@ -121,12 +120,11 @@ def _limited(df: DataFrame, limit: int | None) -> DataFrame:
 
 
 def _cancellations(fact: DataFrame, dim: DataFrame, key: str, attribute: str, min_orders: int) -> DataFrame:
-    canceled = F.col("order_status") == "canceled"
     grouped = _rollup_by_dimension(
         fact, dim, key, attribute,
-        [F.count_if(canceled).alias("c"),
-         F.sum(F.when(canceled, F.col("order_revenue")).otherwise(F.lit(0))).alias("gmv")],
-        [F.sum("c").alias("canceled_orders"), F.sum("gmv").alias("gmv")],
+        ["count_if(order_status = 'canceled') AS c",
+         "sum(CASE WHEN order_status = 'canceled' THEN order_revenue ELSE 0 END) AS gmv"],
+        ["sum(c) AS canceled_orders", "sum(gmv) AS gmv"],
         min_orders,
     )
     return (grouped.withColumn("cancel_rate_pct", percent("canceled_orders", "total_orders"))
@@ -154,32 +152,27 @@ def cancellation_by_category(fact: DataFrame, products: DataFrame, min_orders: i
 def monthly_cohort(fact: DataFrame) -> DataFrame:
     """Delivered orders per calendar month of purchase: orders, distinct customers, revenue, average."""
     return (
-        fact.filter((F.col("order_status") == "delivered") & F.col("order_purchase_timestamp").isNotNull())
-        .groupBy(F.trunc("order_purchase_timestamp", "month").alias("month"))
-        .agg(
-            F.count("*").alias("total_orders"),
-            F.count_distinct("customer_id").alias("unique_customers"),
-            F.sum("order_revenue").alias("gmv"),
-            F.count("order_revenue").alias("with_revenue"),
-        )
+        fact.filter("order_status = 'delivered' AND order_purchase_timestamp IS NOT NULL")
+        .groupBy(F.expr("trunc(order_purchase_timestamp, 'month') AS month"))
+        .agg(*map(F.expr, [
+            "count(*) AS total_orders", "count(DISTINCT customer_id) AS unique_customers",
+            "sum(order_revenue) AS gmv", "count(order_revenue) AS with_revenue"]))
         .orderBy("month")
         .select(
             year_month("month").alias("order_month"), "total_orders", "unique_customers",
             half_up("gmv", 2).alias("monthly_gmv"),
-            half_up(ratio("gmv", F.nullif("with_revenue", F.lit(0))), 2).alias("avg_order_value"),
+            half_up(ratio("gmv", "with_revenue"), 2).alias("avg_order_value"),
         )
     )
 
 
 def _delays(fact: DataFrame, sellers: DataFrame, min_orders: int) -> DataFrame:
-    delay = F.col("delivery_delay_days")
     grouped = _rollup_by_dimension(
-        fact.filter((F.col("order_status") == "delivered") & delay.isNotNull()),
+        fact.filter("order_status = 'delivered' AND delivery_delay_days IS NOT NULL"),
         sellers, "seller_id", "seller_state",
-        [F.sum(delay).alias("days"), F.min(delay).alias("lo"), F.max(delay).alias("hi"),
-         F.count_if(delay > 0).alias("late")],
-        [F.sum("days").alias("days"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
-         F.sum("late").alias("late_deliveries")],
+        ["sum(delivery_delay_days) AS days", "min(delivery_delay_days) AS lo", "max(delivery_delay_days) AS hi",
+         "count_if(delivery_delay_days > 0) AS late"],
+        ["sum(days) AS days", "min(lo) AS lo", "max(hi) AS hi", "sum(late) AS late_deliveries"],
         min_orders,
     )
     return grouped.select(

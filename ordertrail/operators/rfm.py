@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import days_before, half_even, whole_days
+from ..functions import half_even, whole_days
 from .onerow import with_overall_max, with_totals
 from .ordered import exact_quantiles
 
@@ -15,11 +15,8 @@ RFM = ["recency", "frequency", "monetary"]
 
 
 def _delivered(fact: DataFrame) -> DataFrame:
-    return fact.filter(
-        (F.col("order_status") == "delivered")
-        & F.col("order_revenue").isNotNull()
-        & F.col("order_purchase_timestamp").isNotNull()
-    )
+    return fact.filter("""order_status = 'delivered' AND order_revenue IS NOT NULL
+                          AND order_purchase_timestamp IS NOT NULL""")
 
 
 def rfm_base(fact: DataFrame, customers: DataFrame) -> DataFrame:
@@ -39,20 +36,19 @@ def rfm(fact: DataFrame, customers: DataFrame) -> DataFrame:
     before they meet the customer table, so a very frequent buyer is one row in that join.
     """
     per_id = (
-        _delivered(fact).filter(F.col("customer_id").isNotNull()).groupBy("customer_id")
-        .agg(F.max("order_purchase_timestamp").alias("last"), F.count("*").alias("n"),
-             F.sum("order_revenue").alias("revenue"))
+        _delivered(fact).filter("customer_id IS NOT NULL").groupBy("customer_id")
+        .agg(*map(F.expr, ["max(order_purchase_timestamp) AS last", "count(*) AS n", "sum(order_revenue) AS revenue"]))
     )
-    persons = customers.select("customer_id", "customer_unique_id").filter(F.col("customer_unique_id").isNotNull())
+    persons = customers.select("customer_id", "customer_unique_id").filter("customer_unique_id IS NOT NULL")
     per_person = (
         per_id.join(persons, "customer_id").groupBy("customer_unique_id")
-        .agg(F.max("last").alias("last"), F.sum("n").alias("frequency"), F.sum("revenue").alias("monetary"))
+        .agg(*map(F.expr, ["max(last) AS last", "sum(n) AS frequency", "sum(revenue) AS monetary"]))
     )
     return with_overall_max(per_person, "last", "newest").select(
         "customer_unique_id",
-        whole_days(days_before("newest", -1), "last").cast("int").alias("recency"),
+        whole_days("newest + INTERVAL 1 DAY", "last").cast("int").alias("recency"),
         "frequency",
-        F.col("monetary").cast("double").alias("monetary"),
+        F.expr("CAST(monetary AS DOUBLE) AS monetary"),
     )
 
 

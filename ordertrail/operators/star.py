@@ -27,7 +27,7 @@ def dim_sellers(sellers: DataFrame, order_by: Sequence[str] | None = None) -> Da
 
 def _dimension(raw: DataFrame, columns: list[str], key: str, order_by: Sequence[str] | None) -> DataFrame:
     extra = [c for c in order_by or [] if c not in columns]
-    return dedup_first(raw.select(*columns, *extra), key, order_by).select(*columns)
+    return dedup_first(raw.selectExpr(*columns, *extra), key, order_by).drop(*extra)
 
 
 def dim_products(products: DataFrame, translation: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
@@ -36,13 +36,12 @@ def dim_products(products: DataFrame, translation: DataFrame, order_by: Sequence
     The translation is made unique first, so that a repeated line cannot multiply products.
     """
     names = dedup_first(
-        translation.select("product_category_name",
-                           F.col("product_category_name_english").alias("product_category_en")),
+        translation.selectExpr("product_category_name", "product_category_name_english AS product_category_en"),
         "product_category_name",
     )
     raw = [c for c in STAR["dim_products"] if c != "product_category_en"]
     unique = _dimension(products, raw, "product_id", order_by)
-    return unique.join(names, "product_category_name", "left").select(*STAR["dim_products"])
+    return unique.join(names, "product_category_name", "left").selectExpr(*STAR["dim_products"])
 
 
 def dim_payments(payments: DataFrame) -> DataFrame:
@@ -90,19 +89,18 @@ def fact_orders(orders: DataFrame, order_items: DataFrame, reviews: DataFrame,
 
     Money keeps the width of its sum here; the stored width is enforced when the table is written.
     """
-    parsed = orders.select("order_id", "customer_id", "order_status",
-                           *[parse_ts(c).alias(c) for c in LIFECYCLE_TIMESTAMPS])
+    parsed = orders.withColumns({c: parse_ts(c) for c in LIFECYCLE_TIMESTAMPS})
     year, month, weekday = date_parts("order_purchase_timestamp")
     delay = whole_days("order_delivered_customer_date", "order_estimated_delivery_date")
     return (
         parsed.join(items_agg(order_items, line_order), "order_id", "left")
         .join(review_agg(reviews), "order_id", "left")
         .withColumns({
-            "order_revenue": F.col("price") + F.col("freight_value"),
+            "order_revenue": F.expr("price + freight_value"),
             "purchase_year": year,
             "purchase_month": month,
             "purchase_day_of_week": weekday,
             "delivery_delay_days": delay.cast("decimal(10,2)"),
         })
-        .select(*STAR["fact_orders"])
+        .selectExpr(*STAR["fact_orders"])
     )

@@ -42,7 +42,7 @@ def _(t: Tables):
     SELECT product_id, {r("sum(order_revenue) / count(order_revenue)")} AS avg_revenue,
            avg(review_score) AS avg_score FROM fact_orders GROUP BY product_id""")
 def _(t: Tables):
-    mean = ratio(F.sum("order_revenue"), F.nullif(F.count("order_revenue"), F.lit(0)))
+    mean = ratio(F.sum("order_revenue"), F.count("order_revenue"))
     return t.fact.groupBy("product_id").agg(half_up(mean, 2).alias("avg_revenue"),
                                             F.avg("review_score").alias("avg_score"))
 
@@ -69,9 +69,8 @@ def _(t: Tables):
            arg_min(product_id, (order_item_id, product_id, seller_id)) AS first_product
     FROM raw_order_items GROUP BY order_id""")
 def _(t: Tables):
-    later = F.nullif("order_item_id", F.lit(1))
     return t.order_items.groupBy("order_id").agg(
-        first_nonnull(later, LINE_ORDER).alias("first_later_line"),
+        first_nonnull("nullif(order_item_id, 1)", LINE_ORDER).alias("first_later_line"),
         first_nonnull("product_id", LINE_ORDER).alias("first_product"))
 
 

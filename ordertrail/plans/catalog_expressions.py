@@ -40,7 +40,7 @@ def _(t: Tables):
 def _(t: Tables):
     text = F.when(F.col("order_status") == "canceled", F.concat(F.lit("junk "), "order_status")).otherwise(
         F.col(PURCHASED).cast("string"))
-    return t.orders.select("order_id", parse_ts(text).alias("parsed"))
+    return t.orders.select("order_id", text.alias("txt")).select("order_id", parse_ts("txt").alias("parsed"))
 
 
 @query("order_revenue", "SELECT order_id, CAST(price + freight_value AS DOUBLE) AS order_revenue FROM fact_orders")

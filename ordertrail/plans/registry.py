@@ -34,10 +34,8 @@ def query(name: str, sql: str | None = None):
 def comparable(df: DataFrame) -> DataFrame:
     """Decimals leave as doubles and booleans as integers, so that both engines return the same types."""
     casts = {BooleanType: "int", DecimalType: "double"}
-    return df.select(*[
-        F.col(f.name).cast(casts[type(f.dataType)]).alias(f.name) if type(f.dataType) in casts else F.col(f.name)
-        for f in df.schema
-    ])
+    found = {f.name: casts[type(f.dataType)] for f in df.schema if type(f.dataType) in casts}
+    return df.withColumns({name: F.col(name).cast(kind) for name, kind in found.items()}) if found else df
 
 
 def rounded(df: DataFrame, places: int = 6, *columns: str) -> DataFrame:

@@ -8,10 +8,9 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import money
 from ..operators import star
 from ..session import stored
 
@@ -25,11 +24,9 @@ STATUS_BY_REMAINDER = {0: "created", 1: "approved", 2: "invoiced", 3: "processin
                        5: "canceled", 6: "canceled", 7: "unavailable"}
 
 
-def _status(key: str) -> Column:
-    status = F.when(F.col(key) % 97 == 0, F.lit(None))
-    for remainder, name in STATUS_BY_REMAINDER.items():
-        status = status.when(F.col(key) % 20 == remainder, name)
-    return status.otherwise("delivered")
+def _status(key: str) -> str:
+    cases = " ".join(f"WHEN {key} % 20 = {rest} THEN '{name}'" for rest, name in STATUS_BY_REMAINDER.items())
+    return f"CASE WHEN {key} % 97 = 0 THEN NULL {cases} ELSE 'delivered' END"
 
 
 class Tables:
@@ -37,78 +34,73 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._sources: dict[str, DataFrame] = {}
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._sources:
+            self._sources[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._sources[name]
 
     # raw tables
 
-    @cached_property
-    def nations(self) -> DataFrame:
-        return self.source("nation").select("n_nationkey", F.col("n_name").alias("state"))
+    def _with_state(self, table: str, nation_key: str) -> DataFrame:
+        nations = self.source("nation").selectExpr(f"n_nationkey AS {nation_key}", "n_name AS state")
+        return self.source(table).join(nations, nation_key, "left")
 
     @cached_property
     def customers(self) -> DataFrame:
-        c = self.source("customer").join(self.nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        return c.select(
-            F.col("c_custkey").alias("customer_id"), F.expr("c_custkey div 3").alias("customer_unique_id"),
-            F.col("c_mktsegment").alias("customer_city"), F.col("state").alias("customer_state"))
+        return self._with_state("customer", "c_nationkey").selectExpr(
+            "c_custkey AS customer_id", "c_custkey div 3 AS customer_unique_id", "c_mktsegment AS customer_city",
+            "state AS customer_state")
 
     @cached_property
     def sellers(self) -> DataFrame:
-        s = self.source("supplier").join(self.nations, F.col("s_nationkey") == F.col("n_nationkey"), "left")
-        return s.select(F.col("s_suppkey").alias("seller_id"), F.col("s_name").alias("seller_city"),
-                        F.col("state").alias("seller_state"))
+        return self._with_state("supplier", "s_nationkey").selectExpr(
+            "s_suppkey AS seller_id", "s_name AS seller_city", "state AS seller_state")
 
     @cached_property
     def products(self) -> DataFrame:
-        return self.source("part").select(
-            F.col("p_partkey").alias("product_id"), F.col("p_type").alias("product_category_name"),
-            money("p_size").alias("product_weight_g"), money("p_retailprice").alias("product_length_cm"),
-            money("p_size").alias("product_height_cm"), money("p_size").alias("product_width_cm"))
+        return self.source("part").selectExpr(
+            "p_partkey AS product_id", "p_type AS product_category_name",
+            "CAST(p_size AS DECIMAL(10,2)) AS product_weight_g",
+            "CAST(p_retailprice AS DECIMAL(10,2)) AS product_length_cm",
+            "CAST(p_size AS DECIMAL(10,2)) AS product_height_cm", "CAST(p_size AS DECIMAL(10,2)) AS product_width_cm")
 
     @cached_property
     def translation(self) -> DataFrame:
         kinds = self.source("part").select("p_type").filter("p_type <> 'PROMO'").distinct()
-        return kinds.select(F.col("p_type").alias("product_category_name"),
-                            F.lower("p_type").alias("product_category_name_english"))
+        return kinds.selectExpr("p_type AS product_category_name", "lower(p_type) AS product_category_name_english")
 
     @cached_property
     def orders(self) -> DataFrame:
-        shipped = self.source("lineitem").groupBy(F.col("l_orderkey").alias("order_id")).agg(
-            F.min("l_shipdate").alias("order_delivered_carrier_date"),
-            F.max(F.col("l_shipdate") + F.make_dt_interval(F.lit(0), "l_linenumber"))
-            .alias("order_delivered_customer_date"))
-        o = self.source("orders").select(
-            F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
-            _status("o_orderkey").alias("order_status"), F.col("o_orderdate").alias("order_purchase_timestamp"),
-            (F.col("o_orderdate") + F.expr("INTERVAL 6 HOURS")).alias("order_approved_at"),
-            (F.col("o_orderdate") + F.expr("INTERVAL '30 12' DAY TO HOUR")).alias("order_estimated_delivery_date"))
-        return o.join(shipped, "order_id", "left").select(
-            "order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",
-            "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date")
+        shipped = self.source("lineitem").groupBy("l_orderkey").agg(
+            F.expr("min(l_shipdate) AS carrier"),
+            F.expr("max(l_shipdate + make_dt_interval(0, l_linenumber)) AS delivered"))
+        placed = self.source("orders").withColumnRenamed("o_orderkey", "l_orderkey")
+        return placed.join(shipped, "l_orderkey", "left").selectExpr(
+            "l_orderkey AS order_id", "o_custkey AS customer_id", f"{_status('l_orderkey')} AS order_status",
+            "o_orderdate AS order_purchase_timestamp", "o_orderdate + INTERVAL 6 HOURS AS order_approved_at",
+            "carrier AS order_delivered_carrier_date", "delivered AS order_delivered_customer_date",
+            "o_orderdate + INTERVAL '30 12' DAY TO HOUR AS order_estimated_delivery_date")
 
     @cached_property
     def order_items(self) -> DataFrame:
-        price = money("l_extendedprice")
-        return self.source("lineitem").select(
-            F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("order_item_id"),
-            F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("seller_id"),
-            price.alias("price"), money(price * money("l_tax")).alias("freight_value"))
+        price, tax = "CAST(l_extendedprice AS DECIMAL(10,2))", "CAST(l_tax AS DECIMAL(10,2))"
+        return self.source("lineitem").selectExpr(
+            "l_orderkey AS order_id", "l_linenumber AS order_item_id", "l_partkey AS product_id",
+            "l_suppkey AS seller_id", f"{price} AS price", f"CAST({price} * {tax} AS DECIMAL(10,2)) AS freight_value")
 
     @cached_property
     def payments(self) -> DataFrame:
-        off = F.lit(1).cast("decimal(10,2)") - money("l_discount")
-        return self.source("lineitem").select(
-            F.col("l_orderkey").alias("order_id"), F.col("l_returnflag").alias("payment_type"),
-            F.col("l_linenumber").alias("payment_installments"),
-            money(money("l_extendedprice") * off).alias("payment_value"))
+        price, off = "CAST(l_extendedprice AS DECIMAL(10,2))", "CAST(l_discount AS DECIMAL(10,2))"
+        return self.source("lineitem").selectExpr(
+            "l_orderkey AS order_id", "l_returnflag AS payment_type", "l_linenumber AS payment_installments",
+            f"CAST({price} * (CAST(1 AS DECIMAL(10,2)) - {off}) AS DECIMAL(10,2)) AS payment_value")
 
     @cached_property
     def reviews(self) -> DataFrame:
-        return self.source("lineitem").select(
-            F.col("l_orderkey").alias("order_id"),
-            (F.lit(1) + F.col("l_quantity").cast("int") % 5).alias("review_score"))
+        return self.source("lineitem").selectExpr(
+            "l_orderkey AS order_id", "1 + CAST(l_quantity AS INT) % 5 AS review_score")
 
     @property
     def raw(self) -> dict[str, DataFrame]:

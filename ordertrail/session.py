@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # no stack walk for every column expression that is built
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # checkpoints go away with the frame that needed them
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
