@@ -8,24 +8,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .members import keep_members
+
 # (column of the fact, dimension, whether NULL is allowed); the dimension has a column of the same name
 Reference = tuple[str, DataFrame, bool]
 
 
 def fk_filter(fact: DataFrame, refs: Sequence[Reference]) -> DataFrame:
-    """Keep the fact rows whose every reference exists in its dimension.
-
-    Keys are compared NULL-safe, and where NULL is allowed one NULL row joins the dimension's keys. That
-    keeps every reference a hash or sort-merge semi join; an ``OR IS NULL`` in the condition would make
-    it a nested loop. Both sides are shuffled for the join itself, so that adaptive execution can split
-    a key that holds many rows.
-    """
+    """Keep the fact rows whose every reference exists in its dimension, or is NULL where allowed."""
     for key, dim, nullable in refs:
-        keys = dim.select(F.col(key).alias("_ref")).filter(F.col("_ref").isNotNull())
-        if nullable:
-            absent = dim.sparkSession.range(1).select(F.lit(None).cast(keys.schema["_ref"].dataType).alias("_ref"))
-            keys = keys.unionByName(absent)
-        fact = fact.join(keys, F.col(key).eqNullSafe(F.col("_ref")), "left_semi")
+        fact = keep_members(fact, key, dim, allow_null=nullable)
     return fact
 
 

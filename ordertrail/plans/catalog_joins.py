@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import percent
 from ..operators.churn import churn_base, churn_label
+from ..operators.members import keep_members
 from ..operators.onerow import with_totals
 from ..sources import read_sql
 from .oracle_tables import r
@@ -93,7 +94,7 @@ def _(t: Tables):
 def _(t: Tables):
     first = t.fact.groupBy("customer_id").agg(F.min("order_purchase_timestamp").alias("first"))
     early = first.filter(F.col("first") < F.lit("1996-01-01").cast("timestamp_ntz"))
-    return t.fact.select("order_id", "customer_id").join(early, "customer_id", "left_semi")
+    return keep_members(t.fact.select("order_id", "customer_id"), "customer_id", early)
 
 
 @query("t1_order_by", """

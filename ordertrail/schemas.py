@@ -25,6 +25,9 @@ RAW = {
     "translation": "product_category_name string, product_category_name_english string",
 }
 
+# raw files whose unused columns hold free text with line breaks
+FREE_TEXT = {"reviews"}
+
 LIFECYCLE_TIMESTAMPS = [
     "order_purchase_timestamp",
     "order_approved_at",
@@ -96,10 +99,9 @@ NOT_NULL = {
 }
 
 
-def raw_schema(name: str, corrupt: str | None = None) -> StructType:
-    """Read schema of a raw file; ``corrupt`` adds a column that receives lines that do not fit."""
-    ddl = RAW[name] + (f", {corrupt} string" if corrupt else "")
-    return StructType.fromDDL(ddl)
+def raw_schema(name: str) -> StructType:
+    """Read schema of a raw file."""
+    return StructType.fromDDL(RAW[name])
 
 
 def star_schema(name: str) -> StructType:

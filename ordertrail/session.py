@@ -50,9 +50,24 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+_written: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one written table in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete what this process wrote to the shared folder, once no frame needs it; returns how many."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    dropped = 0
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        dropped += bool(path.getFileSystem(conf).delete(path, True))
+    return dropped
 
 
 def stored(df: DataFrame, name: str = "table") -> DataFrame:

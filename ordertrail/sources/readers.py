@@ -7,30 +7,42 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ..schemas import RAW, raw_schema
+from ..schemas import FREE_TEXT, RAW, raw_schema
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, corrupt: str | None = None) -> DataFrame:
-    """Header CSV with a stated schema, so no inference pass over the file.
+def read_csv(spark: SparkSession, path: str, schema: StructType, corrupt: str | None = None,
+             multi_line: bool = False) -> DataFrame:
+    """Columns of a header CSV by name, with the stated types and no inference pass.
 
-    Lines that do not fit keep NULL in the fields that failed; with ``corrupt`` (a string column of
-    the schema) the whole line is kept there.
+    Only the header line is read ahead, since Spark binds a stated schema by position; columns outside
+    the schema are not parsed. Lines that do not fit keep NULL in the fields that failed; with
+    ``corrupt`` (the name of an additional column) the whole line is kept there. ``multi_line`` allows
+    line breaks inside quoted text; such a file cannot be split, so large data should come in many files.
     """
-    reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-    # quotes inside quoted text are doubled, and free text may hold line breaks
-    reader = reader.option("escape", '"').option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+    # quotes inside quoted text are doubled
+    options = {"header": "true", "escape": '"', "multiLine": str(multi_line).lower()}
+    present = spark.read.options(**options).csv(path).columns
+    missing = [f.name for f in schema if f.name not in present and f.name != corrupt]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)}")
+    typed = {f.name: f for f in schema}
+    full = StructType([typed.get(c, StructField(c, StringType())) for c in present])
+    reader = spark.read.options(**options).option("mode", "PERMISSIVE")
     if corrupt:
+        full = full.add(StructField(corrupt, StringType()))
         reader = reader.option("columnNameOfCorruptRecord", corrupt)
-    return reader.csv(path)
+    wanted = [f.name for f in schema] + ([corrupt] if corrupt and corrupt not in typed else [])
+    return reader.schema(full).csv(path).select(*wanted)
 
 
 def load_raw(spark: SparkSession, folder: str, files: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
     """All raw tables by name; ``files`` maps a table to its file name (``<table>.csv`` if absent)."""
     files = files or {}
     return {
-        name: read_csv(spark, f"{folder}/{files.get(name, name + '.csv')}", raw_schema(name))
+        name: read_csv(spark, f"{folder}/{files.get(name, name + '.csv')}", raw_schema(name),
+                       multi_line=name in FREE_TEXT)
         for name in RAW
     }
 

@@ -55,7 +55,9 @@ def load_star(star: Mapping[str, DataFrame], folder: str, kinds: Mapping[str, Ma
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Header CSV. ``single_file`` is for report-sized results only: it writes with one task."""
-    (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).csv(path)
+    writer = (df.coalesce(1) if single_file else df).write.mode("overwrite")
+    # quotes inside quoted text are doubled
+    writer.option("header", True).option("escape", '"').csv(path)
 
 
 def export_all(reports: Mapping[str, Callable[[], DataFrame]], folder: str) -> list[tuple[str, str]]:
