@@ -2,7 +2,10 @@
 
 import pytest
 
+from ordertrail.operators.churn import churn_base
+from ordertrail.operators.members import keep_members
 from ordertrail.plans import registered
+from ordertrail.session import stored
 
 REPORTS = ["funnel_conversion", "revenue_leakage", "revenue_by_status", "cancellation_by_state",
            "cancellation_by_category_top10", "monthly_cohort", "delivery_delay_by_state"]
@@ -63,3 +66,49 @@ def test_no_global_sort_in_one_task(spark, folder, no_broadcast):
         for line in text.splitlines():
             # the windows without a key run over one row per range
             assert not ("Window" in line and "before" in line), line
+
+
+@pytest.fixture()
+def small_skew_limits(spark, no_broadcast):
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+            "spark.sql.shuffle.partitions": "16"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k in conf:
+        spark.conf.unset(k)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def hot_facts(spark, rows=60_000):
+    """A third of all orders is of one customer and one product."""
+    return spark.range(rows).repartition(8).selectExpr(
+        "id AS order_id", "CASE WHEN id % 3 = 0 THEN 7 ELSE id % 1000 END AS customer_id",
+        "CASE WHEN id % 3 = 0 THEN 5 ELSE id % 900 END AS product_id", "'delivered' AS order_status",
+        "TIMESTAMP_NTZ '2018-01-01 00:00:00' + make_dt_interval(CAST(id % 300 AS INT)) AS order_purchase_timestamp",
+        "CAST(id % 100 AS DECIMAL(10,2)) AS order_revenue", "CAST(1 AS DECIMAL(10,2)) AS price",
+        "CAST(1 AS DECIMAL(10,2)) AS freight_value", "CAST(id % 5 AS INT) AS review_score",
+        "CAST(id % 9 AS DECIMAL(10,2)) AS delivery_delay_days", "2018 AS purchase_year",
+        "CAST(id % 12 AS INT) AS purchase_month", "CAST(id % 7 AS INT) AS purchase_day_of_week")
+
+
+def test_membership_splits_a_hot_key(spark, small_skew_limits):
+    facts = hot_facts(spark)
+    # a dimension that comes partitioned by its key, as the builders return it
+    members = spark.range(1000).groupBy("id").count().selectExpr("id AS customer_id")
+    kept = keep_members(facts, "customer_id", members)
+    assert kept.collect() and "skew=true" in plan(kept)
+    assert kept.count() == 60_000
+
+
+def test_churn_base_splits_hot_customers_and_products(spark, small_skew_limits):
+    facts = hot_facts(spark)
+    customers = stored(spark.range(1000).selectExpr("id AS customer_id", "id div 3 AS customer_unique_id",
+                                                    "concat('S', id % 20) AS customer_state"))
+    products = stored(spark.range(900).selectExpr("id AS product_id", "concat('c', id % 7) AS product_category_en"))
+    payments = spark.range(60_000).selectExpr("id AS order_id", "'card' AS payment_type")
+    base = churn_base(facts, customers, products, payments)
+    assert len(base.collect()) == 60_000
+    assert plan(base).split("Initial Plan")[0].count("skew=true") >= 2
