@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import days_before, first_nonnull, mode_or, sum_or_zero
+from ..functions import days_before, first_nonnull, ident, mode_or, sum_or_zero, text_literal
 from ..session import stored
 from .onerow import with_overall_max
 from .ordered import running_totals
@@ -102,11 +102,11 @@ def label_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     NULL counts as the value 'nan'. The values are ranked by range partitions, not in one task.
     """
-    values = F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c).cast("string"), F.lit("nan")).alias("value"))
-                       for c in columns])
-    distinct = df.select(F.inline(values)).distinct().withColumn("one", F.lit(1).cast("bigint"))
-    return running_totals(distinct, ["value"], ["one"], ["column"]).select(
-        "column", "value", F.col("before_one").cast("int").alias("code"))
+    pairs = ", ".join(f"struct({text_literal(c)} AS column, coalesce(CAST({ident(c)} AS STRING), 'nan') AS value)"
+                      for c in columns)
+    distinct = df.selectExpr(f"inline(array({pairs}))").distinct().selectExpr("*", "1L AS one")
+    return running_totals(distinct, ["value"], ["one"], ["column"]).selectExpr(
+        "column", "value", "CAST(before_one AS INT) AS code")
 
 
 def label_encode(df: DataFrame, columns: Sequence[str] = tuple(CATEGORICAL)) -> DataFrame:
@@ -114,10 +114,10 @@ def label_encode(df: DataFrame, columns: Sequence[str] = tuple(CATEGORICAL)) ->
     codes = stored(label_codes(df, columns), "codes")
     sizes = {r["column"]: r["count"] for r in codes.groupBy("column").count().collect()}
     for col in columns:
-        lookup = codes.filter(F.col("column") == col).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+        lookup = codes.filter(F.col("column") == col).selectExpr("value AS _value", "code AS _code")
         if sizes.get(col, 0) <= BROADCAST_CODES:
             lookup = F.broadcast(lookup)
-        text = F.coalesce(F.col(col).cast("string"), F.lit("nan"))
+        text = F.expr(f"coalesce(CAST({ident(col)} AS STRING), 'nan')")
         df = df.join(lookup, text == F.col("_value"), "left").withColumn(col, F.col("_code")).drop("_value", "_code")
     return df
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from multiprocessing.pool import ThreadPool
 
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -23,16 +26,40 @@ def as_vectors(df: DataFrame, columns: Sequence[str], output: str = "features")
     return VectorAssembler(inputCols=list(columns), outputCol=output).transform(df)
 
 
+def _in_parallel(df: DataFrame, tasks: Sequence[Callable], parallelism: int) -> list:
+    """Run independent Spark jobs from a few threads, so that small fits share the cluster."""
+    with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
+        return pool.map(lambda task: task(), map(inheritable_thread_target(df.sparkSession), tasks))
+
+
+@contextmanager
+def _kept(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep ``df`` cached inside the block, unless the caller already does."""
+    ours = df.storageLevel == StorageLevel.NONE
+    if ours:
+        df.persist()
+    try:
+        yield df
+    finally:
+        if ours:
+            df.unpersist()
+
+
+def _best_fits(vectors: DataFrame, ks: Sequence[int], n_init: int, max_iter: int, tol: float, seed: int,
+               parallelism: int) -> list[KMeansModel]:
+    """Per k the fit with the smallest cost over ``n_init`` seeds."""
+    def task(k: int, restart: int) -> Callable[[], KMeansModel]:
+        return lambda: KMeans(k=k, seed=seed + restart, maxIter=max_iter, tol=tol).fit(vectors)
+
+    fits = _in_parallel(vectors, [task(k, i) for k in ks for i in range(n_init)], parallelism)
+    return [min(fits[i:i + n_init], key=lambda m: m.summary.trainingCost) for i in range(0, len(fits), n_init)]
+
+
 def kmeans_fit(vectors: DataFrame, k: int, n_init: int = 10, max_iter: int = 300, tol: float = 1e-4,
-               seed: int = SEED) -> KMeansModel:
-    """The fit with the smallest cost over ``n_init`` seeds. Pass a stored or cached table: every
-    iteration reads it."""
-    best = None
-    for restart in range(n_init):
-        model = KMeans(k=k, seed=seed + restart, maxIter=max_iter, tol=tol).fit(vectors)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
+               seed: int = SEED, parallelism: int = 4) -> KMeansModel:
+    """The fit with the smallest cost over ``n_init`` seeds. Pass a stored table: every iteration reads it."""
+    with _kept(vectors):
+        return _best_fits(vectors, [k], n_init, max_iter, tol, seed, parallelism)[0]
 
 
 def kmeans_assign(vectors: DataFrame, k: int = DEFAULT_K, **fit) -> DataFrame:
@@ -41,14 +68,16 @@ def kmeans_assign(vectors: DataFrame, k: int = DEFAULT_K, **fit) -> DataFrame:
     return model.setPredictionCol("cluster").transform(vectors)
 
 
-def k_sweep(vectors: DataFrame, k_range: Sequence[int] = range(2, 9), **fit) -> DataFrame:
-    """Inertia and silhouette per number of clusters; one row each."""
-    judge = ClusteringEvaluator()
-    rows = []
-    for k in k_range:
-        model = kmeans_fit(vectors, k, **fit)
-        rows.append((k, float(model.summary.trainingCost), float(judge.evaluate(model.transform(vectors)))))
-    return vectors.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
+def k_sweep(vectors: DataFrame, k_range: Sequence[int] = range(2, 9), n_init: int = 10, max_iter: int = 300,
+            tol: float = 1e-4, seed: int = SEED, parallelism: int = 4) -> DataFrame:
+    """Inertia and silhouette (squared Euclidean distance) per number of clusters; one row each."""
+    ks = list(k_range)
+    with _kept(vectors):
+        models = _best_fits(vectors, ks, n_init, max_iter, tol, seed, parallelism)
+        judge = ClusteringEvaluator()
+        scores = _in_parallel(vectors, [lambda m=m: judge.evaluate(m.transform(vectors)) for m in models], parallelism)
+        found = [(k, float(m.summary.trainingCost), float(s)) for k, m, s in zip(ks, models, scores)]
+    return vectors.sparkSession.createDataFrame(found, "k int, inertia double, silhouette double")
 
 
 def choose_k(sweep: DataFrame | None = None, k: int = DEFAULT_K) -> int:

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from ..functions import first_nonnull, half_up, mode_or, most_frequent, ratio, sum_or_zero
 from ..operators.churn import churn_base
+from ..operators.rfm import describe
+from ..session import stored
 from .oracle_tables import r, re_
 from .registry import query
 from .tables import LINE_ORDER, Tables
@@ -89,7 +91,7 @@ def _(t: Tables):
     return base.groupBy("customer_unique_id").agg(mode_or("product_category_en").alias("top_category"))
 
 
-@query("a12_sum_case", """
+@query("sum_case", """
     SELECT customer_id, CAST(sum(CASE WHEN order_status = 'canceled' THEN order_revenue ELSE 0 END) AS DOUBLE) AS lost
     FROM fact_orders GROUP BY customer_id""")
 def _(t: Tables):
@@ -143,3 +145,19 @@ def _(t: Tables):
 def _(t: Tables):
     return t.reviews.groupBy("order_id").agg(
         F.bround(F.avg("review_score").cast("decimal(38,10)"), 1).alias("score"))
+
+
+_DESCRIBED = ["order_revenue", "review_score", "delivery_delay_days"]
+
+
+def _described(c: str) -> str:
+    v = f"CAST({c} AS DOUBLE)"
+    return f"""
+    SELECT '{c}' AS metric, count({c}) AS count, {re_(f"avg({v})")} AS mean, {re_(f"stddev_samp({v})")} AS std,
+           {re_(f"min({v})")} AS min, {re_(f"quantile_cont({v}, 0.25)")} AS p25, {re_(f"quantile_cont({v}, 0.5)")} AS p50,
+           {re_(f"quantile_cont({v}, 0.75)")} AS p75, {re_(f"max({v})")} AS max FROM fact_orders"""
+
+
+@query("describe", " UNION ALL ".join(map(_described, _DESCRIBED)))
+def _(t: Tables):
+    return describe(stored(t.fact.select(*_DESCRIBED), "described"), _DESCRIBED)

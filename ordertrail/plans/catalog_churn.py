@@ -58,7 +58,7 @@ def _(t: Tables):
     return rounded(churn.churn_rate(churn.churn_label(base(t))))
 
 
-@query("a20_label_rate", f"""
+@query("label_rate", f"""
     SELECT customer_state, {r("avg(churned) * 100", 6)} AS rate, CAST(sum(churned) AS BIGINT) AS churned
     FROM customer_profile GROUP BY customer_state""")
 def _(t: Tables):
