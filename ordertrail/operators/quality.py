@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text_literal
+from ..schemas import NOT_NULL, PRIMARY_KEY
 from .members import keep_members
 
 # (column of the fact, dimension, whether NULL is allowed); the dimension has a column of the same name
@@ -57,6 +59,19 @@ def notnull_check(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.filter(reduce(Column.__or__, [F.col(c).isNull() for c in columns]))
 
 
+def constraint_report(tables: Mapping[str, DataFrame], keys: Mapping[str, str] = PRIMARY_KEY,
+                      required: Mapping[str, Sequence[str]] = NOT_NULL) -> DataFrame:
+    """Violations per table and constraint: key values that repeat, and rows that lack a required value."""
+    parts = []
+    for name, df in tables.items():
+        checks = {f"unique {keys[name]}": pk_check(df, keys[name])}
+        checks |= {f"not null {c}": notnull_check(df.select(c), [c]) for c in required[name]}
+        parts += [bad.agg(F.count("*").alias("violations")).selectExpr(
+            f"{text_literal(name)} AS table_name", f"{text_literal(what)} AS constraint", "violations")
+            for what, bad in checks.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _width(kind: str) -> int | None:
     return int(kind[kind.index("(") + 1:-1]) if kind.startswith(("varchar(", "char(")) else None
 

@@ -69,6 +69,18 @@ def _(t: Tables):
     return quality.notnull_check(rows, ["product_id", "order_status"])
 
 
+@query("constraint_report", " UNION ALL ".join(
+    f"""SELECT '{table}' AS table_name, 'unique {key}' AS "constraint", count(*) AS violations
+        FROM (SELECT {key} FROM {source} GROUP BY {key} HAVING count(*) > 1)
+        UNION ALL SELECT '{table}', 'not null {col}', count(*) FROM {source} WHERE {col} IS NULL"""
+    for table, source, key, col in [("orders", "fact_orders", "order_id", "order_status"),
+                                    ("lines", "raw_order_items", "order_id", "product_id")]))
+def _(t: Tables):
+    return quality.constraint_report(
+        {"orders": t.fact, "lines": t.order_items}, {"orders": "order_id", "lines": "order_id"},
+        {"orders": ["order_status"], "lines": ["product_id"]})
+
+
 # one-digit states fit eight characters, and order values from 100,000 on do not fit seven digits
 _KINDS = {"customer_id": "bigint", "customer_city": "varchar(100)", "customer_state": "varchar(8)"}
 _FACT_KINDS = {"order_id": "bigint", "order_status": "varchar(50)", "order_revenue": "decimal(7,2)"}

@@ -6,8 +6,8 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.quality import fk_filter, type_conform
-from ..schemas import PRIMARY_KEY, STAR, star_schema
+from ..operators.quality import constraint_report, fk_filter, type_conform
+from ..schemas import STAR, star_schema
 
 
 def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: list[str] | None = None) -> None:
@@ -30,11 +30,12 @@ def create_star(spark: SparkSession, folder: str) -> None:
 
 
 def load_star(star: Mapping[str, DataFrame], folder: str, kinds: Mapping[str, Mapping[str, str]] = STAR,
-              refs: bool = True) -> dict[str, DataFrame]:
+              refs: bool = True, check: bool = True) -> dict[str, DataFrame]:
     """Write the star tables, dimensions before the fact, and return the written tables.
 
-    Fact rows with dangling references are left out; the written types are enforced and a value that
-    does not fit is an error. Writing replaces, so a repeated load gives the same tables.
+    Fact rows with dangling references are left out (``refs``); the written types are enforced and a
+    value that does not fit is an error, and so is a repeated or missing key (``check``). Writing
+    replaces, so a repeated load gives the same tables.
     """
     spark = next(iter(star.values())).sparkSession
     written: dict[str, DataFrame] = {}
@@ -50,6 +51,10 @@ def load_star(star: Mapping[str, DataFrame], folder: str, kinds: Mapping[str, Ma
         path = f"{folder}/{name}"
         write_table(conformed, path, mode="overwrite")
         written[name] = spark.read.schema(conformed.schema).parquet(path)
+    # one row per constraint
+    broken = constraint_report(written).filter("violations > 0").collect() if check else []
+    if broken:
+        raise ValueError("; ".join(f"{b['table_name']}: {b['violations']} x {b['constraint']}" for b in broken))
     return written
 
 
@@ -74,6 +79,3 @@ def write_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:
     """Append to an external table; every partition opens its own connection."""
     df.write.format("jdbc").options(**options).option("url", url).option("dbtable", table).mode("append").save()
 
-
-__all__ = ["PRIMARY_KEY", "append_new", "create_star", "export_all", "load_star", "write_csv", "write_jdbc",
-           "write_table"]
