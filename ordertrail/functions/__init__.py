@@ -6,6 +6,7 @@ from .exprs import (  # noqa: F401
     half_up,
     ident,
     mode_or,
+    moment,
     money,
     most_frequent,
     parse_ts,

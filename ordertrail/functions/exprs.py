@@ -7,6 +7,7 @@ parsed by Spark in one step. Arguments of type ``ColumnOrName`` may also be colu
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -59,9 +60,15 @@ def date_parts(text: str) -> tuple[Column, Column, Column]:
     return F.expr(f"year({text})"), F.expr(f"month({text})"), F.expr(f"weekday({text})")
 
 
-def year_month(x: ColumnOrName) -> Column:
-    """Calendar month as ``yyyy-MM`` text."""
-    return F.date_format(_c(x), "yyyy-MM")
+def year_month(text: str) -> Column:
+    """Calendar month of a date or zone-less timestamp as ``yyyy-MM`` text."""
+    return F.expr(f"left(CAST({text} AS STRING), 7)")
+
+
+def moment(text: str) -> Column:
+    """A date or time literal in ISO form as a zone-less timestamp. It is passed as text, since a Python
+    datetime would be read in the driver's own zone."""
+    return F.lit(datetime.fromisoformat(text).isoformat()).cast("timestamp_ntz")
 
 
 def half_up(x: ColumnOrName, places: int = 2) -> Column:

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import days_before, first_nonnull, ident, mode_or, sum_or_zero, text_literal
+from ..functions import days_before, first_nonnull, ident, mode_or, moment, sum_or_zero, text_literal
 from ..session import stored
 from .onerow import with_overall_max
 from .ordered import running_totals
@@ -134,7 +133,7 @@ def customer_features(base: DataFrame, days: int = CHURN_DAYS) -> DataFrame:
 
 def time_split(features: DataFrame, split_date: str = SPLIT_DATE, first: str = "first_purchase") -> DataFrame:
     """Add ``split``: 'train' for customers whose first purchase is before the date, else 'test'."""
-    at = F.lit(datetime.fromisoformat(split_date)).cast("timestamp_ntz")
+    at = moment(split_date)
     return features.withColumn("split", F.when(F.col(first) < at, "train").when(F.col(first) >= at, "test"))
 
 

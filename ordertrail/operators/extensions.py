@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import days_before, percent, whole_days
+from ..functions import days_before, moment, percent, whole_days, year_month
 from .churn import CHURN_DAYS
 
 
@@ -35,7 +33,7 @@ def cohort_retention(fact: DataFrame, customers: DataFrame) -> DataFrame:
         F.col("cohort").alias("_cohort"), F.col("active_customers").alias("cohort_size"))
     return (
         counted.join(size, F.col("cohort") == F.col("_cohort"))
-        .select(F.date_format("cohort", "yyyy-MM").alias("cohort_month"), "age_months", "active_customers",
+        .select(year_month("cohort").alias("cohort_month"), "age_months", "active_customers",
                 "cohort_size", percent("active_customers", "cohort_size").alias("retention_pct"))
         .orderBy("cohort_month", "age_months")
     )
@@ -69,7 +67,7 @@ def forward_churn_label(base: DataFrame, cut_date: str, days: int = CHURN_DAYS)
     """Customers with an order before the date: what they did until then, and 1 if they have no order in
     the ``days`` after it."""
     at = F.col("order_purchase_timestamp")
-    cut = F.lit(datetime.fromisoformat(cut_date)).cast("timestamp_ntz")
+    cut = moment(cut_date)
     before, after = at < cut, (at >= cut) & (at < days_before(cut, -days))
     return (
         base.filter(F.col("customer_unique_id").isNotNull()).groupBy("customer_unique_id").agg(

@@ -1,7 +1,5 @@
 """Projections, predicates and scalar expressions over the order fact."""
 
-from datetime import datetime
-
 from pyspark.sql import functions as F
 
 from ..functions import (
@@ -9,6 +7,7 @@ from ..functions import (
     days_before,
     half_even,
     half_up,
+    moment,
     parse_ts,
     ratio,
     whole_days,
@@ -146,7 +145,7 @@ def _(t: Tables):
     SELECT order_id, date_trunc('month', order_purchase_timestamp)::TIMESTAMP AS month,
            strftime(order_purchase_timestamp, '%Y-%m') AS txt FROM fact_orders""")
 def _(t: Tables):
-    return t.fact.select("order_id", F.date_trunc("month", PURCHASED).cast("timestamp_ntz").alias("month"),
+    return t.fact.select("order_id", F.trunc(PURCHASED, "month").cast("timestamp_ntz").alias("month"),
                          year_month(PURCHASED).alias("txt"))
 
 
@@ -172,15 +171,14 @@ def _(t: Tables):
 @query("p21_bool_to_int", """
     SELECT order_id, CAST(order_purchase_timestamp < TIMESTAMP '1998-01-01' AS INTEGER) AS early FROM fact_orders""")
 def _(t: Tables):
-    return t.fact.select("order_id", (F.col(PURCHASED) < F.lit("1998-01-01").cast("timestamp_ntz")).cast("int")
+    return t.fact.select("order_id", (F.col(PURCHASED) < moment("1998-01-01")).cast("int")
                          .alias("early"))
 
 
 @query("p22_date_literal", f"""
     SELECT order_id FROM fact_orders WHERE order_purchase_timestamp >= TIMESTAMP '{SPLIT_DATE} 00:00:00'""")
 def _(t: Tables):
-    at = F.lit(datetime.fromisoformat(SPLIT_DATE)).cast("timestamp_ntz")
-    return t.fact.filter(F.col(PURCHASED) >= at).select("order_id")
+    return t.fact.filter(F.col(PURCHASED) >= moment(SPLIT_DATE)).select("order_id")
 
 
 @query("p23_map_values", """

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions import percent
+from ..functions import moment, percent, year_month
 from ..operators.churn import churn_base, churn_label
 from ..operators.members import keep_members
 from ..operators.onerow import with_totals
@@ -93,7 +93,7 @@ def _(t: Tables):
         HAVING min(order_purchase_timestamp) < TIMESTAMP '1996-01-01')""")
 def _(t: Tables):
     first = t.fact.groupBy("customer_id").agg(F.min("order_purchase_timestamp").alias("first"))
-    early = first.filter(F.col("first") < F.lit("1996-01-01").cast("timestamp_ntz"))
+    early = first.filter(F.col("first") < moment("1996-01-01"))
     return keep_members(t.fact.select("order_id", "customer_id"), "customer_id", early)
 
 
@@ -111,7 +111,7 @@ def _(t: Tables):
 def _(t: Tables):
     month = F.trunc("order_purchase_timestamp", "month").alias("month")
     return (t.fact.groupBy(month).agg(F.count("*").alias("n")).orderBy("month")
-            .select(F.date_format("month", "yyyy-MM").alias("order_month"), "n"))
+            .select(year_month("month").alias("order_month"), "n"))
 
 
 @query("topk", """

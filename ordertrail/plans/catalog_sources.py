@@ -34,7 +34,7 @@ _KINDS = {
 
 def _as_text(df):
     stamps = [f.name for f in df.schema if f.dataType.simpleString() == "timestamp_ntz"]
-    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in stamps})
+    return df.withColumns({c: F.col(c).cast("string") for c in stamps})
 
 
 @query("src_csv", f"""

@@ -180,6 +180,18 @@ def test_purchase_at_the_cutoff_is_not_churned(spark):
     assert rows(out, "customer_unique_id", "churned") == [("a", 0), ("b", 0), ("c", 1)]
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo"])
+def test_split_date_has_no_zone(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([("2017-12-31 23:59:59",), ("2018-01-01 00:00:00",)], "t string").select(
+            parse_ts("t").alias("first_purchase"))
+        out = churn.time_split(df).selectExpr("CAST(first_purchase AS STRING) AS t", "split")
+        assert rows(out) == [("2017-12-31 23:59:59", "train"), ("2018-01-01 00:00:00", "test")]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_overall_max_ignores_null(spark):
     df = spark.createDataFrame([(1, None), (2, 5), (3, 4)], "k int, v int")
     assert rows(with_overall_max(df, "v", "top"), "k", "top") == [(1, 5), (2, 5), (3, 5)]
