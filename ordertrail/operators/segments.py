@@ -47,12 +47,23 @@ def _kept(df: DataFrame) -> Iterator[DataFrame]:
 
 def _best_fits(vectors: DataFrame, ks: Sequence[int], n_init: int, max_iter: int, tol: float, seed: int,
                parallelism: int) -> list[KMeansModel]:
-    """Per k the fit with the smallest cost over ``n_init`` seeds."""
+    """Per k the fit with the smallest cost over ``n_init`` seeds.
+
+    Sums over partitions differ in their last digits from run to run, so a later seed has to be better by
+    more than that; otherwise equal solutions would swap their cluster numbers.
+    """
     def task(k: int, restart: int) -> Callable[[], KMeansModel]:
         return lambda: KMeans(k=k, seed=seed + restart, maxIter=max_iter, tol=tol).fit(vectors)
 
     fits = _in_parallel(vectors, [task(k, i) for k in ks for i in range(n_init)], parallelism)
-    return [min(fits[i:i + n_init], key=lambda m: m.summary.trainingCost) for i in range(0, len(fits), n_init)]
+    best = []
+    for i in range(0, len(fits), n_init):
+        chosen, *others = fits[i:i + n_init]
+        for model in others:
+            if model.summary.trainingCost < chosen.summary.trainingCost * (1 - 1e-9):
+                chosen = model
+        best.append(chosen)
+    return best
 
 
 def kmeans_fit(vectors: DataFrame, k: int, n_init: int = 10, max_iter: int = 300, tol: float = 1e-4,
