@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import re
+import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,17 +39,19 @@ def get_session(master: str | None = None, **conf: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a local-mode session may do without it, and then gets a temporary folder; on a cluster a
-    machine-local folder would lose data with its machine, so a missing setting is an error there.
+    Only a local-mode session may do without it, and then gets a temporary folder that goes away with the
+    process; on a cluster, also one of several executors on this machine, a missing setting is an error,
+    since a machine-local folder would lose data with its machine.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None and sc.getCheckpointDir() is not None:
         base = sc.getCheckpointDir()
     if base is None:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="ordertrail-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
     return base.rstrip("/")
@@ -79,3 +86,28 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever they run, once per application.
+
+    The package's source goes to the executors with Spark's own file distribution, so functions given to
+    ``mapInArrow`` and the like work where the package is not installed.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="ordertrail-ship-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = f"{folder}/{os.path.basename(root)}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for where, _, names in sorted(os.walk(root)):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = f"{where}/{name}"
+                out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    _shipped.add(sc.applicationId)
