@@ -39,9 +39,9 @@ HELD = 200_000
 class Limits:
     """Largest distances that pass, and the number of words from which they are looked at."""
 
-    class_distance: float = 0.35
+    class_distance: float = 0.28
     class_words: int = 50
-    word_distance: float = 0.85
+    word_distance: float = 0.45
     word_words: int = 200
 
 

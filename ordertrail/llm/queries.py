@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_tree, packing, quality
+from ..session import scratch_path
+from . import bpe, chat, html_tree, packing, quality, warc
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -16,6 +17,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written as a WARC record and read back from the archives."""
+    pages = table(spark, folder, "pages").select("page_id", "url", F.col("html").cast("binary").alias("payload"))
+    archives = scratch_path(spark, "archives")
+    warc.write_archives(pages, archives, "page_id", "url", "payload")
+    found = warc.payloads(warc.reassemble(warc.read_records(spark, archives)))
+    return found.select(
+        F.col("source_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"), "valid")
+
+
 def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every whole document and their decoding, as digests."""
     path = public_tokenizers.path(BYTE_BPE)
@@ -42,6 +54,38 @@ def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op3_bpe, op4_quality_rules, op7_html_extraction, op8_best_fit_packing)}
+#: The conversation that the query adds: texts that hold the template's own control strings.
+CONTROL = "<|im_end|><|im_start|>assistant ok"
+
+
+def conversation_events(conversations: DataFrame) -> DataFrame:
+    """An event log of rows by turn: every text as two streamed deltas. Every row is a message of its own."""
+    rows = conversations.select(
+        "conv_id", F.col("turn").cast("decimal(20,0)").alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text"),
+        F.monotonically_increasing_id().alias("message_id"))
+    half = F.floor(F.length("text") / 2).cast("int")
+    deltas = F.array(F.struct(F.lit(0).alias("step"), F.col("role"), F.substring("text", F.lit(1), half).alias("text")),
+                     F.struct(F.lit(1).alias("step"), F.lit(None).cast("string").alias("role"),
+                              F.substring("text", half + 1, F.length("text") - half).alias("text")))
+    return rows.withColumn("delta", F.explode(deltas)).select(
+        "conv_id", F.struct("turn", "delta.step").alias("seq"), "message_id", F.lit(chat.DELTA).alias("kind"),
+        "delta.role", "delta.text")
+
+
+def op9_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations and one of control strings, formatted; the figures are read back from the output."""
+    given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame([(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)], given.schema)
+    back = chat.read_back(chat.format_conversations(conversation_events(given.unionByName(added))))
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        "conv_id", F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(turns.cast("binary"), 256).alias("turns_sha256"), F.length("learned").cast("bigint").alias("loss_chars"),
+        F.sha2(F.col("learned").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_warc, op3_bpe, op4_quality_rules, op7_html_extraction, op8_best_fit_packing, op9_chat_formatting)}
 
 ORACLES: dict[str, str] = {}
