@@ -8,6 +8,8 @@ histogram reaches the driver, and no length is gathered in one task.
 
 from __future__ import annotations
 
+import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -23,10 +25,13 @@ from tokenizers import Tokenizer
 
 from ..session import ship_package, stored
 from .arrow import Sender, arrow_schema, map_batches
+from .bpe import BYTES, byte_alphabet
 
 #: Words remembered per Python worker, and the longest one that is worth it; limits memory, not results.
 REMEMBERED, WORTH = 250_000, 48
 MARKS = frozenset(b".,;:!?")
+#: Words that normalising and pre-tokenising leave as they are: lower-case Latin letters.
+PLAIN = re.compile("[a-zß-öø-ÿ]+")
 ENTRIES = 4  # bytes of an id
 
 
@@ -34,7 +39,8 @@ class WordIds(dict):
     """Ids of single words, lower-cased in ASCII, by the ``tokenizers`` library.
 
     The tokenizer drops white space before it splits a text into pieces, so the ids of a text are those of its
-    words, and a mark after letters is a piece of its own.
+    words, and a mark after letters is a piece of its own. Words of plain letters go straight to the tokenizer's
+    model, which is several times faster than the normaliser and pre-tokenizer that would not change them.
     """
 
     def __init__(self, path: str):
@@ -42,6 +48,9 @@ class WordIds(dict):
         self.tokenizer, self.before = Tokenizer.from_file(path), {}
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        self.model = self.tokenizer.model
+        shown = {b: c for c, b in byte_alphabet().items()}
+        self.alphabet = "".join(shown[b] for b in range(BYTES))
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.before.get(word)
@@ -49,8 +58,11 @@ class WordIds(dict):
             text = word.decode()
             if word[-1] in MARKS and text[:-1].isalpha():
                 ids = self[word[:-1]] + self[word[-1:]]
+            elif PLAIN.fullmatch(text):
+                tokens = self.model.tokenize(word.decode("latin-1").translate(self.alphabet))
+                ids = array("I", [token.id for token in tokens]).tobytes()
             else:
-                ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+                ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         if len(word) <= WORTH:
             if len(self) >= REMEMBERED:
                 self.before = dict(self)
