@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, chat, html_tree, packing, quality, warc
+from . import bpe, chat, html_tree, licenses, packing, quality, secrets, simhash, warc
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -28,6 +28,18 @@ def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
         F.col("refers_to").cast("bigint").alias("refers_to"), "valid")
 
 
+def op2_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in every document: base spans counted and digested, and all spans."""
+    base = [k.name for k in secrets.STRONG]
+    # the spans, and nothing else, leave the scan
+    found = secrets.scan(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "spans")
+    counted = {f"n_{k}": F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("bigint") for k in base}
+    return found.select(
+        "doc_id", *(n.alias(name) for name, n in counted.items()),
+        F.sha2(secrets.listed(F.col("spans"), base).cast("binary"), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"))
+
+
 def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every whole document and their decoding, as digests."""
     path = public_tokenizers.path(BYTE_BPE)
@@ -42,6 +54,12 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.assess(table(spark, folder, "documents"), ["doc_id"])
 
 
+def op5_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate class of every document."""
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of every page."""
     found = html_tree.extract(table(spark, folder, "pages"), ["page_id", "url"])
@@ -85,7 +103,17 @@ def op9_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
+def op10_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """Licences found in every document: how many units match, which licences, and the best score."""
+    found = licenses.matches(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", F.size("matches").cast("bigint").alias("n_matches"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"]))), ",").alias("licenses"),
+        F.round(F.array_max(F.transform("matches", lambda m: m["dice"])), 9).alias("best_score"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_warc, op3_bpe, op4_quality_rules, op7_html_extraction, op8_best_fit_packing, op9_chat_formatting)}
+    op1_warc, op2_secret_scans, op3_bpe, op4_quality_rules, op5_simhash_near_dedup, op7_html_extraction,
+    op8_best_fit_packing, op9_chat_formatting, op10_license_scans)}
 
 ORACLES: dict[str, str] = {}
