@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, chat, html_tree, licenses, packing, quality, secrets, simhash, warc
+from . import ann, bpe, chat, html_tree, licenses, packing, quality, secrets, simhash, warc
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -60,6 +60,12 @@ def op5_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 10 nearest vectors of every row whose vec_id is divisible by 100."""
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return ann.search(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of every page."""
     found = html_tree.extract(table(spark, folder, "pages"), ["page_id", "url"])
@@ -113,7 +119,7 @@ def op10_license_scans(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_warc, op2_secret_scans, op3_bpe, op4_quality_rules, op5_simhash_near_dedup, op7_html_extraction,
-    op8_best_fit_packing, op9_chat_formatting, op10_license_scans)}
+    op1_warc, op2_secret_scans, op3_bpe, op4_quality_rules, op5_simhash_near_dedup, op6_nearest_neighbours,
+    op7_html_extraction, op8_best_fit_packing, op9_chat_formatting, op10_license_scans)}
 
 ORACLES: dict[str, str] = {}
