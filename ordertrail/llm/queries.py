@@ -31,9 +31,13 @@ def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
 def op2_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets in every document: base spans counted and digested, and all spans."""
     base = [k.name for k in secrets.STRONG]
+
+    def is_kind(name: str):
+        return lambda span: span["kind"] == name
+
     # the spans, and nothing else, leave the scan
     found = secrets.scan(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "spans")
-    counted = {f"n_{k}": F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("bigint") for k in base}
+    counted = {f"n_{k}": F.size(F.filter("spans", is_kind(k))).cast("bigint") for k in base}
     return found.select(
         "doc_id", *(n.alias(name) for name, n in counted.items()),
         F.sha2(secrets.listed(F.col("spans"), base).cast("binary"), 256).alias("base_sha256"),
