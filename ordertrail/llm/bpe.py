@@ -28,7 +28,7 @@ SPACE = r"\t-\r \x85\xa0  -     　"
 #: No piece crosses the end of such a chunk, so chunks can be encoded, and remembered, one by one.
 CHUNK = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 #: Chunks remembered per Python worker, and the longest one that is worth it; limits memory, not results.
-REMEMBERED, WORTH = 250_000, 48
+REMEMBERED, WORTH = 120_000, 48
 MARKS = frozenset(".,;:!?")
 BYTES = 256
 DECODED_AT_ONCE = 1 << 16
