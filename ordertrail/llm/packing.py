@@ -28,7 +28,7 @@ from .arrow import Sender, arrow_schema, map_batches
 from .bpe import BYTES, byte_alphabet
 
 #: Words remembered per Python worker, and the longest one that is worth it; limits memory, not results.
-REMEMBERED, WORTH = 250_000, 48
+REMEMBERED, WORTH = 150_000, 48
 MARKS = frozenset(b".,;:!?")
 #: Words that normalising and pre-tokenising leave as they are: lower-case Latin letters.
 PLAIN = re.compile("[a-zß-öø-ÿ]+")
