@@ -7,7 +7,6 @@ from .exprs import (  # noqa: F401
     ident,
     mode_or,
     moment,
-    money,
     most_frequent,
     parse_ts,
     percent,

@@ -29,11 +29,6 @@ def text_literal(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def money(text: str) -> Column:
-    """Money is fixed-point with two places, cast once on the way in."""
-    return F.expr(f"CAST({text} AS DECIMAL(10,2))")
-
-
 def parse_ts(text: str) -> Column:
     """Zone-less timestamp; text that is none becomes NULL instead of an error."""
     return F.expr(f"TRY_CAST({text} AS TIMESTAMP_NTZ)")

@@ -18,7 +18,11 @@ from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, ship_package
+
+
+# A leaf of m features takes 2**m * m numbers and its table is made with a 2**m by 2**m matrix: 1 MB at this bound.
+MAX_FEATURES_PER_LEAF = 10
 
 
 @dataclass
@@ -62,6 +66,11 @@ def _shares(value: float, cover: np.ndarray) -> np.ndarray:
     return out
 
 
+def _cover(node: dict) -> float:
+    """Weight of the rows that reached a node in training: class weights count, as they did in the fit."""
+    return node["impurityStats"][0]
+
+
 def _leaf_table(nodes: dict[int, dict], tree_weight: float) -> LeafTable:
     leaves: list[tuple[float, dict[int, tuple[float, float, float]]]] = []
     todo: list[tuple[int, dict[int, tuple[float, float, float]]]] = [(0, {})]
@@ -75,9 +84,11 @@ def _leaf_table(nodes: dict[int, dict], tree_weight: float) -> LeafTable:
         cut = node["split"]["leftCategoriesOrThreshold"][0]
         low, high, cover = path.get(f, (-math.inf, math.inf, 1.0))
         for child, bounds in (("leftChild", (low, min(high, cut))), ("rightChild", (max(low, cut), high))):
-            part = nodes[node[child]]["rawCount"] / node["rawCount"]
+            part = _cover(nodes[node[child]]) / _cover(node)
             todo.append((node[child], path | {f: (*bounds, cover * part)}))
     m = max(1, max(len(path) for _, path in leaves))
+    if m > MAX_FEATURES_PER_LEAF:
+        raise ValueError(f"a leaf tests {m} features; at most {MAX_FEATURES_PER_LEAF} can be attributed")
     feature = np.zeros((len(leaves), m), dtype=np.int64)
     low, high, cover = np.full(feature.shape, -np.inf), np.full(feature.shape, np.inf), np.ones(feature.shape)
     for row, (_, path) in enumerate(leaves):
@@ -118,9 +129,11 @@ def attributions(model: GBTClassificationModel, df: DataFrame, columns: Sequence
                  key: str = "customer_unique_id") -> DataFrame:
     """Contribution of every feature to each row's margin: key, ``base`` and one column per feature.
 
-    ``columns`` are the model's inputs in order. The contributions and ``base`` add up to the margin.
+    ``columns`` are the model's inputs in order. The contributions and ``base`` add up to the margin. A model with a
+    leaf that tests more than ``MAX_FEATURES_PER_LEAF`` features, for which trees must be deeper, is an error.
     """
     tables = leaf_tables(df.sparkSession, model)
+    ship_package(df.sparkSession)
     base = sum(t.base for t in tables)
     names = list(columns)
 

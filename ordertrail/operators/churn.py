@@ -12,6 +12,7 @@ from ..session import stored
 from .onerow import with_overall_max
 from .ordered import running_totals
 
+# The columns of the model, the days without a purchase, and the date of the split.
 CATEGORICAL = ["customer_state", "top_category", "top_payment"]
 FEATURES = [
     "total_orders", "total_revenue", "avg_order_value", "avg_review_score", "avg_delivery_delay", "avg_freight",
@@ -21,8 +22,6 @@ FEATURES = [
 FILL = {"avg_review_score": 3.0, "avg_delivery_delay": 0.0}
 CHURN_DAYS = 90
 SPLIT_DATE = "2018-01-01"
-# largest code table that is broadcast; a larger one is joined by shuffle
-BROADCAST_CODES = 100_000
 
 
 def churn_base(fact: DataFrame, customers: DataFrame, products: DataFrame, payments: DataFrame) -> DataFrame:
@@ -72,9 +71,10 @@ def _mean(column: str) -> Column:
 def customer_profile(base: DataFrame, days: int = CHURN_DAYS) -> DataFrame:
     """Per customer the features before encoding, first and last purchase, and the churn label.
 
-    Features and label come from one aggregation.
+    Features and label come from one aggregation, which is written once: the last purchase of all, which the label
+    needs, is then one column of a table and not the aggregation over again.
     """
-    grouped = base.filter(F.col("customer_unique_id").isNotNull()).groupBy("customer_unique_id").agg(
+    grouped = stored(base.filter(F.col("customer_unique_id").isNotNull()).groupBy("customer_unique_id").agg(
         F.count("order_id").alias("total_orders"),
         sum_or_zero("order_revenue").cast("double").alias("total_revenue"),
         _mean("order_revenue").alias("avg_order_value"),
@@ -88,9 +88,10 @@ def customer_profile(base: DataFrame, days: int = CHURN_DAYS) -> DataFrame:
         _mean("purchase_day_of_week").alias("purchase_dow"),
         F.min("order_purchase_timestamp").alias("first_purchase"),
         F.max("order_purchase_timestamp").alias("last_purchase"),
-    )
+    ), "profile")
+    newest = grouped.agg(F.max("last_purchase").alias("newest"))  # one row
     return (
-        with_overall_max(grouped, "last_purchase", "newest")
+        grouped.crossJoin(F.broadcast(newest))
         .withColumn("churned", _churned("last_purchase", "newest", days))
         .drop("newest")
     )
@@ -109,25 +110,21 @@ def label_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def label_encode(df: DataFrame, columns: Sequence[str] = tuple(CATEGORICAL)) -> DataFrame:
-    """Replace text columns by their codes, fitted on all rows."""
+    """Replace text columns by their codes, fitted on all rows.
+
+    The codes are written, so their size decides how they are joined, and a hot value can be split.
+    """
     codes = stored(label_codes(df, columns), "codes")
-    sizes = {r["column"]: r["count"] for r in codes.groupBy("column").count().collect()}
     for col in columns:
         lookup = codes.filter(F.col("column") == col).selectExpr("value AS _value", "code AS _code")
-        if sizes.get(col, 0) <= BROADCAST_CODES:
-            lookup = F.broadcast(lookup)
         text = F.expr(f"coalesce(CAST({ident(col)} AS STRING), 'nan')")
         df = df.join(lookup, text == F.col("_value"), "left").withColumn(col, F.col("_code")).drop("_value", "_code")
     return df
 
 
 def customer_features(base: DataFrame, days: int = CHURN_DAYS) -> DataFrame:
-    """Model input per customer: eleven numeric features, the label, and the first purchase.
-
-    The profile is written once, since the codes and every model pass read it again.
-    """
-    profile = stored(customer_profile(base, days), "profile")
-    return label_encode(profile).fillna(FILL).select(
+    """Model input per customer: eleven numeric features, the label, and the first purchase."""
+    return label_encode(customer_profile(base, days)).fillna(FILL).select(
         "customer_unique_id", *FEATURES, "churned", "first_purchase")
 
 

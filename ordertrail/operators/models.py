@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml.classification import (
     GBTClassificationModel,
@@ -62,6 +62,15 @@ def score(model, vectors: DataFrame) -> DataFrame:
     )
 
 
+def logistic_score(df: DataFrame, coefficients: Mapping[str, float], intercept: float) -> DataFrame:
+    """Add ``churn_probability`` and ``churn_prediction`` (over 0.5) of a logistic model with stated coefficients."""
+    margin = sum((F.col(c) * F.lit(float(v)) for c, v in coefficients.items()), F.lit(float(intercept)))
+    probability = F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
+    return df.withColumn("churn_probability", probability).withColumn(
+        "churn_prediction", (F.col("churn_probability") > 0.5).cast("int"))
+
+
+# The columns of the churn extract.
 EXPORT = ["customer_unique_id", "total_orders", "total_revenue", "avg_order_value", "churn_probability",
           "churn_prediction", "churned"]
 

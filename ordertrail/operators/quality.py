@@ -10,38 +10,58 @@ from pyspark.sql import functions as F
 
 from ..functions import text_literal
 from ..schemas import NOT_NULL, PRIMARY_KEY
-from .members import keep_members
+from ..session import stored
 
 # (column of the fact, dimension, whether NULL is allowed); the dimension has a column of the same name
 Reference = tuple[str, DataFrame, bool]
 
 
+def dangling_keys(used: DataFrame, key: str, dim: DataFrame, nullable: bool) -> DataFrame:
+    """The different values of ``key`` in ``used`` that the dimension does not hold, written once.
+
+    They are few as a rule, and the written size lets Catalyst decide how the fact meets them.
+    """
+    values = used.select(key).distinct()
+    if nullable:
+        values = values.filter(F.col(key).isNotNull())
+    return stored(values.join(dim.select(key), key, "left_anti"), f"dangling-{key}")
+
+
+def _keys(fact: DataFrame, refs: Sequence[Reference]) -> DataFrame:
+    """The referring columns of the fact, written once."""
+    return stored(fact.select(*dict.fromkeys(key for key, _, _ in refs)), "fact-keys")
+
+
 def fk_filter(fact: DataFrame, refs: Sequence[Reference]) -> DataFrame:
-    """Keep the fact rows whose every reference exists in its dimension, or is NULL where allowed."""
+    """Keep the fact rows whose every reference exists in its dimension, or is NULL where allowed.
+
+    Only the key columns meet the dimensions; the wide fact is joined to the dangling keys alone.
+    """
+    keys = _keys(fact, refs)
     for key, dim, nullable in refs:
-        fact = keep_members(fact, key, dim, allow_null=nullable)
+        dangling = dangling_keys(keys, key, dim, nullable).select(F.col(key).alias("_dangling"))
+        fact = fact.join(dangling, F.col(key).eqNullSafe(F.col("_dangling")), "left_anti")
     return fact
 
 
 def fk_report(fact: DataFrame, refs: Sequence[Reference]) -> DataFrame:
     """Fact rows that ``fk_filter`` drops, per reference and in total.
 
-    References are counted per key value first, so that a value held by very many rows reaches the
-    anti join as one row. A row with two dangling references counts for both but once in the total.
+    The key columns of the fact are written once and read for every reference; one pass over them then counts all
+    reasons. A row with two dangling references counts for both but once in the total.
     """
-    per_ref = []
+    keys = _keys(fact, refs)
+    marks = []
+    marked = keys
     for key, dim, nullable in refs:
-        used = fact.groupBy(key).agg(F.count("*").alias("n"))
-        dangling = used.join(dim.select(key), key, "left_anti")
-        if nullable:
-            dangling = dangling.filter(F.col(key).isNotNull())
-        per_ref.append(dangling.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("dropped_rows"))
-                       .select(F.lit(key).alias("reason"), "dropped_rows"))
-    rows = fact.agg(F.count("*").alias("n"))
-    kept = fk_filter(fact, refs).agg(F.count("*").alias("kept"))
-    total = rows.crossJoin(F.broadcast(kept)).select(
-        F.lit("any").alias("reason"), (F.col("n") - F.col("kept")).alias("dropped_rows"))
-    return reduce(DataFrame.unionByName, [*per_ref, total])
+        dangling = dangling_keys(keys, key, dim, nullable).select(
+            F.col(key).alias(f"_key_{key}"), F.lit(True).alias(f"_bad_{key}"))
+        marked = marked.join(dangling, F.col(key).eqNullSafe(F.col(f"_key_{key}")), "left")
+        marks.append((key, F.col(f"_bad_{key}").isNotNull()))
+    total = reduce(Column.__or__, [mark for _, mark in marks], F.lit(False))
+    counts = marked.agg(*[F.count_if(mark).alias(name) for name, mark in [*marks, ("any", total)]])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("reason"), F.col(name).alias("dropped_rows")) for name in counts.columns])))
 
 
 def null_key_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -98,7 +118,10 @@ def type_conform(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
             too_long = F.raise_error(F.concat(F.lit(f"{col}: longer than {width}: "), text)).cast("string")
             out.append(F.when(F.length(text) > width, too_long).otherwise(text).alias(col))
         else:
-            out.append(F.col(col).cast(kind).alias(col))
+            # the same whether or not the session casts strictly
+            value, cast = F.col(col), F.col(col).try_cast(kind)
+            misfit = F.raise_error(F.concat(F.lit(f"{col}: no {kind}: "), value.cast("string"))).cast(kind)
+            out.append(F.when(value.isNotNull() & cast.isNull(), misfit).otherwise(cast).alias(col))
     return df.select(*out)
 
 

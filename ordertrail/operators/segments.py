@@ -19,6 +19,8 @@ from .rfm import RFM
 # Segment names from the highest to the lowest mean monetary value.
 SEGMENT_NAMES = ["Champions", "Loyal", "At-Risk", "Lost"]
 DEFAULT_K = 4
+# a column of more different values is no assignment to clusters
+MAX_CLUSTERS = 1000
 SEED = 42
 
 
@@ -79,6 +81,15 @@ def kmeans_assign(vectors: DataFrame, k: int = DEFAULT_K, **fit) -> DataFrame:
     return model.setPredictionCol("cluster").transform(vectors)
 
 
+def nearest_center(df: DataFrame, columns: Sequence[str], centers: Sequence[Sequence[float]]) -> DataFrame:
+    """Add ``cluster``, the number of the nearest of the stated centers; of equally near ones the first."""
+    if not centers or any(len(c) != len(columns) for c in centers):
+        raise ValueError("every center needs one value per column")
+    away = [sum(((F.col(c) - v) * (F.col(c) - v) for c, v in zip(columns, center)), F.lit(0.0)) for center in centers]
+    ranked = F.array(*[F.struct(a.alias("away"), F.lit(i).alias("id")) for i, a in enumerate(away)])
+    return df.withColumn("cluster", F.array_min(ranked)["id"])
+
+
 def k_sweep(vectors: DataFrame, k_range: Sequence[int] = range(2, 9), n_init: int = 10, max_iter: int = 300,
             tol: float = 1e-4, seed: int = SEED, parallelism: int = 4) -> DataFrame:
     """Inertia and silhouette (squared Euclidean distance) per number of clusters; one row each."""
@@ -108,14 +119,18 @@ def silhouette_rows(df: DataFrame, columns: Sequence[str], cluster: str = "clust
     """Add the silhouette (squared Euclidean distance) of every row, exactly and without pairs.
 
     The mean squared distance of a row to a cluster follows from the cluster's size, its vector sum
-    and its sum of squared norms. These are one entry per cluster, gathered into one broadcast row.
+    and its sum of squared norms. These are one entry per cluster, gathered into one broadcast row; more than
+    ``MAX_CLUSTERS`` are an error.
     """
     def norm(prefix: str = "") -> Column:
         return sum((F.col(prefix + c) * F.col(prefix + c) for c in columns), F.lit(0.0))
 
     per_cluster = df.groupBy(F.col(cluster).alias("id")).agg(
         F.count("*").alias("n"), F.sum(norm()).alias("sq"), *[F.sum(c).alias(f"s_{c}") for c in columns])
-    one_row = per_cluster.agg(F.collect_list(F.struct(*per_cluster.columns)).alias("_clusters"))
+    few = F.when(F.count("*") <= MAX_CLUSTERS, F.lit(True)).otherwise(
+        F.raise_error(F.lit(f"{cluster}: more than {MAX_CLUSTERS} clusters")).cast("boolean"))
+    one_row = per_cluster.limit(MAX_CLUSTERS + 1).agg(
+        F.collect_list(F.struct(*per_cluster.columns)).alias("_clusters"), few.alias("_few")).where("_few").drop("_few")
     wide = df.crossJoin(F.broadcast(one_row))
 
     def total_distance(k: Column) -> Column:

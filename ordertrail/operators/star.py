@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import date_parts, first_nonnull, half_even, most_frequent, parse_ts, sum_or_zero, whole_days
 from ..schemas import LIFECYCLE_TIMESTAMPS, STAR
+from ..session import stored
 from .dedup import dedup_first
 
 
@@ -33,12 +34,13 @@ def _dimension(raw: DataFrame, columns: list[str], key: str, order_by: Sequence[
 def dim_products(products: DataFrame, translation: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
     """Products with the English category; a category without translation gets NULL.
 
-    The translation is made unique first, so that a repeated line cannot multiply products.
+    The translation is made unique first, so that a repeated line cannot multiply products, and written: then its
+    size decides whether it is broadcast, and a category of very many products can be split if it is not.
     """
-    names = dedup_first(
+    names = stored(dedup_first(
         translation.selectExpr("product_category_name", "product_category_name_english AS product_category_en"),
         "product_category_name",
-    )
+    ), "translation")
     raw = [c for c in STAR["dim_products"] if c != "product_category_en"]
     unique = _dimension(products, raw, "product_id", order_by)
     return unique.join(names, "product_category_name", "left").selectExpr(*STAR["dim_products"])

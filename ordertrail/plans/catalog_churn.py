@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from ..operators import churn, extensions
 from ..operators.segments import assign_segments
-from ..session import stored
 from .catalog_customers import _fixed
 from .oracle_tables import r
 from .registry import query, rounded
@@ -80,14 +79,12 @@ def _(t: Tables):
 @query("label_encode", """
     SELECT customer_unique_id, customer_state, top_category, top_payment FROM features""")
 def _(t: Tables):
-    profile = stored(churn.customer_profile(base(t)), "profile")
-    return churn.label_encode(profile).select("customer_unique_id", *churn.CATEGORICAL)
+    return churn.label_encode(churn.customer_profile(base(t))).select("customer_unique_id", *churn.CATEGORICAL)
 
 
 @query("label_codes", 'SELECT col AS "column", val AS value, code FROM codes')
 def _(t: Tables):
-    profile = stored(churn.customer_profile(base(t)), "profile")
-    return churn.label_codes(profile, churn.CATEGORICAL)
+    return churn.label_codes(churn.customer_profile(base(t)), churn.CATEGORICAL)
 
 
 @query("time_split", f"SELECT customer_unique_id, churned, first_purchase, split FROM ({_SPLIT_SQL})")

@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 
 from ..operators import rfm as rfm_ops
 from ..operators import segments
-from ..session import stored
+from ..session import scratch_path, stored
+from ..sources import read_csv, write_csv
 from .oracle_tables import r, re_
 from .registry import query, rounded
 from .tables import Tables
 
 RFM = rfm_ops.RFM
 Z = [f"{c}_z" for c in RFM]
-N_INIT = 2
 
 
 def _rfm(t: Tables):
@@ -26,9 +26,23 @@ def _fixed(t: Tables):
     return _rfm(t).withColumn("cluster", (F.col("customer_unique_id") % 4).cast("int"))
 
 
+def _standard(t: Tables):
+    """Standardised customers with the fixed cluster, written once: means and rows read them again."""
+    return stored(rfm_ops.zscore(stored(_fixed(t), "rfm")), "standard")
+
+
 def _vectors(t: Tables):
     """Standardised customers, written once: every fit reads them many times."""
-    return segments.as_vectors(stored(rfm_ops.zscore(_rfm(t)), "rfm"), Z)
+    return segments.as_vectors(stored(rfm_ops.zscore(stored(_rfm(t), "rfm")), "standard"), Z)
+
+
+def _sweep(t: Tables):
+    """The sweep over k, done once per folder: two queries show it."""
+    return t.once("k-sweep", lambda: segments.k_sweep(_vectors(t)))
+
+
+def _assigned(t: Tables):
+    return t.once("k-means", lambda: segments.kmeans_assign(_vectors(t), segments.choose_k()).drop("features"))
 
 
 _Z_SQL = ", ".join(f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS {c}_z" for c in RFM)
@@ -61,17 +75,17 @@ def _(t: Tables):
 
 @query("kmeans_assign")
 def _(t: Tables):
-    return segments.kmeans_assign(_vectors(t), segments.choose_k(), n_init=N_INIT).drop("features")
+    return _assigned(t)
 
 
 @query("k_sweep")
 def _(t: Tables):
-    return segments.k_sweep(_vectors(t), n_init=N_INIT)
+    return _sweep(t)
 
 
 @query("choose_k")
 def _(t: Tables):
-    sweep = segments.k_sweep(_vectors(t), range(2, 5), n_init=1)
+    sweep = _sweep(t)
     best = segments.choose_k(sweep)
     return sweep.withColumns({"best_by_silhouette": (F.col("k") == best).cast("int"),
                               "chosen": (F.col("k") == segments.choose_k()).cast("int")})
@@ -82,7 +96,7 @@ def _(t: Tables):
     FROM (SELECT *, avg(recency_z) OVER c AS mr, avg(frequency_z) OVER c AS mf, avg(monetary_z) OVER c AS mm
           FROM (SELECT *, {_Z_SQL} FROM rfm_fixed) WINDOW c AS (PARTITION BY cluster))""")
 def _(t: Tables):
-    return rounded(segments.inertia(rfm_ops.zscore(_fixed(t)), Z), 4)
+    return rounded(segments.inertia(_standard(t), Z), 4)
 
 
 # the check takes every pair of customers; the operator does not
@@ -98,14 +112,14 @@ _PAIRS = f"""
 
 @query("silhouette", f"{_PAIRS} SELECT {r('avg(coalesce((b - a) / greatest(a, b), 0))', 6)} AS silhouette FROM s")
 def _(t: Tables):
-    return rounded(segments.silhouette(rfm_ops.zscore(_fixed(t)), Z))
+    return rounded(segments.silhouette(_standard(t), Z))
 
 
 @query("silhouette_rows", f"""
     {_PAIRS} SELECT id AS customer_unique_id, own AS cluster, {r('coalesce((b - a) / greatest(a, b), 0)', 6)}
     AS silhouette FROM s""")
 def _(t: Tables):
-    rows = segments.silhouette_rows(rfm_ops.zscore(_fixed(t)), Z)
+    rows = segments.silhouette_rows(_standard(t), Z)
     return rounded(rows.select("customer_unique_id", "cluster", "silhouette"))
 
 
@@ -148,5 +162,27 @@ def _(t: Tables):
 
 @query("segments_export")
 def _(t: Tables):
-    assigned = segments.kmeans_assign(_vectors(t), n_init=N_INIT)
-    return segments.segments_export(segments.assign_segments(assigned))
+    return segments.segments_export(segments.assign_segments(_assigned(t)))
+
+
+@query("segments_export_fixed", "SELECT customer_unique_id, recency, frequency, monetary, cluster, segment FROM rfm_named")
+def _(t: Tables):
+    """The export over the fixed cluster, written and read back."""
+    path = scratch_path(t.spark, "segments-csv")
+    named = segments.segments_export(segments.assign_segments(_fixed(t)))
+    write_csv(named, path)
+    return read_csv(t.spark, path, named.schema)
+
+
+_CENTERS = [(-1.0, -0.5, 0.25), (0.0, 0.0, 0.0), (1.0, 1.5, 2.0), (0.5, -1.0, -1.0)]
+
+
+@query("nearest_center", f"""
+    WITH z AS (SELECT customer_unique_id, {_Z_SQL} FROM rfm),
+         c AS (SELECT * FROM (VALUES {", ".join(f"({i}, {a}, {b}, {c})" for i, (a, b, c) in enumerate(_CENTERS))}) v(id, a, b, c))
+    SELECT customer_unique_id, CAST(arg_min(id, pow(recency_z - a, 2) + pow(frequency_z - b, 2) + pow(monetary_z - c, 2))
+           AS INTEGER) AS cluster
+    FROM z, c GROUP BY customer_unique_id""")
+def _(t: Tables):
+    """Assignment to stated centers, as a fitted model does it."""
+    return segments.nearest_center(rfm_ops.zscore(stored(_rfm(t), "rfm")), Z, _CENTERS).select("customer_unique_id", "cluster")

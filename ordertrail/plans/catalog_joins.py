@@ -6,6 +6,7 @@ from ..functions import moment, percent, year_month
 from ..operators.churn import churn_base, churn_label
 from ..operators.members import keep_members
 from ..operators.onerow import with_totals
+from ..session import stored
 from ..sources import read_sql
 from .oracle_tables import r
 from .registry import query
@@ -16,7 +17,7 @@ from .tables import Tables
     SELECT product_id, product_category_name, product_category_name_english
     FROM raw_products LEFT JOIN raw_translation USING (product_category_name)""")
 def _(t: Tables):
-    return t.products.join(t.translation, "product_category_name", "left").select(
+    return t.products.join(stored(t.translation, "translation"), "product_category_name", "left").select(
         "product_id", "product_category_name", "product_category_name_english")
 
 

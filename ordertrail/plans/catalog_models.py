@@ -3,28 +3,27 @@
 Evaluation is checked on a fixed score; the model queries themselves have no SQL form.
 """
 
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import functions as F
 
 from ..operators import attribution, evaluate, models
-from ..operators.churn import split_rows
-from ..session import stored
-from .catalog_churn import scored, split
+from ..operators.churn import customer_profile, split_rows
+from ..session import scratch_path
+from ..sources import read_csv, write_csv
+from .catalog_churn import base, scored, split
 from .oracle_tables import r
 from .registry import query, rounded
 from .tables import Tables
 
-GBT_ROUNDS = 10
-
-
 def _input(t: Tables):
-    """Feature vectors of all customers, written once, and the names of their columns."""
-    vectors, names = models.model_input(stored(split(t), "features"))
-    return vectors, names
+    """Feature vectors of all customers, from a table that is written once, and the names of their columns."""
+    return models.model_input(t.once("features", lambda: split(t)))
 
 
 def _scored_by_gbt(t: Tables):
+    """Scores of the boosted model, which is fitted once per folder and read by all queries that need it."""
     vectors, names = _input(t)
-    model = models.fit_gbt(split_rows(vectors)[0], max_iter=GBT_ROUNDS)
+    model = t.model("gbt", GBTClassificationModel, lambda: models.fit_gbt(split_rows(vectors)[0]))
     return models.score(model, vectors), model, names
 
 
@@ -49,7 +48,7 @@ def _(t: Tables):
 def _(t: Tables):
     vectors, _ = _input(t)
     train, test = split_rows(vectors)
-    fits = {"logreg": models.fit_logistic(train), "gbt": models.fit_gbt(train, max_iter=GBT_ROUNDS)}
+    fits = {"logreg": models.fit_logistic(train), "gbt": _scored_by_gbt(t)[1]}
     aucs = [evaluate.roc_auc(models.score(m, test)).select(F.lit(n).alias("model"), "auc") for n, m in fits.items()]
     return aucs[0].unionByName(aucs[1])
 
@@ -110,8 +109,8 @@ def _(t: Tables):
 @query("attribution")
 def _(t: Tables):
     vectors, names = _input(t)
-    train, test = split_rows(vectors)
-    model = models.fit_gbt(train, max_iter=GBT_ROUNDS)
+    _, test = split_rows(vectors)
+    model = _scored_by_gbt(t)[1]
     return attribution.mean_attribution(attribution.attributions(model, test, names), names)
 
 
@@ -119,8 +118,8 @@ def _(t: Tables):
 def _(t: Tables):
     """Contributions next to the margin they add up to."""
     vectors, names = _input(t)
-    train, test = split_rows(vectors)
-    model = models.fit_gbt(train, max_iter=GBT_ROUNDS)
+    _, test = split_rows(vectors)
+    model = _scored_by_gbt(t)[1]
     parts = attribution.attributions(model, test, names)
     total = sum((F.col(c) for c in names), F.col("base"))
     margins = models.margin(model, test)
@@ -130,3 +129,46 @@ def _(t: Tables):
 @query("churn_export")
 def _(t: Tables):
     return models.churn_export(_scored_by_gbt(t)[0])
+
+
+@query("churn_export_fixed", """
+    SELECT customer_unique_id, total_orders, total_revenue, {aov} AS avg_order_value,
+           CAST(churn_probability AS DOUBLE) AS churn_probability, churn_prediction, scored.churned AS churned
+    FROM scored JOIN (SELECT customer_unique_id, total_orders, total_revenue, avg_order_value FROM customer_profile)
+    USING (customer_unique_id)""".format(aov=r("avg_order_value", 6)))
+def _(t: Tables):
+    """The export over the fixed score, written and read back."""
+    profile = customer_profile(base(t)).select("customer_unique_id", "total_orders", "total_revenue", "avg_order_value")
+    export = models.churn_export(scored(t).join(profile, "customer_unique_id"))
+    path = scratch_path(t.spark, "churn-csv")
+    write_csv(export, path)
+    return rounded(read_csv(t.spark, path, export.schema), 6, "avg_order_value")
+
+
+_COEFFICIENTS = {"total_orders": -0.5, "avg_review_score": 0.25, "purchase_month": 0.125}
+
+
+@query("logistic_score", f"""
+    SELECT customer_unique_id, {r("1 / (1 + exp(-z))", 6)} AS churn_probability,
+           CAST(1 / (1 + exp(-z)) > 0.5 AS INTEGER) AS churn_prediction
+    FROM (SELECT customer_unique_id, {" + ".join(f"{v} * {c}" for c, v in _COEFFICIENTS.items())} - 0.75 AS z FROM features)""")
+def _(t: Tables):
+    """Probabilities of stated coefficients, as a fitted logistic model gives them."""
+    found = models.logistic_score(t.once("features", lambda: split(t)), _COEFFICIENTS, -0.75)
+    return rounded(found.select("customer_unique_id", "churn_probability", "churn_prediction"), 6, "churn_probability")
+
+
+@query("model_roc_curve")
+def _(t: Tables):
+    """ROC points of both fitted models on the test part."""
+    vectors, _ = _input(t)
+    train, test = split_rows(vectors)
+    fits = {"logreg": models.fit_logistic(train), "gbt": _scored_by_gbt(t)[1]}
+    curves = [evaluate.roc_curve(models.score(m, test)).withColumn("model", F.lit(n)) for n, m in fits.items()]
+    return curves[0].unionByName(curves[1])
+
+
+@query("model_report")
+def _(t: Tables):
+    """Classification report of the boosted model on the test part."""
+    return evaluate.classification_report(split_rows(_scored_by_gbt(t)[0])[1])

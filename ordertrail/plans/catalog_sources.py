@@ -1,5 +1,9 @@
 """Sources and sinks: every query writes or reads real tables and returns what came back."""
 
+import re
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import parse_ts
@@ -48,13 +52,27 @@ def _(t: Tables):
     return orders.withColumns({c: parse_ts(c) for c in LIFECYCLE_TIMESTAMPS})
 
 
+# number of rows and, per column, of values and of different values, and the sum of the money
+_CONTENTS = {name: re.findall(r"(\w+) (?:string|int|decimal)", ddl) for name, ddl in RAW.items()}
+_SUMS = {"order_items": "price", "payments": "payment_value", "products": "product_length_cm", "reviews": "review_score"}
+
+
 @query("src_csv_all", " UNION ALL ".join(
-    f"SELECT '{name}' AS table_name, count(*) AS row_count FROM raw_{name}" for name in RAW))
+    f"SELECT '{name}' AS table_name, '{c}' AS \"column\", count(*) AS rows, count({c}) AS filled, "
+    f"count(DISTINCT {c}) AS different, CAST({f'sum({c})' if _SUMS.get(name) == c else 'NULL'} AS DOUBLE) AS total "
+    f"FROM raw_{name}" for name, columns in _CONTENTS.items() for c in columns))
 def _(t: Tables):
     folder = scratch_path(t.spark, "csv")
     for name, raw in t.raw.items():
         write_csv(_as_text(raw.select(*[c for c in raw.columns if c in raw_schema(name).names])), f"{folder}/{name}.csv")
-    return load_counts(load_raw(t.spark, folder))
+    parts = []
+    for name, df in load_raw(t.spark, folder, multi_line=()).items():
+        counts = df.agg(F.count("*").alias("rows"), *[F.struct(
+            F.count(c).alias("filled"), F.countDistinct(c).alias("different"),
+            (F.sum(c) if _SUMS.get(name) == c else F.lit(None)).cast("double").alias("total")).alias(c) for c in df.columns])
+        parts.append(counts.select(F.lit(name).alias("table_name"), F.inline(F.array(*[F.struct(
+            F.lit(c).alias("column"), "rows", f"{c}.filled", f"{c}.different", f"{c}.total") for c in df.columns]))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("src_parquet", "SELECT o_orderkey, o_custkey, o_orderdate FROM orders")
@@ -79,16 +97,31 @@ def _(t: Tables):
     return t.spark.read.parquet(path)
 
 
-@query("ddl_star", """
-    SELECT 'dim_customers' AS table_name, count(*) AS row_count FROM dim_customers
-    UNION ALL SELECT 'dim_products', count(*) FROM dim_products
-    UNION ALL SELECT 'dim_sellers', count(*) FROM dim_sellers
-    UNION ALL SELECT 'dim_payments', count(*) FROM dim_payments
-    UNION ALL SELECT 'fact_orders', count(*) FROM fact_orders""")
+def _created(name: str) -> str:
+    """The columns of an empty table and their types, in order, as SQL values."""
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, {i} AS position, '{c}' AS \"column\", "
+        f"'{'string' if 'char' in kind else kind}' AS kind, CAST(0 AS BIGINT) AS created_rows, count(*) AS loaded_rows, "
+        f"count({c}) AS filled FROM {name}" for i, (c, kind) in enumerate(STAR[name].items()))
+
+
+@query("ddl_star", " UNION ALL ".join(map(_created, STAR)))
 def _(t: Tables):
+    """What the created tables hold and are made of, before the load and after it."""
     folder = scratch_path(t.spark, "star")
     create_star(t.spark, folder)
-    return load_counts(load_star(t.star, folder, _KINDS))
+    empty = {name: t.spark.read.parquet(f"{folder}/{name}") for name in STAR}
+    before = {r["table_name"]: r["row_count"] for r in load_counts(empty).collect()}  # a row per table
+    kinds = [(name, i, f.name, f.dataType.simpleString(), before[name]) for name, df in empty.items()
+             for i, f in enumerate(df.schema)]
+    created = t.spark.createDataFrame(
+        kinds, "table_name string, position int, column string, kind string, created_rows long")
+    parts = []
+    for name, df in load_star(t.star, folder, _KINDS).items():
+        counts = df.agg(F.count("*").alias("loaded_rows"), *[F.count(c).alias(c) for c in df.columns])
+        parts.append(counts.select(F.lit(name).alias("table_name"), F.inline(F.array(*[F.struct(
+            F.lit(c).alias("column"), "loaded_rows", F.col(c).alias("filled")) for c in df.columns]))))
+    return created.join(reduce(DataFrame.unionByName, parts), ["table_name", "column"])
 
 
 @query("sink_csv", """
@@ -99,34 +132,47 @@ def _(t: Tables):
     return read_csv(t.spark, path, t.dim_customers.schema)
 
 
-@query("export_all", """
-    SELECT 'funnel_conversion' AS report, CAST(6 AS BIGINT) AS row_count
-    UNION ALL SELECT 'revenue_by_status', count(*) FROM (SELECT order_status FROM fact_orders GROUP BY order_status)
-    UNION ALL SELECT 'cancellation_by_state', count(*) FROM (
-        SELECT customer_state FROM fact_orders JOIN dim_customers USING (customer_id)
-        GROUP BY customer_state HAVING count(*) > 100)
-    UNION ALL SELECT 'monthly_cohort', count(*) FROM (
-        SELECT 1 FROM fact_orders WHERE order_status = 'delivered' AND order_purchase_timestamp IS NOT NULL
-        GROUP BY date_trunc('month', order_purchase_timestamp))
-    UNION ALL SELECT 'delivery_delay_by_state', count(*) FROM (
-        SELECT seller_state FROM fact_orders JOIN dim_sellers USING (seller_id)
+_REPORT_SQL = {
+    "revenue_by_status": ("order_status", """
+        SELECT coalesce(order_status, '') AS item, count(*) AS orders FROM fact_orders GROUP BY order_status"""),
+    "cancellation_by_state": ("customer_state", """
+        SELECT customer_state AS item, count(*) AS orders FROM fact_orders JOIN dim_customers USING (customer_id)
+        GROUP BY customer_state HAVING count(*) > 100"""),
+    "monthly_cohort": ("order_month", """
+        SELECT strftime(order_purchase_timestamp, '%Y-%m') AS item, count(*) AS orders FROM fact_orders
+        WHERE order_status = 'delivered' AND order_purchase_timestamp IS NOT NULL GROUP BY item"""),
+    "delivery_delay_by_state": ("seller_state", """
+        SELECT seller_state AS item, count(*) AS orders FROM fact_orders JOIN dim_sellers USING (seller_id)
         WHERE order_status = 'delivered' AND delivery_delay_days IS NOT NULL
-        GROUP BY seller_state HAVING count(*) > 100)""")
+        GROUP BY seller_state HAVING count(*) > 100"""),
+    "customers": ("customer_id", """
+        SELECT CAST(customer_id AS VARCHAR) AS item, CAST(customer_unique_id AS BIGINT) AS orders FROM dim_customers"""),
+}
+
+
+@query("export_all", " UNION ALL ".join(
+    f"SELECT '{name}' AS report, item, CAST(orders AS BIGINT) AS orders FROM ({sql})" for name, (_, sql) in _REPORT_SQL.items()))
 def _(t: Tables):
+    """What the written reports say: each item and its number of orders (of the customer list, the person)."""
     folder = scratch_path(t.spark, "export")
-    # five reports read the fact, so it is written once with the star and read five times
+    # the reports read the fact, so it is written once with the star and read by each
     star = load_star(t.star, f"{folder}/star", _KINDS)
     fact = star["fact_orders"]
     builds = {
-        "funnel_conversion": lambda: reports.funnel_conversion(fact),
         "revenue_by_status": lambda: reports.revenue_by_status(fact),
         "cancellation_by_state": lambda: reports.cancellation_by_state(fact, star["dim_customers"]),
         "monthly_cohort": lambda: reports.monthly_cohort(fact),
         "delivery_delay_by_state": lambda: reports.delivery_delay_by_state(fact, star["dim_sellers"]),
+        "customers": lambda: star["dim_customers"],
     }
-    written = export_all(builds, f"{folder}/reports")
-    counts = load_counts({name: t.spark.read.option("header", True).csv(path) for name, path in written})
-    return counts.withColumnRenamed("table_name", "report")
+    number = {"revenue_by_status": "order_count", "customers": "customer_unique_id"}
+    parts = []
+    for name, path in export_all(builds, f"{folder}/reports", single_file=set(builds) - {"customers"}):
+        written = t.spark.read.option("header", True).csv(path)
+        parts.append(written.select(
+            F.lit(name).alias("report"), F.coalesce(F.col(_REPORT_SQL[name][0]), F.lit("")).alias("item"),
+            F.col(number.get(name, "total_orders")).cast("bigint").alias("orders")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("load_counts", " UNION ALL ".join(

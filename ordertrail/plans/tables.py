@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import star
-from ..session import stored
+from ..session import scratch_path, stored
 
 # Lines of one order in their order; the line number alone repeats within an order.
 LINE_ORDER = ["order_item_id", "product_id", "seller_id"]
@@ -29,6 +29,11 @@ def _status(key: str) -> str:
     return f"CASE WHEN {key} % 97 = 0 THEN NULL {cases} ELSE 'delivered' END"
 
 
+# what is written once per application and folder
+_once: dict[tuple[str, str, str], DataFrame] = {}
+_models: dict[tuple[str, str, str], str] = {}
+
+
 class Tables:
     """Lazy frames over one folder of bundled tables."""
 
@@ -41,6 +46,22 @@ class Tables:
             self._sources[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._sources[name]
 
+    def once(self, name: str, build) -> DataFrame:
+        """A table that several queries show and that is dear to make: written by the first, read by the others."""
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _once:
+            _once[key] = stored(build(), name)
+        return _once[key]
+
+    def model(self, name: str, kind, fit):
+        """A fitted model that several queries use: saved by the first, loaded by the others."""
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _models:
+            path = scratch_path(self.spark, name)
+            fit().write().save(path)
+            _models[key] = path
+        return kind.load(_models[key])
+
     # raw tables
 
     def _with_state(self, table: str, nation_key: str) -> DataFrame:

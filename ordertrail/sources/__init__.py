@@ -1,2 +1,20 @@
-from .readers import load_counts, load_raw, read_csv, read_jdbc, read_parquet, read_sql  # noqa: F401
-from .writers import append_new, create_star, export_all, load_star, write_csv, write_jdbc, write_table  # noqa: F401
+from .readers import (  # noqa: F401
+    load_counts,
+    load_raw,
+    quarantine_raw,
+    read_csv,
+    read_jdbc,
+    read_parquet,
+    read_sql,
+    unparsed_counts,
+)
+from .writers import (  # noqa: F401
+    Star,
+    append_new,
+    create_star,
+    export_all,
+    load_star,
+    write_csv,
+    write_jdbc,
+    write_table,
+)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,40 +13,81 @@ from ..schemas import FREE_TEXT, RAW, raw_schema
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, corrupt: str | None = None,
-             multi_line: bool = False) -> DataFrame:
-    """Columns of a header CSV by name, with the stated types and no inference pass.
-
-    Only the header line is read ahead, since Spark binds a stated schema by position; columns outside
-    the schema are not parsed. Lines that do not fit keep NULL in the fields that failed; with
-    ``corrupt`` (the name of an additional column) the whole line is kept there. ``multi_line`` allows
-    line breaks inside quoted text; such a file cannot be split, so large data should come in many files.
+             multi_line: bool = False, mixed_headers: bool = False) -> DataFrame:
+    """Columns of header CSV files by name, with the stated types and no inference pass.
+
+    Spark binds a stated schema by position, so the header is read ahead and every file's own header is checked
+    against it: a folder whose files order their columns differently is an error when it is read. With
+    ``mixed_headers`` the header of each file is read ahead instead, and files are read by the order they have;
+    that is one short job per file. Columns outside the schema are not parsed. Lines that do not fit keep NULL in
+    the fields that failed; with ``corrupt`` (the name of an additional column) the whole line is kept there.
+    ``multi_line`` allows line breaks inside quoted text; such a file cannot be split, so large data should come in
+    many files.
     """
     # quotes inside quoted text are doubled
     options = {"header": "true", "escape": '"', "multiLine": str(multi_line).lower()}
-    present = spark.read.options(**options).csv(path).columns
-    missing = [f.name for f in schema if f.name not in present and f.name != corrupt]
-    if missing:
-        raise ValueError(f"{path}: no column {', '.join(missing)}")
-    typed = {f.name: f for f in schema}
-    full = StructType([typed.get(c, StructField(c, StringType())) for c in present])
-    reader = spark.read.options(**options).option("mode", "PERMISSIVE")
-    if corrupt:
-        full = full.add(StructField(corrupt, StringType()))
-        reader = reader.option("columnNameOfCorruptRecord", corrupt)
-    wanted = [f.name for f in schema] + ([corrupt] if corrupt and corrupt not in typed else [])
-    return reader.schema(full).csv(path).select(*wanted)
-
-
-def load_raw(spark: SparkSession, folder: str, files: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
-    """All raw tables by name; ``files`` maps a table to its file name (``<table>.csv`` if absent)."""
+
+    def header(paths: str | list[str]) -> list[str]:
+        return spark.read.options(**options).csv(paths).columns
+
+    def read(paths: str | list[str], present: list[str]) -> DataFrame:
+        missing = [f.name for f in schema if f.name not in present and f.name != corrupt]
+        if missing:
+            raise ValueError(f"{paths}: no column {', '.join(missing)}")
+        typed = {f.name: f for f in schema}
+        full = StructType([typed.get(c, StructField(c, StringType())) for c in present])
+        reader = spark.read.options(**options).option("mode", "PERMISSIVE").option("enforceSchema", "false")
+        if corrupt:
+            full = full.add(StructField(corrupt, StringType()))
+            reader = reader.option("columnNameOfCorruptRecord", corrupt)
+        wanted = [f.name for f in schema] + ([corrupt] if corrupt and corrupt not in typed else [])
+        return reader.schema(full).csv(paths).select(*wanted)
+
+    if not mixed_headers:
+        return read(path, header(path))
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(spark.read.text(path).inputFiles()):
+        by_header.setdefault(tuple(header(file)), []).append(file)
+    if not by_header:
+        return read(path, header(path))
+    return reduce(DataFrame.unionByName, [read(files, list(names)) for names, files in by_header.items()])
+
+
+def load_raw(spark: SparkSession, folder: str, files: Mapping[str, str] | None = None, corrupt: str | None = None,
+             multi_line: Collection[str] = FREE_TEXT, mixed_headers: bool = False) -> dict[str, DataFrame]:
+    """All raw tables by name; ``files`` maps a table to its file name (``<table>.csv`` if absent).
+
+    With ``corrupt`` every table gets that column with the lines that do not fit their types; ``quarantine_raw``
+    sets them aside. ``multi_line`` names the tables whose text may hold line breaks: their files are read by one
+    task each, so leave it empty where the texts have none.
+    """
     files = files or {}
     return {
-        name: read_csv(spark, f"{folder}/{files.get(name, name + '.csv')}", raw_schema(name),
-                       multi_line=name in FREE_TEXT)
+        name: read_csv(spark, f"{folder}/{files.get(name, name + '.csv')}", raw_schema(name), corrupt,
+                       multi_line=name in multi_line, mixed_headers=mixed_headers)
         for name in RAW
     }
 
 
+def quarantine_raw(raw: Mapping[str, DataFrame], corrupt: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Tables read with ``corrupt`` as (rows that fit, rows that do not, with their line), both by name."""
+    fits = {name: df.filter(F.col(corrupt).isNull()).drop(corrupt) for name, df in raw.items()}
+    return fits, {name: df.filter(F.col(corrupt).isNotNull()) for name, df in raw.items()}
+
+
+def unparsed_counts(raw: Mapping[str, DataFrame], corrupt: str) -> DataFrame:
+    """Per table and column how many lines that do not fit have no value there, and ``*`` for the lines themselves."""
+    parts = []
+    for name, df in raw.items():
+        broken = F.col(corrupt).isNotNull()
+        columns = [c for c in df.columns if c != corrupt]
+        counts = df.agg(F.count_if(broken).alias("*"), *[F.count_if(broken & F.col(c).isNull()).alias(c) for c in columns])
+        rows = F.array(*[F.struct(F.lit(name).alias("table_name"), F.lit(c).alias("column"), F.col(f"`{c}`").alias("rows"))
+                         for c in counts.columns])
+        parts.append(counts.select(F.inline(rows)))
+    return reduce(DataFrame.unionByName, parts).filter("rows > 0")
+
+
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     df = spark.read.parquet(path)
     return df.select(*columns) if columns else df

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import uuid
+from collections.abc import Callable, Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.quality import constraint_report, fk_filter, type_conform
+from ..operators.dedup import dedup_first
+from ..operators.quality import constraint_report, fk_filter, fk_report, type_conform
 from ..schemas import STAR, star_schema
+from ..session import stored
 
 
 def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: list[str] | None = None) -> None:
@@ -18,9 +22,13 @@ def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: li
 
 
 def append_new(df: DataFrame, path: str, key: str) -> None:
-    """Append only rows whose key the table does not hold yet, so that a repeated load adds nothing."""
-    known = df.sparkSession.read.schema(df.schema).parquet(path).select(key)
-    df.join(known, key, "left_anti").write.mode("append").parquet(path)
+    """Append the rows whose key the table does not hold yet, one per key, so that a repeated load adds nothing.
+
+    NULL counts as a key of its own; of rows that share a key the smallest is taken.
+    """
+    known = df.sparkSession.read.schema(df.schema).parquet(path).select(F.col(key).alias("_known"))
+    new = dedup_first(df, key).join(known, F.col(key).eqNullSafe(F.col("_known")), "left_anti")
+    write_table(stored(new, "new-rows"), path)  # the table is read to the end before anything is added
 
 
 def create_star(spark: SparkSession, folder: str) -> None:
@@ -29,35 +37,72 @@ def create_star(spark: SparkSession, folder: str) -> None:
         spark.createDataFrame([], star_schema(name)).write.mode("overwrite").parquet(f"{folder}/{name}")
 
 
+class Star(dict[str, DataFrame]):
+    """Written star tables by name; ``dropped`` counts the fact rows left out, per reference and in all."""
+
+    dropped: dict[str, int]
+
+
 def load_star(star: Mapping[str, DataFrame], folder: str, kinds: Mapping[str, Mapping[str, str]] = STAR,
-              refs: bool = True, check: bool = True) -> dict[str, DataFrame]:
+              refs: bool = True, check: bool = True) -> Star:
     """Write the star tables, dimensions before the fact, and return the written tables.
 
-    Fact rows with dangling references are left out (``refs``); the written types are enforced and a
-    value that does not fit is an error, and so is a repeated or missing key (``check``). Writing
-    replaces, so a repeated load gives the same tables.
+    Fact rows with dangling references are left out and counted (``refs``); the written types are enforced and a
+    value that does not fit is an error, and so is a repeated or missing key (``check``). All tables are written
+    next to their targets first and take their places only when every one of them has passed, so a load that fails
+    leaves the tables as they were. Writing replaces: a repeated load gives the same tables.
     """
     spark = next(iter(star.values())).sparkSession
-    written: dict[str, DataFrame] = {}
-    for name in sorted(star, key=lambda n: n == "fact_orders"):
-        df = star[name]
-        if name == "fact_orders" and refs:
-            df = fk_filter(df, [
-                ("customer_id", written["dim_customers"], False),
-                ("product_id", written["dim_products"], True),
-                ("seller_id", written["dim_sellers"], True),
-            ])
-        conformed = type_conform(df, kinds[name])
-        path = f"{folder}/{name}"
-        write_table(conformed, path, mode="overwrite")
-        written[name] = spark.read.schema(conformed.schema).parquet(path)
-    # one row per constraint
-    broken = constraint_report(written).filter("violations > 0").collect() if check else []
-    if broken:
-        raise ValueError("; ".join(f"{b['table_name']}: {b['violations']} x {b['constraint']}" for b in broken))
+    staging = f"{folder}/_staged-{uuid.uuid4().hex}"
+    staged, schemas, dropped = {}, {}, {}
+    try:
+        for name in sorted(star, key=lambda n: n == "fact_orders"):
+            df = star[name]
+            if name == "fact_orders" and refs:
+                wanted = [("customer_id", staged["dim_customers"], False), ("product_id", staged["dim_products"], True),
+                          ("seller_id", staged["dim_sellers"], True)]
+                df = stored(df, "fact")  # read by the report and by the filter
+                dropped = {r["reason"]: r["dropped_rows"] for r in fk_report(df, wanted).collect()}  # a row per reference
+                df = fk_filter(df, wanted)
+            conformed = type_conform(df, kinds[name])
+            schemas[name] = conformed.schema
+            write_table(conformed, f"{staging}/{name}", mode="overwrite")
+            staged[name] = spark.read.schema(conformed.schema).parquet(f"{staging}/{name}")
+        # one row per constraint
+        broken = constraint_report(staged).filter("violations > 0").collect() if check else []
+        if broken:
+            raise ValueError("; ".join(f"{b['table_name']}: {b['violations']} x {b['constraint']}" for b in broken))
+        for name in staged:
+            _promote(spark, f"{staging}/{name}", f"{folder}/{name}")
+    finally:
+        _delete(spark, staging)
+    written = Star({name: spark.read.schema(schemas[name]).parquet(f"{folder}/{name}") for name in staged})
+    written.dropped = dropped
     return written
 
 
+def _path(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where, system = _path(spark, path)
+    system.delete(where, True)
+
+
+def _promote(spark: SparkSession, staged: str, target: str) -> None:
+    """Put a written table in its place; the one before it goes when the new one is there."""
+    new, system = _path(spark, staged)
+    old, _ = _path(spark, target)
+    before, _ = _path(spark, f"{staged}-before")
+    if system.exists(old) and not system.rename(old, before):
+        raise OSError(f"cannot replace {target}")
+    if not system.rename(new, old):
+        system.rename(before, old)
+        raise OSError(f"cannot write {target}")
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Header CSV. ``single_file`` is for report-sized results only: it writes with one task."""
     writer = (df.coalesce(1) if single_file else df).write.mode("overwrite")
@@ -65,12 +110,17 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     writer.option("header", True).option("escape", '"').csv(path)
 
 
-def export_all(reports: Mapping[str, Callable[[], DataFrame]], folder: str) -> list[tuple[str, str]]:
-    """Run every report and write it to ``<folder>/<name>``; returns (name, path) pairs."""
+def export_all(reports: Mapping[str, Callable[[], DataFrame]], folder: str,
+               single_file: Collection[str] = ()) -> list[tuple[str, str]]:
+    """Run every report and write it to ``<folder>/<name>``; returns (name, path) pairs.
+
+    Reports are written by as many tasks as they have; those named in ``single_file`` by one, which is for a few
+    rows per state, month or status.
+    """
     paths = []
     for name, build in reports.items():
         path = f"{folder}/{name}"
-        write_csv(build(), path, single_file=True)
+        write_csv(build(), path, single_file=name in single_file)
         paths.append((name, path))
     return paths
 

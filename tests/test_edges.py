@@ -202,8 +202,7 @@ def test_label_encoding_with_null(spark):
     assert rows(churn.label_encode(df, ["c"]), "id", "c") == [(1, 1), (2, 2), (3, 0)]
 
 
-def test_label_encoding_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(churn, "BROADCAST_CODES", 0)
+def test_label_encoding_of_many_values(spark):
     df = spark.range(500).selectExpr("id", "concat('v', lpad(id % 100, 3, '0')) AS c")
     out = churn.label_encode(df, ["c"])
     assert out.filter("c <> id % 100").count() == 0 and out.count() == 500
@@ -287,6 +286,20 @@ def test_repeated_append_adds_nothing(spark, tmp_path):
     write_table(df, path)
     append_new(df.unionByName(spark.createDataFrame([(3, "c")], df.schema)), path, "id")
     assert rows(spark.read.parquet(path)) == [(1, "a"), (2, "b"), (3, "c")]
+    odd = spark.createDataFrame([(4, "y"), (4, "x"), (None, "n"), (None, "m"), (1, "z")], df.schema)
+    for _ in range(2):  # the second time adds nothing
+        append_new(odd, path, "id")
+        assert rows(spark.read.parquet(path)) == [(1, "a"), (2, "b"), (3, "c"), (4, "x"), (None, "m")]
+
+
+def test_csv_files_of_another_order(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("a,b,c\ns1,rome,RM\n")
+    (tmp_path / "2.csv").write_text("c,a,b\nMI,s2,milan\n")
+    from pyspark.sql.types import StructType
+    schema = StructType.fromDDL("a string, b string, c string")
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, str(tmp_path), schema).collect()
+    assert rows(read_csv(spark, str(tmp_path), schema, mixed_headers=True)) == [("s1", "rome", "RM"), ("s2", "milan", "MI")]
 
 
 def test_csv_round_trip_of_a_report(spark, tmp_path):

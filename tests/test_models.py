@@ -88,8 +88,9 @@ def test_attributions_are_shapley_values(spark, gbt):
         left, right = n["leftChild"], n["rightChild"]
         if f in known:
             return expected(nodes, x, known, left if x[f] <= cut else right)
-        return (nodes[left]["rawCount"] * expected(nodes, x, known, left)
-                + nodes[right]["rawCount"] * expected(nodes, x, known, right)) / n["rawCount"]
+        # the weights that the trees were fitted with
+        cover = [nodes[i]["impurityStats"][0] for i in (left, right)]
+        return (cover[0] * expected(nodes, x, known, left) + cover[1] * expected(nodes, x, known, right)) / sum(cover)
 
     def value(x, known):
         return sum(w * expected(trees[t], x, known) for t, w in enumerate(model.treeWeights))
