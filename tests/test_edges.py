@@ -312,3 +312,23 @@ def test_sql_parameters_are_bound(spark):
     df = spark.createDataFrame([("x' OR '1'='1", 1), ("y", 2)], "s string, n int")
     out = read_sql(spark, "SELECT n FROM {t} WHERE s = :s", {"t": df}, s="x' OR '1'='1")
     assert rows(out) == [(1,)]
+
+
+def test_types_are_strict_without_ansi(spark):
+    df = spark.createDataFrame([("12345678901",)], "n string")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        for kind in ("int", "decimal(4,2)", "varchar(3)"):
+            with pytest.raises(Exception, match="n: "):
+                quality.type_conform(df, {"n": kind}).collect()
+        assert rows(quality.type_conform(df, {"n": "bigint"})) == [(12345678901,)]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_more_values_than_clusters_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(segments, "MAX_CLUSTERS", 3)
+    df = spark.range(8).selectExpr("id % 4 AS cluster", "CAST(id AS DOUBLE) AS x")
+    with pytest.raises(Exception, match="more than 3 clusters"):
+        segments.silhouette(df, ["x"]).collect()

@@ -6,9 +6,9 @@ from decimal import Decimal as D
 import pytest
 from conftest import rows
 
-from ordertrail.operators import churn, models, reports, rfm, segments, star
-from ordertrail.session import stored
-from ordertrail.sources import create_star, export_all, load_counts, load_raw, load_star
+from ordertrail import pipelines
+from ordertrail.operators import models, star
+from ordertrail.sources import create_star, load_counts, load_raw, load_star
 
 N = 300
 
@@ -84,24 +84,45 @@ def test_a_repeated_key_stops_the_load(loaded, tmp_path):
         load_star(twice, str(tmp_path))
 
 
+def test_a_failed_load_leaves_the_tables(spark, loaded, tmp_path):
+    _, built, tables = loaded
+    load_star(built, str(tmp_path))
+    bad = built | {"fact_orders": built["fact_orders"].union(built["fact_orders"])}
+    with pytest.raises(ValueError, match="unique order_id"):
+        load_star(bad, str(tmp_path))
+    assert spark.read.parquet(f"{tmp_path}/fact_orders").count() == tables["fact_orders"].count()
+    assert sorted(p.name for p in tmp_path.iterdir()) == sorted(built)
+
+
+def test_dropped_rows_are_reported(loaded):
+    assert loaded[2].dropped == {"customer_id": 6, "product_id": 0, "seller_id": 0, "any": 6}
+
+
+def test_ingestion_sets_broken_lines_aside(spark, folder, tmp_path):
+    import shutil
+    shutil.copytree(folder, tmp_path / "raw")
+    lines = (tmp_path / "raw/order_items.csv").read_text().splitlines()
+    lines[1] = lines[1].replace(",11.5,", ",n/a,").replace(",10.5,", ",n/a,")
+    (tmp_path / "raw/order_items.csv").write_text("\n".join(lines) + "\n")
+    done = pipelines.run_ingestion(spark, str(tmp_path / "raw"), str(tmp_path / "star"))
+    assert rows(done.unreadable_counts) == [("order_items", "*", 1), ("order_items", "price", 1)]
+    assert "n/a" in done.unreadable["order_items"].first()[pipelines.UNREADABLE]
+    assert done.star["fact_orders"].count() == N - 6
+
+
 def test_reports_and_export(spark, loaded, tmp_path):
-    _, _, t = loaded
-    builds = {"funnel": lambda: reports.funnel_conversion(t["fact_orders"]),
-              "states": lambda: reports.cancellation_by_state(t["fact_orders"], t["dim_customers"], min_orders=1)}
-    written = dict(export_all(builds, str(tmp_path)))
-    assert spark.read.option("header", True).csv(written["funnel"]).count() == 6
-    assert spark.read.option("header", True).csv(written["states"]).columns[0] == "customer_state"
-
-
-def test_customers(loaded):
-    _, _, t = loaded
-    table = rfm.rfm(t["fact_orders"], t["dim_customers"])
-    vectors = segments.as_vectors(stored(rfm.zscore(table)), ["recency_z", "frequency_z", "monetary_z"])
-    named = segments.assign_segments(segments.kmeans_assign(vectors, 3, n_init=1))
-    assert {r["segment"] for r in named.select("segment").distinct().collect()} == {"Champions", "Loyal", "At-Risk"}
-    base = churn.churn_base(t["fact_orders"], t["dim_customers"], t["dim_products"], t["dim_payments"])
-    split = stored(churn.time_split(churn.customer_features(base), "2018-01-01"))
-    inputs, _ = models.model_input(split)
-    train, _ = churn.split_rows(inputs)
-    out = models.churn_export(models.score(models.fit_gbt(train, max_iter=2, max_depth=2), inputs))
-    assert out.columns == models.EXPORT and out.count() == split.count()
+    written = pipelines.run_reports(loaded[2], str(tmp_path))
+    assert spark.read.option("header", True).csv(written["funnel_conversion"]).count() == 6
+    assert len(written) == 6 and spark.read.option("header", True).csv(written["revenue_leakage"]).count() == 2
+
+
+def test_segments_and_churn(spark, loaded, tmp_path):
+    found = pipelines.run_segments(loaded[2], str(tmp_path / "segments"), 3, k_range=(2, 3), n_init=1)
+    assert {r["segment"] for r in found.profile.collect()} == {"Champions", "Loyal", "At-Risk"}
+    assert sum(r["count"] for r in found.counts.collect()) == found.customers.count()
+    assert [r["k"] for r in found.sweep.orderBy("k").collect()] == [2, 3]
+    churned = pipelines.run_churn(loaded[2], str(tmp_path / "churn"), rounds=2)
+    assert churned.scored.columns == models.EXPORT
+    assert spark.read.option("header", True).csv(str(tmp_path / "churn")).count() == churned.scored.count()
+    assert {r["model"] for r in churned.auc.collect()} == {r["model"] for r in churned.roc.collect()} == {"logreg", "gbt"}
+    assert "accuracy" in {r["class"] for r in churned.report.collect()}

@@ -2,6 +2,9 @@
 
 import itertools
 import math
+import os
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -169,3 +172,34 @@ def test_constant_column_standardises_to_zero(spark):
 def test_scratch_is_dropped_last(spark):
     stored(spark.range(3))
     assert drop_scratch(spark) > 0 and drop_scratch(spark) == 0
+
+
+def test_attribution_where_workers_lack_the_package(tmp_path):
+    """From another folder, with the package on the driver's path only."""
+    code = f"""
+import sys
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+from pyspark.sql import functions as F
+from ordertrail.operators import attribution, models, segments
+from ordertrail.session import get_session
+spark = get_session("local[2]", spark__checkpoint__dir={str(tmp_path / 'shared')!r}, spark__sql__shuffle__partitions="2")
+df = spark.range(200).selectExpr("id AS customer_unique_id", "CAST(id % 7 AS DOUBLE) AS a", "CAST(id % 5 AS DOUBLE) AS b",
+                                 "CAST(id % 7 > 3 AS INT) AS churned")
+vectors = segments.as_vectors(df, ["a", "b"])
+model = models.fit_gbt(vectors, max_iter=2, max_depth=2)
+parts = attribution.attributions(model, vectors, ["a", "b"]).join(models.margin(model, vectors), "customer_unique_id")
+assert parts.where("abs(base + a + b - margin) > 1e-9").count() == 0 and parts.count() == 200
+print("attributed")
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    (tmp_path / "elsewhere").mkdir()
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "elsewhere", env=env, capture_output=True, text=True,
+                          timeout=300)
+    assert "attributed" in done.stdout, done.stderr[-3000:]
+
+
+def test_too_deep_leaves_are_refused(monkeypatch, gbt):
+    model, _, test, names = gbt
+    monkeypatch.setattr(attribution, "MAX_FEATURES_PER_LEAF", 0)
+    with pytest.raises(ValueError, match="at most 0"):
+        attribution.attributions(model, test, names)
