@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import ann, bpe, chat, html_tree, licenses, packing, quality, secrets, simhash, warc
+from . import ann, bpe, chat, html_tree, licenses, oracles, packing, quality, secrets, simhash, warc
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -126,4 +126,6 @@ QUERIES = {f.__name__: f for f in (
     op1_warc, op2_secret_scans, op3_bpe, op4_quality_rules, op5_simhash_near_dedup, op6_nearest_neighbours,
     op7_html_extraction, op8_best_fit_packing, op9_chat_formatting, op10_license_scans)}
 
-ORACLES: dict[str, str] = {}
+#: The others have no SQL form and are tested against plain versions.
+ORACLES: dict[str, str] = {
+    "op1_warc": oracles.WARC, "op9_chat_formatting": oracles.chat(CONTROL), "op10_license_scans": oracles.LICENSES}
