@@ -26,8 +26,8 @@ NEIGHBOURS = 10
 PART, MOST_PARTS, SLACK = 1500, 128, 1.1
 #: A query visits its most probable parts until they make up this probability, and at least so many of them.
 MASS, LEAST_PROBES = 0.97, 3
-#: Vectors per block.
-BLOCK = 4096
+#: Vectors, and queries, per block: what one task compares at a time.
+BLOCK, QUERY_BLOCK = 4096, 2048
 HIDDEN, EPOCHS, RATE, MINIBATCH = 64, 60, 0.01, 256
 
 
@@ -235,24 +235,34 @@ def search(df: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id",
     filed = stored(rows.mapInArrow(file, "id bigint, v array<double>, part int"), "filed")
     sizes = {r["part"]: r["n"] for r in filed.groupBy("part").agg(F.count("*").alias("n")).collect()}  # one row a part
     counts = np.array([sizes.get(p, 0) for p in range(len(model.value.weights[3]))])
-    blocks = np.maximum(1, -(-counts // BLOCK))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            chosen_parts = probes(model.value.probabilities(matrix(batch.column(1), dim)), counts, 4 * k)
-            at = np.repeat(np.arange(batch.num_rows), [sum(blocks[p]) for p in chosen_parts])
-            parts = np.concatenate([np.repeat(p, blocks[p]) for p in chosen_parts]).astype(np.int32)
-            salts = np.concatenate([np.arange(blocks[part]) for p in chosen_parts for part in p]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)), pa.array(parts), pa.array(salts)],
-                names=["id", "v", "part", "salt"])
+            if batch.num_rows:
+                chosen_parts = probes(model.value.probabilities(matrix(batch.column(1), dim)), counts, 4 * k)
+                at = pa.array(np.repeat(np.arange(batch.num_rows), list(map(len, chosen_parts))))
+                parts = pa.array(np.concatenate(chosen_parts).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(at), batch.column(1).take(at), parts], names=["id", "v", "part"])
 
     asked = usable_rows(queries).where(F.size("v") == dim).dropDuplicates(["id", "v"])
-    sent = asked.mapInArrow(send, "id bigint, v array<double>, part int, salt int")
-    number = F.create_map(*(F.lit(int(x)) for p in enumerate(blocks) for x in p))
-    dealt = filed.withColumn("salt", F.pmod(F.xxhash64("id"), F.element_at(number, F.col("part"))).cast("int"))
+    sent = stored(asked.mapInArrow(send, "id bigint, v array<double>, part int"), "sent")
+    asks = {r["part"]: r["n"] for r in sent.groupBy("part").agg(F.count("*").alias("n")).collect()}  # one row a part
+
+    def block_count(n: dict[int, int], size: int) -> Column:
+        """Blocks of the row's part: a map with an entry per part."""
+        entries = [F.lit(int(x)) for p in range(len(counts)) for x in (p, -(-n.get(p, 0) // size))]
+        return F.element_at(F.create_map(*entries), F.col("part"))
+
+    def every(n: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), n - 1))
+
+    # every block of vectors of a part meets every block of the queries that visit it
+    in_part, visiting = block_count(sizes, BLOCK), block_count(asks, QUERY_BLOCK)
+    left = sent.where(in_part > 0).withColumn("block", every(in_part)).withColumn(
+        "ask", F.pmod(F.xxhash64("id", F.lit(1)), visiting).cast("int"))
+    right = filed.where(visiting > 0).withColumn("block", F.pmod(F.xxhash64("id"), in_part).cast("int")).withColumn(
+        "ask", every(visiting))
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -264,7 +274,8 @@ def search(df: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id",
                 out.append(pd.DataFrame({"query_id": own, "vec_id": found, "score": distances}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
-    found = sent.groupBy("part", "salt").cogroup(dealt.groupBy("part", "salt")).applyInPandas(
+    keys = ("part", "block", "ask")
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
         compare, "query_id bigint, vec_id bigint, score double")
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(

@@ -37,6 +37,7 @@ def test_query(spark, folder):
 def test_recall_over_parts(spark, monkeypatch):
     monkeypatch.setattr(ann, "PART", 200)
     monkeypatch.setattr(ann, "BLOCK", 150)
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 7)
     rng = np.random.default_rng(1)
     vectors = rng.normal(size=(40, 24))[rng.integers(0, 40, 4000)] + 0.3 * rng.normal(size=(4000, 24))
     vectors[1000:2300] = vectors[7]  # a third of all
