@@ -20,7 +20,7 @@ HEADLINE = [
     "cancellation_by_category_top10", "monthly_cohort", "delivery_delay_by_state",
     "delivery_delay_by_state_top10", "fact_orders", "dim_payments", "dim_customers", "dim_products",
     "fk_filter", "rfm", "rfm_describe", "zscore", "silhouette", "churn_base", "churn_label",
-    "customer_features", "cohort_retention", "roc_auc",
+    "customer_features", "cohort_retention", "roc_auc", "fk_report", "revenue_at_risk", "export_all",
 ]
 
 
