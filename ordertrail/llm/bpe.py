@@ -32,6 +32,9 @@ REMEMBERED, WORTH = 120_000, 48
 MARKS = frozenset(".,;:!?")
 BYTES = 256
 DECODED_AT_ONCE = 1 << 16
+#: Characters encoded at once, and where a longer text may be cut.
+AT_ONCE = 1 << 20
+BORDER = re.compile(rf"(?<=[^{SPACE}]) (?=[^{SPACE}])")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -157,14 +160,18 @@ class BytePairs:
 
     def encode(self, text: str) -> bytes:
         """Token ids as little-endian unsigned 32-bit integers."""
-        known, out, start = self.known, [], 0
+        out, start = [], 0
         for hit in self.special_split.finditer(text):
-            out.extend(map(known.__getitem__, CHUNK.findall(text, start, hit.start())))
-            out.append(self.special[hit[0]])
+            out += [self.encode_plain(text[start:hit.start()]), self.special[hit[0]]]
             start = hit.end()
-        out.extend(map(known.__getitem__, CHUNK.findall(text, start) if start else CHUNK.findall(text)))
+        out.append(self.encode_plain(text[start:] if start else text))
         return b"".join(out)
 
+    def encode_plain(self, text: str) -> bytes:
+        """Ids of a text without special tokens, some of it at a time."""
+        known = self.known.__getitem__
+        return b"".join([b"".join(map(known, CHUNK.findall(part))) for part in parts(text)])
+
     def decode(self, ids: bytes) -> str:
         """The text of token ids, special tokens included; bytes that are no UTF-8 become U+FFFD."""
         tokens = np.frombuffer(ids, "<u4")
@@ -178,6 +185,18 @@ class BytePairs:
         return b"".join(out).decode("utf-8", "replace")
 
 
+def parts(text: str, size: int = AT_ONCE) -> Iterator[str]:
+    """A long text cut before single spaces between words, where a chunk ends for sure."""
+    start = 0
+    while len(text) - start > size:
+        hit = BORDER.search(text, start + size)
+        if hit is None:
+            break
+        yield text[start:hit.start()]
+        start = hit.start()
+    yield text[start:] if start else text
+
+
 class Remembered(dict):
     """Token ids of the chunks seen lately; the ones before them are kept until as many new ones came."""
 

@@ -25,7 +25,7 @@ from tokenizers import Tokenizer
 
 from ..session import ship_package, stored
 from .arrow import Sender, arrow_schema, map_batches
-from .bpe import BYTES, byte_alphabet
+from .bpe import BYTES, byte_alphabet, parts
 
 #: Words remembered per Python worker, and the longest one that is worth it; limits memory, not results.
 REMEMBERED, WORTH = 150_000, 48
@@ -75,8 +75,8 @@ class WordIds(dict):
         spelled = text.encode()
         lowered = spelled.lower()
         # a special token is written in lower case; upper case does not make one
-        words = (spelled if b"<|" in lowered else lowered).split()
-        return b"".join(map(self.__getitem__, words))
+        said = text if b"<|" in lowered else lowered.decode()
+        return b"".join([b"".join(map(self.__getitem__, part.encode().split())) for part in parts(said)])
 
 
 @lru_cache(maxsize=2)

@@ -55,6 +55,16 @@ def test_remembering_does_not_change_ids(monkeypatch):
     assert bpe.BytePairs(PATH).encode(text) == whole
 
 
+def test_long_texts_in_parts(library, monkeypatch):
+    rnd = random.Random(8)
+    text = "".join(rnd.choice(["word", " ", "  ", "\n", " a", "é,", "\xa0", "<|endoftext|>"]) for _ in range(6000))
+    assert "".join(bpe.parts(text, 50)) == text and len(list(bpe.parts(text, 50))) > 20
+    cut = lambda said: bpe_parts(said, 50)
+    bpe_parts = bpe.parts
+    monkeypatch.setattr(bpe, "parts", cut)
+    assert ids(bpe.tables(PATH).encode(text)) == library.encode(text, add_special_tokens=False).ids
+
+
 def test_rows(spark):
     rows = [(1, None, "x"), (1, "the cat", "y"), (1, "the cat", "y"), (None, "", "z"), (5, "a" * 200_000, "w")]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids string")
