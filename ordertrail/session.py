@@ -84,7 +84,7 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     broadcast decision, and does not depend on executors that may be lost later.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
