@@ -25,8 +25,10 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     found = stored(simhash.near_duplicates(docs), "groups")
     repeated = stored(found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null").select("doc_id"),
                       "repeated")
-    single = stored(found.where("doc_id = component_id").join(repeated, "doc_id", "left_anti").select("doc_id"), "single")
-    kept = docs.join(single, "doc_id", "left_semi").select(COLUMNS)
+    # the ids that go are fewer than those that stay; the texts move only if even they are too many to send along
+    gone = stored(found.where("doc_id <> component_id").select("doc_id").unionByName(repeated.where("doc_id is not null")),
+                  "gone")
+    kept = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").select(COLUMNS)
     # an id is not enough to tell these rows apart, but what they say is
     several = docs.join(repeated, docs["doc_id"].eqNullSafe(repeated["doc_id"]), "left_semi").select(COLUMNS)
     classes = found.join(repeated, found["doc_id"].eqNullSafe(repeated["doc_id"]), "left_semi").select(
