@@ -33,6 +33,9 @@ def model_input(split: DataFrame, columns: Sequence[str] = tuple(FEATURES)) -> t
     return as_vectors(split, names), names
 
 
+# The defaults of both fits below.
+
+
 def fit_logistic(train: DataFrame, label: str = "churned", c: float = 1.0, max_iter: int = 1000) -> LogisticRegressionModel:
     """L2-penalised logistic regression on the unscaled columns.
 

@@ -61,8 +61,11 @@ _written: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for one written table in the shared folder."""
+    """A fresh path for one written table in the shared folder; it goes when the process ends, or before by
+    ``drop_scratch``."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _written:
+        atexit.register(_drop_at_exit, spark)
     _written.append(path)
     return path
 
@@ -77,6 +80,12 @@ def drop_scratch(spark: SparkSession) -> int:
     return dropped
 
 
+def _drop_at_exit(spark: SparkSession) -> None:
+    # a session that was stopped can delete nothing any more
+    if _written and spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
+        drop_scratch(spark)
+
+
 def stored(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once to the shared folder and return the written table.
 
