@@ -2,6 +2,7 @@
 
 import pytest
 
+from ordertrail.operators import star
 from ordertrail.operators.churn import churn_base
 from ordertrail.operators.members import keep_members
 from ordertrail.plans import registered
@@ -112,3 +113,31 @@ def test_churn_base_splits_hot_customers_and_products(spark, small_skew_limits):
     base = churn_base(facts, customers, products, payments)
     assert len(base.collect()) == 60_000
     assert plan(base).split("Initial Plan")[0].count("skew=true") >= 2
+
+
+def test_products_split_a_hot_category(spark, small_skew_limits):
+    products = spark.range(60_000).repartition(8).selectExpr(
+        "id AS product_id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 > 0 THEN concat('c', id % 100) END AS product_category_name",
+        *[f"CAST(id % 9 AS DECIMAL(10,2)) AS product_{c}" for c in ("weight_g", "length_cm", "height_cm", "width_cm")])
+    translation = spark.range(100).selectExpr("IF(id = 0, 'hot', concat('c', id)) AS product_category_name",
+                                              "concat('e', id) AS product_category_name_english")
+    # tables this small would otherwise come from one map task, which leaves nothing to split
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = star.dim_products(products, translation)
+        found.collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(found.collect()) == 60_000 and "skew=true" in plan(found)
+    assert found.where("product_category_en = 'e0'").count() == 20_000
+
+
+def test_foreign_key_report_evaluates_the_fact_once(spark, folder, no_broadcast):
+    # what is left to run reads the written keys and the written dangling ones
+    text = plan(registered()["fk_report"](spark, folder))
+    assert "lineitem" not in text and "fact-keys" in text
+
+
+def test_silhouette_reads_written_customers(spark, folder):
+    text = plan(registered()["silhouette"](spark, folder))
+    assert "lineitem" not in text and text.split("Initial Plan")[0].count("FileScan") == 2
