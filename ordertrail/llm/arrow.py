@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
 from ..session import ship_package
@@ -39,13 +39,14 @@ class Sender:
         return pa.RecordBatch.from_arrays(arrays, schema=self.schema)
 
 
+def fields(df: DataFrame, *names: str) -> str:
+    """Columns of ``df`` with their types, as part of a schema string."""
+    return ", ".join(f"`{name}` {df.schema[name].dataType.simpleString()}" for name in names)
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
-    """The Arrow schema of a Spark schema of simple columns."""
-    kinds = {"string": pa.string(), "binary": pa.binary(), "bigint": pa.int64(), "int": pa.int32(),
-             "double": pa.float64(), "boolean": pa.bool_(), "array<double>": pa.list_(pa.float64()),
-             "array<bigint>": pa.list_(pa.int64())}
-    fields = [part.strip().split(" ", 1) for part in ddl.split(",")]
-    return pa.schema([(name, kinds[kind.strip()]) for name, kind in fields])
+    """The Arrow schema of a Spark schema string."""
+    return to_arrow_schema(_parse_datatype_string(ddl))
 
 
 def map_batches(df: DataFrame, ddl: str, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
@@ -53,7 +54,3 @@ def map_batches(df: DataFrame, ddl: str, function: Callable[[Iterator[pa.RecordB
     """``mapInArrow`` with this package available on the executors."""
     ship_package(df.sparkSession)
     return df.mapInArrow(function, ddl)
-
-
-def to_struct(ddl: str) -> StructType:
-    return _parse_datatype_string(ddl)

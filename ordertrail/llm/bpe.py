@@ -20,7 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .arrow import Sender, arrow_schema, map_batches
+from .arrow import Sender, arrow_schema, fields, map_batches
 
 #: The pre-tokenizer's pattern, and the white space of Unicode.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -229,7 +229,7 @@ def encode(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") ->
     as empty and has no ids; a null or repeated key stays as it is, one row of output per row of input. Special
     tokens written out in a text become their ids. No shuffle, and nothing is held beyond one batch of rows.
     """
-    ddl = f"{key} {df.schema[key].dataType.simpleString()}, ids binary"
+    ddl = f"{fields(df, key)}, ids binary"
     schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,10 +246,10 @@ def encode(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") ->
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "text") -> DataFrame:
     """``df`` with the column ``text`` (replaced if there is one): what the token ids spell. Null ids: empty."""
-    kept = [f for f in df.schema if f.name != text]
-    ddl = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in kept), f"{text} string"])
+    kept = [name for name in df.columns if name != text]
+    ddl = f"{fields(df, *kept)}, `{text}` string"
     schema = arrow_schema(ddl)
-    at = [f.name for f in kept].index(ids)
+    at = kept.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, out = tables(path), Sender(schema)
@@ -260,4 +260,4 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "text") -> Da
                     yield out.batch()
         yield out.batch()
 
-    return map_batches(df.select([f.name for f in kept]), ddl, run)
+    return map_batches(df.select(*kept), ddl, run)

@@ -13,9 +13,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
 
-from .arrow import Sender, map_batches, to_struct
+from .arrow import Sender, arrow_schema, fields, map_batches
 
 #: The template's control strings.
 START, END = "<|im_start|>", "<|im_end|>"
@@ -101,9 +100,9 @@ def format_conversations(events: DataFrame) -> DataFrame:
     whole = fold(events).groupBy("conv_id").agg(
         F.sort_array(F.collect_list(F.struct("first", "role", "text"))).alias("messages"))
     plain = whole.select("conv_id", F.transform("messages", lambda m: F.struct(m["role"], m["text"])).alias("messages"))
-    ddl = (f"conv_id {events.schema['conv_id'].dataType.simpleString()}, formatted string, "
+    ddl = (f"{fields(events, 'conv_id')}, formatted string, "
            "loss array<struct<start:bigint,stop:bigint>>")
-    schema = to_arrow_schema(to_struct(ddl))
+    schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Sender(schema)
@@ -119,9 +118,9 @@ def format_conversations(events: DataFrame) -> DataFrame:
 
 def read_back(formatted: DataFrame) -> DataFrame:
     """``conv_id``, ``formatted``, ``turns`` (role, text) and ``learned``, the unescaped text under the loss mask."""
-    ddl = (f"conv_id {formatted.schema['conv_id'].dataType.simpleString()}, formatted string, "
+    ddl = (f"{fields(formatted, 'conv_id')}, formatted string, "
            "turns array<struct<role:string,text:string>>, learned string")
-    schema = to_arrow_schema(to_struct(ddl))
+    schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Sender(schema)

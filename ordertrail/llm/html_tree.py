@@ -14,7 +14,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .arrow import Sender, arrow_schema, map_batches
+from .arrow import Sender, arrow_schema, fields, map_batches
 
 TAG = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*+>?|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)"
@@ -269,7 +269,7 @@ def extract(df: DataFrame, keep: list[str], html: str = "html", text: str = "tex
     ``df`` are left out, and a kept column called ``text`` is replaced. No shuffle; the page is one row's value.
     """
     kept = [name for name in keep if name != text]
-    ddl = ", ".join([*(f"{name} {df.schema[name].dataType.simpleString()}" for name in kept), f"{text} string"])
+    ddl = ", ".join([fields(df, *kept), f"`{text}` string"] if kept else [f"`{text}` string"])
     schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

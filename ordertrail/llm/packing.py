@@ -24,7 +24,7 @@ from pyspark.sql.functions import pandas_udf
 from tokenizers import Tokenizer
 
 from ..session import ship_package, stored
-from .arrow import Sender, arrow_schema, map_batches
+from .arrow import Sender, arrow_schema, fields, map_batches
 from .bpe import BYTES, byte_alphabet, parts
 
 #: Words remembered per Python worker, and the longest one that is worth it; limits memory, not results.
@@ -92,7 +92,7 @@ def pieces(df: DataFrame, path: str, capacity: int, end_id: int, key: str = "doc
     Columns: ``key``, ``piece``, ``start``, ``length``, ``ids`` (little-endian unsigned 32-bit integers), and the
     piece's number among those of its length in its task, ``task`` and ``number``.
     """
-    ddl = (f"{key} {df.schema[key].dataType.simpleString()}, piece int, start bigint, length int, ids binary, "
+    ddl = (f"{fields(df, key)}, piece int, start bigint, length int, ids binary, "
            "task int, number bigint")
     schema = arrow_schema(ddl)
     end, step = np.array([end_id], "<u4").tobytes(), capacity * ENTRIES

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package, stored
-from .arrow import Sender, arrow_schema, map_batches
+from .arrow import Sender, arrow_schema, fields, map_batches
 
 SPACES = b" \t\n\v\f\r"
 SYMBOLS = b"#*$%&|<>"
@@ -190,7 +190,7 @@ def assess(df: DataFrame, keep: list[str], lang: str = "lang", text: str = "text
            "base_failed boolean, class_distance double, word_distance double, kept boolean")
     taken = {part.split()[0] for part in new.split(",")}
     kept = [name for name in keep if name not in taken]
-    ddl = ", ".join([*(f"{name} {df.schema[name].dataType.simpleString()}" for name in kept), new])
+    ddl = ", ".join([fields(df, *kept), new] if kept else [new])
     schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from ..session import ship_package, stored
-from .arrow import Sender, arrow_schema, map_batches
+from .arrow import Sender, arrow_schema, fields, map_batches
 
 WORDS, DISTANCE, SEED = 4, 4, 42
 BITS, BANDS = 64, 3
@@ -67,7 +67,7 @@ def fingerprints(df: DataFrame, keep: list[str], text: str = "text", words: int
     A null text has no words; a kept column called fp is replaced.
     """
     kept = [name for name in keep if name != "fp"]
-    ddl = ", ".join([*(f"{name} {df.schema[name].dataType.simpleString()}" for name in kept), "fp bigint"])
+    ddl = ", ".join([fields(df, *kept), "fp bigint"] if kept else ["fp bigint"])
     schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
