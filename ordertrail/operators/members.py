@@ -14,8 +14,13 @@ def keep_members(df: DataFrame, key: str, members: DataFrame, allow_null: bool =
     It also gives both sides a shuffle of the join's own, whatever partitioning they come with, which is
     what adaptive execution needs to split a key that holds many rows.
     """
+    return df.join(member_keys(members, key, allow_null), F.col(key).eqNullSafe(F.col("_member")), "left_semi")
+
+
+def member_keys(members: DataFrame, key: str, allow_null: bool) -> DataFrame:
+    """The values of ``key`` as ``_member``; with ``allow_null`` NULL is one of them, else it is none."""
     keys = members.select(F.col(key).alias("_member")).filter("_member IS NOT NULL")
     if allow_null:
-        absent = df.sparkSession.range(1).select(F.lit(None).cast(keys.schema["_member"].dataType).alias("_member"))
+        absent = members.sparkSession.range(1).select(F.lit(None).cast(keys.schema["_member"].dataType).alias("_member"))
         keys = keys.unionByName(absent)
-    return df.join(keys, F.col(key).eqNullSafe(F.col("_member")), "left_semi")
+    return keys

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import text_literal
 from ..schemas import NOT_NULL, PRIMARY_KEY
 from ..session import stored
+from .members import member_keys
 
 # (column of the fact, dimension, whether NULL is allowed); the dimension has a column of the same name
 Reference = tuple[str, DataFrame, bool]
@@ -35,13 +36,21 @@ def _keys(fact: DataFrame, refs: Sequence[Reference]) -> DataFrame:
 def fk_filter(fact: DataFrame, refs: Sequence[Reference]) -> DataFrame:
     """Keep the fact rows whose every reference exists in its dimension, or is NULL where allowed.
 
-    Only the key columns meet the dimensions; the wide fact is joined to the dangling keys alone.
+    Only the different combinations of keys meet the dimensions. Those with a dangling one are written, few as a rule,
+    and the wide fact is joined once, to them alone.
     """
-    keys = _keys(fact, refs)
+    if not refs:
+        return fact
+    keys = list(dict.fromkeys(key for key, _, _ in refs))
+    used = fact.select(*keys).distinct()
+    bad = []
     for key, dim, nullable in refs:
-        dangling = dangling_keys(keys, key, dim, nullable).select(F.col(key).alias("_dangling"))
-        fact = fact.join(dangling, F.col(key).eqNullSafe(F.col("_dangling")), "left_anti")
-    return fact
+        # NULL as a member where it is allowed: a filter on the used keys would keep the three uses from being one
+        members = member_keys(dim, key, nullable)
+        bad.append(used.join(members, F.col(key).eqNullSafe(F.col("_member")), "left_anti"))
+    dangling = stored(reduce(DataFrame.unionByName, bad), "dangling").select(*[F.col(k).alias(f"_bad_{k}") for k in keys])
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_bad_{k}")) for k in keys])
+    return fact.join(dangling, same, "left_anti")
 
 
 def fk_report(fact: DataFrame, refs: Sequence[Reference]) -> DataFrame:
