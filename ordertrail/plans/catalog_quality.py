@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import quality
+from ..session import stored
 from ..sources import load_counts
 from .catalog_star import FACT_SQL
 from .registry import query
@@ -26,7 +27,8 @@ _OK = """
 
 @query("fk_filter", f"{FACT_SQL} WHERE {_OK}")
 def _(t: Tables):
-    return quality.fk_filter(t.fact, _partial_refs(t))
+    # read for its keys and again for its rows, so it is written rather than built twice
+    return quality.fk_filter(stored(t.fact, "fact"), _partial_refs(t))
 
 
 @query("fk_report", f"""
