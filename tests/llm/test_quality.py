@@ -94,6 +94,20 @@ def test_good_documents_stay_and_junk_goes(spark, folder):
     assert sum(good) / len(good) > 0.9 and sum(bad) / len(bad) < 0.5
 
 
+def test_junk_goes_at_every_length(spark, folder):
+    rows = {r["doc_id"]: r for r in op4_quality_rules(spark, folder).collect()}
+    labels = spark.read.parquet(f"{folder}/labels.parquet").collect()
+    seen = 0
+    for least, most in [(50, 99), (100, 199), (200, 1 << 30)]:
+        band = [(r["quality"], rows[r["doc_id"]]) for r in labels if least <= rows[r["doc_id"]]["n_words"] <= most]
+        good = [r["kept"] for quality_label, r in band if quality_label == 1]
+        bad = [r["kept"] for quality_label, r in band if quality_label == 0 and not r["base_failed"]]
+        assert good and sum(good) / len(good) > 0.95, (least, most)
+        assert sum(bad) <= 0.1 * len(bad), (least, most)
+        seen += len(bad)
+    assert seen
+
+
 def test_rows(spark):
     prose = " ".join(f"word{i % 70} and the {i}" for i in range(100))
     junk = " ".join(f"## {i} ||" for i in range(100))
