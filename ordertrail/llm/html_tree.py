@@ -25,9 +25,15 @@ ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*("[
 BLANK = re.compile(r"\s+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Their content is no text of the page, up to their end tag.
-RAW = frozenset("script style title textarea noscript iframe template svg math object canvas audio video "
-                "noframes noembed xmp".split())
+#: Raw text: their content is no text of the page, up to their end tag.
+RAW = frozenset("script style title textarea iframe noframes noembed xmp".split())
+#: Elements like others whose content is not shown: pictures, what stands in for media, and a formula's source next to it.
+UNSHOWN = frozenset("svg object canvas audio video template noscript annotation annotation-xml".split())
+#: Of these one cannot be in another.
+UNNESTED = frozenset("canvas audio video noscript annotation annotation-xml".split())
+UNSHOWN_TAG = {tag: re.compile(rf"<(/?){tag}(?=[\s/>])", re.I) for tag in UNSHOWN}
+#: Inside these a tag that ends in "/>" has no content.
+FOREIGN = ("svg", "math")
 RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I) for tag in RAW}
 #: Whole elements that are never the article.
 CHROME = frozenset("nav header footer aside form button select option menu dialog fieldset label datalist".split())
@@ -43,7 +49,9 @@ CHROME_WORD = frozenset(
 #: Never dropped for a name: these hold the article.
 TRUSTED = frozenset(["html", "body", "main", "article"])
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp "
-                   "small span strike strong sub sup time tt u var".split()) | VOID - {"hr"}
+                   "small span strike strong sub sup time tt u var math mi mn mo ms mtext mspace mrow mfrac msqrt mroot "
+                   "mstyle merror mpadded mphantom mfenced menclose msub msup msubsup munder mover munderover "
+                   "mmultiscripts mprescripts mtable mtr mtd semantics".split()) | VOID - {"hr"} | UNSHOWN
 PARAGRAPH = frozenset("p pre li td th dt dd blockquote figcaption caption summary h1 h2 h3 h4 h5 h6".split())
 #: What a start tag ends that is still open, and where the search for it stops.
 ENDS = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -95,6 +103,7 @@ class Page:
         self.blocks: list[tuple[Element, str]] = []
         self.text: list[str] = []
         self.link_chars = 0
+        self.last_end: dict[str, int] = {}
         start, size = 0, len(html)
         while start < size:
             hit = TAG.search(html, start)
@@ -110,6 +119,10 @@ class Page:
             tag = tag.lower()
             if hit["close"]:
                 self._end(tag)
+            elif hit["attributes"].endswith("/>") and (tag in UNSHOWN or tag in FOREIGN or any(map(self.open.get, FOREIGN))):
+                continue
+            elif tag in UNSHOWN and self._unclosed(html, tag, start):
+                continue
             elif tag in RAW:
                 end = RAW_END[tag].search(html, start)
                 start = end.end() if end else size
@@ -117,6 +130,12 @@ class Page:
                 self._start(tag, hit["attributes"])
         self._flush()
 
+    def _unclosed(self, html: str, tag: str, start: int) -> bool:
+        """True if no end tag can be that of the ``tag`` before ``start``, which then holds nothing."""
+        if tag not in self.last_end:
+            self.last_end[tag] = max((hit.start() for hit in UNSHOWN_TAG[tag].finditer(html, start) if hit[1]), default=-1)
+        return self.last_end[tag] < start or tag in UNNESTED and not UNSHOWN_TAG[tag].search(html, start)[1]
+
     def _say(self, text: str) -> None:
         if self.at.dropped:
             return
@@ -126,7 +145,7 @@ class Page:
 
     def _block(self) -> Element:
         element = self.at
-        while element.tag in INLINE:
+        while element.tag in INLINE or element.dropped:
             element = element.parent
         return element
 
@@ -161,6 +180,8 @@ class Page:
         self.open[tag] = self.open.get(tag, 0) + 1
 
     def _pop(self) -> None:
+        if self.text and not self.at.dropped and self.at.tag not in INLINE:
+            self._flush()
         self.open[self.at.tag] -= 1
         self.at = self.at.parent
 
@@ -172,21 +193,23 @@ class Page:
                 self.text.append(" ")
             return
         if tag not in INLINE:
-            self._flush()
+            if not self.at.dropped:
+                self._flush()
             if self.open.get("p"):
-                self._close_to("p", TRUSTED | {"td", "th", "table", "li", "div", "section", "blockquote"})
+                self._close_to("p", TRUSTED | UNSHOWN | {"td", "th", "table", "li", "div", "section", "blockquote"})
             if tag in ENDS:
                 ended, stops = ENDS[tag]
-                self._close_any(ended, stops)
+                self._close_any(ended, stops | UNSHOWN)
         elif tag == "a" and self.open.get("a"):
-            self._close_to("a", {"td", "table"})
-        self._push(tag, self.at.dropped or is_chrome(tag, attributes))
+            self._close_to("a", {"td", "table"} | UNSHOWN)
+        self._push(tag, self.at.dropped or tag in UNSHOWN or is_chrome(tag, attributes))
 
     def _end(self, tag: str) -> None:
-        if tag not in INLINE:
+        if tag not in INLINE and not self.at.dropped:
             self._flush()
         if self.open.get(tag):
-            self._close_to(tag, () if tag not in INLINE else PARAGRAPH | TRUSTED | {"div", "section", "table"})
+            own = tag not in INLINE or tag in UNSHOWN
+            self._close_to(tag, () if own else PARAGRAPH | TRUSTED | UNSHOWN | {"div", "section", "table"})
 
     def _close_to(self, tag: str, stops) -> None:
         """End the nearest open ``tag`` and all in it, unless one of ``stops`` lies between."""

@@ -45,6 +45,32 @@ def test_pages(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    (f"<article><p>{LONG}<svg class=i/> and on</p><p>{LONG}</p></article>", f"{LONG} and on\n{LONG}"),
+    (f"<article><p>{LONG}</p><svg class='i' /><p>two</p><svg><title>t</title><path d='M0'/><text>no</text></svg><p>three</p>"
+     "</article>", f"{LONG}\ntwo\nthree"),
+    (f"<article><object data=x><p>{LONG}</p><p>{LONG}</p></article>", f"{LONG}\n{LONG}"),
+    (f"<article><p>{LONG}</p><div><video src=x></div><p>{LONG}</p></article><div><video>no</video></div>", f"{LONG}\n{LONG}"),
+    (f"<article><p>{LONG}</p><div><object data=x></div><p>{LONG}</p></article><div><object>no</object></div>",
+     f"{LONG}\n{LONG}"),
+    (f"<article><p>{LONG} <video><p>no</p> no</video> end</p><canvas>no</canvas><audio>no</audio></article>", f"{LONG} end"),
+    (f"<article><object><object><p>no</p></object>no</object><p>{LONG}</p><template><p>no</p></template><p>end</p>"
+     "<noscript><p>no</p></noscript></article>", f"{LONG}\nend"),
+    (f"<article><p>{LONG} <math><mi>E</mi><mo>=</mo><mi>m</mi><mspace/><msup><mi>c</mi><mn>2</mn></msup></math> holds</p>"
+     "</article>", f"{LONG} E=mc2 holds"),
+    (f"<article><p>{LONG} <math><semantics><mi>x</mi><annotation>\\x</annotation></semantics></math></p></article>", f"{LONG} x"),
+    (f"<p>{LONG}<iframe><p>no</p></iframe></p>", LONG),
+])
+def test_what_is_not_shown_ends(page, text):
+    assert main_text(page) == text
+
+
+@pytest.mark.parametrize("page", ["<svg>" * 20000 + LONG, "<video>" * 20000 + "</video>", "<object>" * 20000 + "</object>" * 3,
+                                  "<p><object>" * 20000 + "</object>", "<math><mi/>" * 20000, "<svg/>" * 20000])
+def test_odd_pages_of_unshown_elements_end(page):
+    main_text(page)
+
+
 @pytest.mark.parametrize("page", ["<div>" * 20000 + LONG, "<p>" * 20000, "<a '" * 20000, "<li>" * 20000 + "x", "</p>" * 20000,
                                   "<b>" * 20000 + "</i>" * 20000, "&" * 100000, "<!--" * 20000, "<" * 100000])
 def test_odd_pages_end(page):
