@@ -1,8 +1,9 @@
 """Main text of web pages by scoring the element tree.
 
 Every paragraph earns points for its length and commas and passes them to its ancestors, less with each level;
-a container's points are discounted by the share of its text that is links. The best container is the article,
-together with those of its siblings that score well enough themselves.
+a container's points are discounted by the share of its text that is links. The best container is the article;
+where it is part of an <article> or <main>, that whole element is. Siblings are kept with it: those that score well
+enough themselves, and headings and text with few links.
 """
 
 from __future__ import annotations
@@ -61,6 +62,11 @@ BASE_POINTS = {"article": 10, "main": 10, "div": 5, "section": 5, "pre": 3, "td"
                "ol": -3, "dl": -3, "li": -3, "address": -3, "body": 0}
 SCORED_FROM, LEVELS = 25, 5
 SIBLING_SHARE, SIBLING_LEAST = 0.2, 10
+#: Text with no larger share of links reads as text; a list of links has more.
+LOW_LINKS = 1 / 3
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Of no meaning of their own: without points they are taken for text only if a heading is in them.
+PLAIN = frozenset("div span center address".split()) | INLINE
 
 
 class Element:
@@ -257,10 +263,13 @@ class Page:
             if element.points is not None:
                 chars, links = totals[element]
                 scored[element] = element.points * (1 - links / chars)
+        own: set[Element] = set()
         if scored:
             best = max(scored, key=scored.get)  # of equal ones the first
-            least = max(SIBLING_LEAST, SIBLING_SHARE * scored[best])
-            kept = {e for e, points in scored.items() if e.parent is best.parent and points >= least} | {best}
+            kept = self._kept(best, scored, totals)
+            outer = next(iter(kept)).parent  # of all that is kept
+            if outer is not None and outer.links <= LOW_LINKS * outer.chars:
+                own = {outer}  # its own text stands between them
         else:  # nothing long enough to score
             named = [e for e in elements if e.tag in ("article", "main")]
             kept = {max(named, key=lambda e: totals[e][0]) if named else self.root}
@@ -275,10 +284,51 @@ class Page:
             found = above is not None and (above in kept or inside[above])
             for e in trail:
                 inside[e] = found
-            if found:
+            if found or element in own:
                 out.append(said)
         return out
 
+    def _kept(self, best: Element, scored: dict[Element, float], totals: dict[Element, list[int]]) -> set[Element]:
+        """The article around the best container, and its siblings that belong to it; ``totals`` is in page order."""
+        article, holders, above = best, {}, best
+        while above is not None:
+            if above.tag in ("article", "main"):
+                holders[above.tag] = above  # the outermost
+            above = above.parent
+        article = holders.get("article") or holders.get("main") or best
+        while article.parent is not None and totals[article.parent][0] == totals[article][0]:
+            article = article.parent  # it holds no other text
+        kept, outer = {article}, article.parent
+        if outer is None:
+            return kept
+        headed = set()
+        for element, _ in self.blocks:
+            if element.tag in HEADING:
+                while element is not None and element not in headed:
+                    headed.add(element)
+                    element = element.parent
+        share = SIBLING_SHARE * scored[best]
+        page = outer.tag in ("body", "html", self.root.tag)
+        follows = True  # is what comes after a heading kept
+        for sibling in reversed([e for e in totals if e.parent is outer]):
+            if sibling is article:
+                follows = True
+                continue
+            chars, links = totals[sibling]
+            points, few = scored.get(sibling), links <= LOW_LINKS * chars
+            if sibling.tag in HEADING:
+                good = follows
+            elif points is None:
+                good = few and (sibling.tag not in PLAIN or sibling in headed or "main" in holders)
+            else:
+                good = points >= max(SIBLING_LEAST, share) or few and (
+                    sibling.tag not in PLAIN or not page or points >= share)
+            if good:
+                kept.add(sibling)
+            if sibling.tag not in HEADING:
+                follows = good
+        return kept
+
 
 def main_text(html: str) -> str:
     return "\n".join(Page(html).article())

@@ -45,6 +45,30 @@ def test_pages(page, text):
     assert main_text(page) == text
 
 
+THREE = "x" * 170 + ", and, so"
+BODY = f"<p>{THREE}, {THREE}</p>" * 10
+SAID = "\n".join([f"{THREE}, {THREE}"] * 10)
+MENU = "<ul>" + "<li><a href=x>some other page of this site</a></li>" * 4 + "</ul>"
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<div><h1>T</h1><p>lead</p><div class=body>{BODY}</div><p>closing</p></div>", f"T\nlead\n{SAID}\nclosing"),
+    (f"<div><h1>T</h1><div class=wrap><div class=body>{BODY}</div></div><p>closing</p></div>", f"T\n{SAID}\nclosing"),
+    (f"<div><div><h1>T</h1>by me</div><div>{BODY}</div><ul><li>one</li></ul><pre>x = 1</pre></div>",
+     f"T\nby me\n{SAID}\none\nx = 1"),
+    (f"<div><section>{BODY}</section><section><p>{THREE}</p></section><section><h2>S</h2><p>short</p></section></div>",
+     f"{SAID}\n{THREE}\nS\nshort"),
+    (f"<body><div>{BODY}</div><section><p>{THREE}</p></section><p><a href=x>More</a></p></body>", f"{SAID}\n{THREE}"),
+    (f"<main><article><h1>T</h1><div><div>{BODY}</div><div>short</div></div><section><p>{THREE}</p></section><p>end</p>"
+     f"</article></main>", f"T\n{SAID}\nshort\n{THREE}\nend"),
+    (f"<main><h1>T</h1><p>lead</p><article><div>{BODY}</div></article><div>note</div>{MENU}</main>", f"T\nlead\n{SAID}\nnote"),
+    (f"<body><div>Site</div><h1>T</h1><div>{BODY}</div><h2>Other pages</h2>{MENU}</body>", f"T\n{SAID}"),
+    (f"<div>lead words<div>{BODY}</div>last words</div>", f"lead words\n{SAID}\nlast words"),
+])
+def test_nested_pages(page, text):
+    assert main_text(page) == text
+
+
 @pytest.mark.parametrize("page, text", [
     (f"<article><p>{LONG}<svg class=i/> and on</p><p>{LONG}</p></article>", f"{LONG} and on\n{LONG}"),
     (f"<article><p>{LONG}</p><svg class='i' /><p>two</p><svg><title>t</title><path d='M0'/><text>no</text></svg><p>three</p>"
