@@ -20,8 +20,8 @@ from .arrow import Sender, arrow_schema, fields, map_batches
 TAG = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*+>?|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)"
     r"(?P<attributes>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*+(?:>|\Z))", re.S)
-ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?(?=[\s/>])""",
-                       re.I)
+#: Any attribute: what is quoted belongs to its name and is never one itself.
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++))?""")
 #: White space of HTML; a no-break space that a character reference stands for is text to the decoder, space to us.
 BLANK = re.compile(r"\s+")
 
@@ -47,6 +47,12 @@ CHROME_WORD = frozenset(
     "respond reply replies discussion notice notices cookie cookies consent gdpr newsletter subscribe subscription "
     "signup login popup modal overlay breadcrumb breadcrumbs share sharing social related recommended "
     "recommendations pagination pager toolbar widget widgets skip alert outbrain taboola".split())
+#: Those that can also name a part of an article: inside one they count only with links or form fields to agree.
+DOUBTFUL_WORD = frozenset(
+    "promotion banner menu nav navigation rail footer header comment discussion notice notices respond reply replies "
+    "related recommended recommendations share sharing social overlay subscription login toolbar widget widgets skip "
+    "alert".split())
+FORM = frozenset("form input button select textarea".split())
 #: Never dropped for a name: these hold the article.
 TRUSTED = frozenset(["html", "body", "main", "article"])
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp "
@@ -70,34 +76,41 @@ PLAIN = frozenset("div span center address".split()) | INLINE
 
 
 class Element:
-    __slots__ = ("tag", "parent", "depth", "dropped", "points", "chars", "links")
+    __slots__ = ("tag", "parent", "depth", "dropped", "points", "chars", "links", "doubt", "forms", "mark")
 
     def __init__(self, tag: str, parent: "Element | None", dropped: bool):
         self.tag, self.parent, self.dropped = tag, parent, dropped
         self.depth = parent.depth + 1 if parent else 0
         self.points: float | None = None
         self.chars = self.links = 0
+        self.doubt: Element | None = parent.doubt if parent else None  # the nearest of doubtful name around it
+        self.forms = False
+        self.mark: tuple[int, int, int] | None = None  # of a doubtful inline element: blocks, texts, link text before it
 
 
-def is_chrome(tag: str, attributes: str) -> bool:
-    """True for menus, headers, footers, sidebars, notices, adverts, forms, comments and what is hidden."""
+def chrome(tag: str, attributes: str) -> int:
+    """2 for menus, headers, footers, sidebars, notices, adverts, forms, comments and what is hidden, 1 for what only
+    a name that parts of articles have too speaks for, 0 for others."""
     if tag in CHROME:
-        return True
-    if "=" not in attributes and "hidden" not in attributes:
-        return False
+        return 2
+    if "=" not in attributes and "hidden" not in attributes.lower():
+        return 0
+    found = 0
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return tag not in TRUSTED
+            return 0 if tag in TRUSTED else 2
         if name == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                return True
+                return 2
         elif name == "role":
             if value in CHROME_ROLE:
-                return True
-        elif tag not in TRUSTED and not CHROME_WORD.isdisjoint(re.split(r"[^a-z]+", value)):
-            return True
-    return False
+                return 2
+        elif name in ("class", "id") and tag not in TRUSTED and tag not in HEADING:
+            words = CHROME_WORD.intersection(re.split(r"[^a-z]+", value))
+            if words:
+                found = max(found, 1 if words <= DOUBTFUL_WORD else 2)
+    return found
 
 
 class Page:
@@ -130,6 +143,8 @@ class Page:
             elif tag in UNSHOWN and self._unclosed(html, tag, start):
                 continue
             elif tag in RAW:
+                if tag in FORM and self.at.doubt:
+                    self.at.doubt.forms = True
                 end = RAW_END[tag].search(html, start)
                 start = end.end() if end else size
             else:
@@ -186,6 +201,12 @@ class Page:
         self.open[tag] = self.open.get(tag, 0) + 1
 
     def _pop(self) -> None:
+        if self.at.mark is not None and self.at.mark[0] == len(self.blocks):
+            _, texts, links = self.at.mark
+            said = sum(map(len, self.text[texts:]))
+            if self.at.forms or self.link_chars - links > LOW_LINKS * said:
+                del self.text[texts:]
+                self.link_chars = links
         if self.text and not self.at.dropped and self.at.tag not in INLINE:
             self._flush()
         self.open[self.at.tag] -= 1
@@ -193,6 +214,8 @@ class Page:
 
     def _start(self, tag: str, attributes: str) -> None:
         if tag in VOID:
+            if tag in FORM and self.at.doubt:
+                self.at.doubt.forms = True
             if tag == "hr":
                 self._flush()
             elif not self.at.dropped and tag != "wbr":
@@ -208,7 +231,15 @@ class Page:
                 self._close_any(ended, stops | UNSHOWN)
         elif tag == "a" and self.open.get("a"):
             self._close_to("a", {"td", "table"} | UNSHOWN)
-        self._push(tag, self.at.dropped or tag in UNSHOWN or is_chrome(tag, attributes))
+        if tag in FORM and self.at.doubt:
+            self.at.doubt.forms = True
+        named = 0 if self.at.dropped else chrome(tag, attributes)
+        doubtful = named == 1 and (self.open.get("article") or self.open.get("main"))
+        self._push(tag, self.at.dropped or tag in UNSHOWN or bool(named) and not doubtful)
+        if doubtful:
+            self.at.doubt = self.at
+            if tag in INLINE:
+                self.at.mark = (len(self.blocks), len(self.text), self.link_chars)
 
     def _end(self, tag: str) -> None:
         if tag not in INLINE and not self.at.dropped:
@@ -243,6 +274,7 @@ class Page:
 
     def article(self) -> list[str]:
         """The blocks of the best container and of its good siblings, in page order."""
+        self._drop_doubtful()
         if not self.blocks:
             return []
         scored: dict[Element, float] = {}
@@ -288,6 +320,42 @@ class Page:
                 out.append(said)
         return out
 
+    def _drop_doubtful(self) -> None:
+        """Take out what has a doubtful name and is mostly links, or holds form fields."""
+        sums: dict[Element, list[int]] = {}
+        for element, _ in self.blocks:
+            if element.doubt and element not in sums:
+                sums[element] = [element.chars, element.links]
+        if not sums:
+            return
+        inner: dict[Element, list[int]] = {}
+        for element, (chars, links) in sums.items():
+            of = inner.setdefault(element.doubt, [0, 0])
+            of[0] += chars
+            of[1] += links
+        nested = set(inner)
+        for doubt in inner:
+            above = doubt.parent.doubt
+            while above is not None and above not in nested:
+                nested.add(above)
+                above = above.parent.doubt
+        for doubt in sorted(nested, key=lambda e: -e.depth):  # inner ones first
+            of, above = inner.setdefault(doubt, [0, 0]), doubt.parent.doubt
+            if above is not None:
+                into = inner.setdefault(above, [0, 0])
+                into[0] += of[0]
+                into[1] += of[1]
+                above.forms |= doubt.forms
+        gone = {}
+        for doubt in sorted(nested, key=lambda e: e.depth):
+            chars, links = inner[doubt]
+            gone[doubt] = gone.get(doubt.parent.doubt, False) or doubt.forms or links > LOW_LINKS * chars
+        left = [(element, said) for element, said in self.blocks if not gone.get(element.doubt, False)]
+        for element, _ in self.blocks:
+            if gone.get(element.doubt, False):
+                element.chars = element.links = 0
+        self.blocks = left
+
     def _kept(self, best: Element, scored: dict[Element, float], totals: dict[Element, list[int]]) -> set[Element]:
         """The article around the best container, and its siblings that belong to it; ``totals`` is in page order."""
         article, holders, above = best, {}, best

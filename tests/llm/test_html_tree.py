@@ -69,6 +69,25 @@ def test_nested_pages(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    (f"<article><p>{LONG}</p><section id=discussion><h2>Discussion</h2><p>{LONG}</p></section></article>",
+     f"{LONG}\nDiscussion\n{LONG}"),
+    (f"<article><h2 id=related-work>Related work</h2><p>{LONG}</p><h2 id='social-impact'>Impact</h2></article>",
+     f"Related work\n{LONG}\nImpact"),
+    (f"<article><p class=notice-period>{LONG}</p></article>", LONG),
+    (f"<div><p data-id='nav-1'>{LONG}</p><p title='a hidden gem'>{LONG}</p><p data-x=hidden>{LONG}</p></div>",
+     "\n".join([LONG] * 3)),
+    (f"<article><p>{LONG}</p><div class=related>{MENU}</div><div class='share'><p>{LONG}<input></p></div>"
+     f"<div class=reply><div class=notice><form><p>no</p></form>{LONG}</div></div><div class='sidebar'>{LONG}</div></article>", LONG),
+    (f"<article><p>{LONG}</p><div CLASS=sidebar>{LONG}</div><p ARIA-HIDDEN='true'>{LONG}</p><p HIDDEN>{LONG}</p></article>", LONG),
+    (f"<article><p>{LONG} <span class=share><a href=x>Post it</a></span><a class=social>Tweet</a><b class=notice>mind</b></p>"
+     f"<div class=ad>{LONG}</div></article>", f"{LONG} mind"),
+    (f"<div><p>{LONG}</p><div class=discussion><p>{LONG}</p></div></div>", LONG),
+])
+def test_names_inside_articles(page, text):
+    assert main_text(page) == text
+
+
 @pytest.mark.parametrize("page, text", [
     (f"<article><p>{LONG}<svg class=i/> and on</p><p>{LONG}</p></article>", f"{LONG} and on\n{LONG}"),
     (f"<article><p>{LONG}</p><svg class='i' /><p>two</p><svg><title>t</title><path d='M0'/><text>no</text></svg><p>three</p>"
