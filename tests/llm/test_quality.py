@@ -120,3 +120,59 @@ def test_rows(spark):
     verdict = {(r["doc_id"], r["lang"]): r["kept"] for r in found.collect()}
     assert verdict[(2, "en")] and verdict[(None, None)] and not verdict[(1, "en")] and not verdict[(4, "en")]
     assert quality.assess(df.limit(0), ["doc_id"]).count() == 0
+
+
+def _documents(spark, folder):
+    return [(r["doc_id"], r["text"], r["lang"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+
+
+def _verdicts(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id string, text string, lang string").repartition(3)
+    found = quality.assess(df, ["doc_id", "lang"]).collect()
+    assert sorted((r["doc_id"], r["lang"]) for r in found if r["doc_id"]) == sorted((r[0], r[2]) for r in rows if r[0])
+    assert len(found) == len(rows)
+    return {r["doc_id"]: r for r in found}
+
+
+def test_small_languages(spark, folder, monkeypatch):
+    """Documents under rare labels: one with words enough for a reference, and one, or none, without."""
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    docs = _documents(spark, folder)
+    rows = [(str(i), text, lang) for i, text, lang in docs]
+    moved = [(i, text) for i, text, lang in docs if lang == "de"]
+    some = [(i, text) for i, text, lang in docs if labels.get(i) is not None and len((text or "").split()) >= 50]
+    some = [x for x in some if labels[x[0]] == 1][:5] + [x for x in some if labels[x[0]] == 0]
+    rows += [(f"rare{i}", text, "aa") for i, text in moved]
+    rows += [(f"few{i}", text, f"b{i}") for i, text in some] + [(f"none{i}", text, None) for i, text in some]
+    usual = _verdicts(spark, rows)
+    monkeypatch.setattr(quality, "LANGUAGE_SHARE", 0.9)  # no language is large: each reference is joined
+    joined = _verdicts(spark, rows)
+    assert {k: r["kept"] for k, r in joined.items()} == {k: r["kept"] for k, r in usual.items()}
+    for i, text in moved:
+        a, b = joined[f"rare{i}"], joined[str(i)]
+        assert (a["class_distance"], a["word_distance"], a["kept"]) == (b["class_distance"], b["word_distance"], b["kept"])
+    for start in ("few", "none"):
+        verdicts = [(labels[i], joined[f"{start}{i}"]["kept"]) for i, _ in some]
+        assert all(kept for good, kept in verdicts if good) and not any(kept for good, kept in verdicts if not good)
+
+
+def test_a_verdict_does_not_depend_on_other_languages(spark, folder):
+    docs = _documents(spark, folder)
+    one = [(str(i), text, lang) for i, text, lang in docs if lang == "es"]
+    size = sum(len((text or "").split()) for _, text, _ in one)
+    alone = _verdicts(spark, one)
+    other = spark.range(1100, numPartitions=8).selectExpr(
+        "concat('x', id) as doc_id", f"repeat('w ', {size}) as text", "'zz' as lang")
+    beside = quality.assess(spark.createDataFrame(one, other.schema).unionByName(other), ["doc_id"])
+    beside = {r["doc_id"]: r for r in beside.where("doc_id not like 'x%'").collect()}
+    for doc_id, r in alone.items():
+        assert beside[doc_id]["word_distance"] == r["word_distance"] and beside[doc_id]["kept"] == r["kept"]
+
+
+def test_letters_of_a_script_do_not_count_against_a_small_language(spark, folder):
+    rows = [(str(i), text, lang) for i, text, lang in _documents(spark, folder)]
+    arabic = "".join(chr(0x628 + j % 19) for j in range(40))
+    prose = " ".join(arabic[j % 31:j % 31 + 2 + j % 7] + ("." if j % 12 == 11 else "") for j in range(120))
+    rows += [("arabic", prose, "ar"), ("table", " | ".join(arabic[j % 31:j % 31 + 2 + j % 7] for j in range(60)), "ar")]
+    found = _verdicts(spark, rows)
+    assert found["arabic"]["kept"] and not found["table"]["kept"]
