@@ -42,8 +42,8 @@ KINDS = [
     Kind("identifier", r"""(?i:access_?key_?id|access_?key|client_?id|account_?id|user_?name|user|login)["']?\x20*"""
                        r"""[:=]\x20*["']?[A-Za-z0-9@._+-]{3,}""", IDENTIFIER, True),
     Kind("short_assign", _ASSIGN, SECRET, True, least=6, most=11, group=2),
-    Kind("bare_secret", r"(?<![A-Za-z0-9+/_=-])(?=[A-Z0-9+/_-]{0,63}[a-z])(?=[a-z0-9+/_-]{0,63}[A-Z])"
-                        r"(?=[A-Za-z+/_-]{0,63}[0-9])[A-Za-z0-9+/_-]{20,}={0,2}", SECRET, True),
+    Kind("bare_secret", r"(?<![A-Za-z0-9+/_=-])(?=[A-Z0-9+/_-]*+[a-z])(?=[a-z0-9+/_-]*+[A-Z])"
+                        r"(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{20,}={0,2}", SECRET, True),
 ]
 STRONG = [k for k in KINDS if not k.weak]
 #: Hexadecimal runs of ordinary numbers are spans, but no part of a credential.

@@ -76,6 +76,16 @@ def test_weak_parts_alone_are_not_reported(spark):
     assert [r["spans"] for r in secrets.scan(df).collect()] == [[], []]
 
 
+def test_bare_secrets_are_looked_at_whole(spark):
+    tokens = ["a" * 70 + "B1", "A" * 100 + "b/1=", "9" * 5000 + "xY", "aB" * 40 + "+7", "aB" * 40, "b1" * 40, "B1" * 40]
+    df = spark.createDataFrame([(f"user=bob {token} end", token) for token in tokens], "text string, token string")
+    spans = secrets.listed(F.col("spans"), ["bare_secret"]).alias("listed")
+    found = {r["token"]: r["listed"] for r in secrets.scan(df).select("token", spans).collect()}
+    for token in tokens[:4]:
+        assert found[token] == f"bare_secret:9:{9 + len(token)}"
+    assert not any(found[token] for token in tokens[4:])
+
+
 def test_redact(spark):
     df = spark.createDataFrame([(t,) for t in TEXTS], "text string")
     for r in secrets.redact(secrets.scan(df).withColumn("before", F.col("text"))).collect():
