@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontaminate import BETWEEN, LOWER, SIZE, UPPER
 from .licenses import TEMPLATES, THRESHOLD
 from .warc import REVISIT_FROM
 
@@ -62,3 +63,24 @@ LICENSES = f"""
                                  max(dice) AS dice FROM best GROUP BY doc_id)
     SELECT doc_id, coalesce(n, 0) AS n_matches, coalesce(licenses, '') AS licenses, round(CAST(dice AS DOUBLE), 9) AS best_score
     FROM documents LEFT JOIN per_document USING (doc_id)"""
+
+
+def _words(text: str) -> str:
+    word = "[^" + BETWEEN[1:]
+    return f"regexp_extract_all(translate(coalesce({text}, ''), '{UPPER}', '{LOWER}'), '{word}')"
+
+
+DECONTAMINATION = f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_words("text")} AS w FROM documents),
+         b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_words("text")} AS w FROM benchmark),
+         g AS (SELECT DISTINCT item, size, array_to_string(w[i:i + size - 1], ' ') AS gram
+               FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i
+                     FROM (SELECT *, least(len(w), {SIZE}) AS size FROM b WHERE len(w) > 0))),
+         v AS (SELECT r, i, size, array_to_string(w[i:i + size - 1], ' ') AS gram
+               FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i FROM d, (SELECT DISTINCT size FROM g))),
+         hit AS (SELECT r, i, size, item FROM v JOIN g USING (gram, size)),
+         counted AS (SELECT r, count(*) AS n FROM (SELECT DISTINCT r, unnest(range(i, i + size)) AS at FROM hit) GROUP BY r),
+         named AS (SELECT r, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',' ORDER BY item) AS ids FROM hit GROUP BY r)
+    SELECT doc_id, len(w) AS n_words, coalesce(counted.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
+           sha256(coalesce(ids, '')) AS items_sha256, coalesce(counted.n, 0) > 0 AS contaminated
+    FROM d LEFT JOIN counted USING (r) LEFT JOIN named USING (r)"""

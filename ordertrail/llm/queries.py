@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import ann, bpe, chat, html_tree, licenses, oracles, packing, quality, secrets, simhash, warc
+from . import ann, bpe, chat, decontaminate, html_tree, licenses, oracles, packing, quality, secrets, simhash, warc
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -122,10 +122,21 @@ def op10_license_scans(spark: SparkSession, folder: str) -> DataFrame:
         F.round(F.array_max(F.transform("matches", lambda m: m["dice"])), 9).alias("best_score"))
 
 
+def op13_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document inside benchmark passages, and the items that these are from."""
+    found = decontaminate.scan(table(spark, folder, "documents"), table(spark, folder, "benchmark"), ["doc_id"])
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc, op2_secret_scans, op3_bpe, op4_quality_rules, op5_simhash_near_dedup, op6_nearest_neighbours,
-    op7_html_extraction, op8_best_fit_packing, op9_chat_formatting, op10_license_scans)}
+    op7_html_extraction, op8_best_fit_packing, op9_chat_formatting, op10_license_scans,
+    op13_benchmark_decontamination)}
 
 #: The others have no SQL form and are tested against plain versions.
 ORACLES: dict[str, str] = {
-    "op1_warc": oracles.WARC, "op9_chat_formatting": oracles.chat(CONTROL), "op10_license_scans": oracles.LICENSES}
+    "op1_warc": oracles.WARC, "op9_chat_formatting": oracles.chat(CONTROL), "op10_license_scans": oracles.LICENSES,
+    "op13_benchmark_decontamination": oracles.DECONTAMINATION}
