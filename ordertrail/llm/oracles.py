@@ -84,3 +84,35 @@ DECONTAMINATION = f"""
     SELECT doc_id, len(w) AS n_words, coalesce(counted.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
            sha256(coalesce(ids, '')) AS items_sha256, coalesce(counted.n, 0) > 0 AS contaminated
     FROM d LEFT JOIN counted USING (r) LEFT JOIN named USING (r)"""
+
+
+_SPLIT = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+AUDIT = f"""
+    WITH RECURSIVE l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+                                max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+         d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS said, {_SPLIT} AS w FROM documents),
+         marked AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, [
+                           len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+                           100 * length(regexp_replace(said, '[^A-Z]', '', 'g')) > 3 * length(said),
+                           regexp_matches(said, '[#$%&*|]'),
+                           coalesce(doc_id > min(doc_id) OVER (PARTITION BY said), false)] AS fails
+                    FROM d LEFT JOIN l USING (doc_id)),
+         cells AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM marked GROUP BY part, fails),
+         walk(so_far, step) AS (SELECT '', 0 UNION ALL SELECT so_far || f, step + 1
+                                FROM walk, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) t(f) WHERE NOT contains(so_far, f)),
+         steps AS (SELECT so_far AS filter_order, unnest(range(1, 6)) AS step FROM walk WHERE step = 5),
+         named AS (SELECT *, ascii(filter_order[step]) - 64 AS own,
+                          [ascii(x) - 64 for x in string_split(filter_order[:step - 1], '') if x <> ''] AS earlier FROM steps),
+         tested AS (SELECT part, filter_order, CAST(step AS INTEGER) AS step, own, n, good, toxic, fails[own] AS failing,
+                           len([e for e in earlier if fails[e]]) > 0 AS gone, len([x for x in fails if x]) = 1 AS once
+                    FROM named, cells),
+         metrics AS (SELECT part, filter_order, step, own,
+                            sum(n) FILTER (WHERE NOT failing AND NOT gone) AS kept, sum(n) FILTER (WHERE failing AND NOT gone) AS removed,
+                            sum(n) FILTER (WHERE failing AND gone) AS redundant, sum(n) FILTER (WHERE failing AND once) AS unique_fails,
+                            sum(good) FILTER (WHERE failing AND NOT gone) AS good_lost,
+                            sum(toxic) FILTER (WHERE failing AND NOT gone) AS toxic_lost
+                     FROM tested GROUP BY ALL)
+    SELECT part, filter_order, step, {", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in (
+        "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost"))},
+           CAST(coalesce(sum(removed) OVER (PARTITION BY part, own), 0) AS BIGINT) AS shapley
+    FROM metrics"""

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import ann, bpe, chat, decontaminate, html_tree, licenses, oracles, packing, quality, secrets, simhash, warc
+from . import ann, audit, bpe, chat, decontaminate, html_tree, licenses, oracles, packing, quality, secrets, simhash, warc
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -122,6 +122,12 @@ def op10_license_scans(spark: SparkSession, folder: str) -> DataFrame:
         F.round(F.array_max(F.transform("matches", lambda m: m["dice"])), 9).alias("best_score"))
 
 
+def op11_filter_interaction_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """What five filters do to the documents of every language, at every step of all their orders."""
+    cells = audit.mask_cells(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return audit.interactions(cells)
+
+
 def op13_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document inside benchmark passages, and the items that these are from."""
     found = decontaminate.scan(table(spark, folder, "documents"), table(spark, folder, "benchmark"), ["doc_id"])
@@ -134,9 +140,9 @@ def op13_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
 QUERIES = {f.__name__: f for f in (
     op1_warc, op2_secret_scans, op3_bpe, op4_quality_rules, op5_simhash_near_dedup, op6_nearest_neighbours,
     op7_html_extraction, op8_best_fit_packing, op9_chat_formatting, op10_license_scans,
-    op13_benchmark_decontamination)}
+    op11_filter_interaction_audit, op13_benchmark_decontamination)}
 
 #: The others have no SQL form and are tested against plain versions.
 ORACLES: dict[str, str] = {
     "op1_warc": oracles.WARC, "op9_chat_formatting": oracles.chat(CONTROL), "op10_license_scans": oracles.LICENSES,
-    "op13_benchmark_decontamination": oracles.DECONTAMINATION}
+    "op11_filter_interaction_audit": oracles.AUDIT, "op13_benchmark_decontamination": oracles.DECONTAMINATION}
