@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import ann, audit, bpe, chat, decontaminate, html_tree, licenses, oracles, packing, quality, secrets, simhash, warc
+from . import ann, audit, bpe, chat, decontaminate, html_tree, licenses, oracles, packing, periodic, quality, secrets, simhash, warc
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -128,6 +128,40 @@ def op11_filter_interaction_audit(spark: SparkSession, folder: str) -> DataFrame
     return audit.interactions(cells)
 
 
+def with_periods(text: Column, key: Column) -> Column:
+    """A text that, for a tenth of all keys, repeats a part of itself from some word on; where and how follows the key."""
+    number = F.crc32(key.cast("string").cast("binary"))
+    by = F.floor(number / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words).cast("bigint")
+        start = by % F.greatest(n, F.lit(1))
+        period = 1 + F.floor((n - start) / (3 + by % 8))
+        block = F.slice(words, (start + 1).cast("int"), period.cast("int"))
+        times = F.ceil((n - start) / period)
+        again = F.slice(F.flatten(F.array_repeat(block, times.cast("int"))), F.lit(1), (n - start).cast("int"))
+        return F.array_join(F.concat(F.slice(words, F.lit(1), start.cast("int")), again), " ")
+
+    words = F.filter(F.split(text, audit.SPACES, -1), lambda w: w != "")
+    return F.when(number % 10 == 0, F.element_at(F.transform(F.array(words), repeated), 1)).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words in every document, of which a tenth get some: the longest run, and digests of all and of what
+    is left without them."""
+    given = table(spark, folder, "documents").select("doc_id", with_periods(F.col("text"), F.col("doc_id")).alias("text"))
+    found = periodic.detect(given, ["doc_id"])
+    best = F.element_at(F.array_sort(F.transform("runs", lambda r: F.struct(
+        (-r["length"]).alias("rank"), r["start"], r["period"], r["length"]))), 1)
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    every = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise(F.lit(""))
+    longest = found.withColumn("best", F.when(F.size("runs") > 0, best))
+    return longest.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(every.cast("binary"), 256).alias("runs_sha256"), "collapsed_sha256")
+
+
 def op13_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document inside benchmark passages, and the items that these are from."""
     found = decontaminate.scan(table(spark, folder, "documents"), table(spark, folder, "benchmark"), ["doc_id"])
@@ -140,7 +174,7 @@ def op13_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
 QUERIES = {f.__name__: f for f in (
     op1_warc, op2_secret_scans, op3_bpe, op4_quality_rules, op5_simhash_near_dedup, op6_nearest_neighbours,
     op7_html_extraction, op8_best_fit_packing, op9_chat_formatting, op10_license_scans,
-    op11_filter_interaction_audit, op13_benchmark_decontamination)}
+    op11_filter_interaction_audit, op12_periodic_runs, op13_benchmark_decontamination)}
 
 #: The others have no SQL form and are tested against plain versions.
 ORACLES: dict[str, str] = {
