@@ -39,7 +39,7 @@ class WordIds(dict):
     """Ids of single words, lower-cased in ASCII, by the ``tokenizers`` library.
 
     The tokenizer drops white space before it splits a text into pieces, so the ids of a text are those of its
-    words, and a mark after letters is a piece of its own. Words of plain letters go straight to the tokenizer's
+    words, and a mark after what are letters once normalised is a piece of its own. Words of plain letters go straight to the tokenizer's
     model, which is several times faster than the normaliser and pre-tokenizer that would not change them.
     """
 
@@ -56,7 +56,8 @@ class WordIds(dict):
         ids = self.before.get(word)
         if ids is None:
             text = word.decode()
-            if word[-1] in MARKS and text[:-1].isalpha():
+            # normalising can turn a letter into one and a combining character, which joins the mark after it
+            if word[-1] in MARKS and (PLAIN.fullmatch(text, 0, len(text) - 1) or self._letters(text[:-1])):
                 ids = self[word[:-1]] + self[word[-1:]]
             elif PLAIN.fullmatch(text):
                 tokens = self.model.tokenize(word.decode("latin-1").translate(self.alphabet))
@@ -70,6 +71,9 @@ class WordIds(dict):
             self[word] = ids
         return ids
 
+    def _letters(self, text: str) -> bool:
+        return text.isalpha() and self.tokenizer.normalizer.normalize_str(text).isalpha()
+
     def encode(self, text: str) -> bytes:
         """Token ids as little-endian unsigned 32-bit integers."""
         spelled = text.encode()

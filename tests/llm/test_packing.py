@@ -1,6 +1,8 @@
 """Tokenising and packing against the library, and whole sequences."""
 
 import random
+import sys
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -30,6 +32,20 @@ def test_same_ids_as_the_library(library):
         assert np.frombuffer(known.encode(text), "<u4").tolist() == coded.ids, text
 
 
+def test_every_letter_before_every_mark(library):
+    """Letters that normalising changes, alone and in words; of the others one in nine."""
+    letters = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isalpha()]
+    changed = [c for c in letters if unicodedata.normalize("NFC", c).lower() != c]
+    assert "İ" in changed
+    known = packing.WordIds(PATH)
+    for mark in map(chr, sorted(packing.MARKS)):
+        texts = [f"{c}{mark}" for c in changed + letters[::9]] + [f"x{c}{mark}" for c in changed] + [f"{c}x{mark}" for c in changed]
+        for text, coded in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
+            assert np.frombuffer(known.encode(text), "<u4").tolist() == coded.ids, text
+    for text in ("İ!", "TARİHİ, hangi YILI. İYİ!", "ΣΑΣ.", "É, é; e\u0301."):
+        assert np.frombuffer(known.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_patterns_use_every_piece_once(seed):
     rnd = random.Random(seed)
