@@ -9,6 +9,7 @@ enough themselves, and headings and text with few links.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html import unescape
 
@@ -52,6 +53,22 @@ DOUBTFUL_WORD = frozenset(
     "promotion banner menu nav navigation rail footer header comment discussion notice notices respond reply replies "
     "related recommended recommendations share sharing social overlay subscription login toolbar widget widgets skip "
     "alert".split())
+#: Names of these alone, or with something behind them for what readers write, mark blocks inside an article too.
+SURE_NAME = frozenset(
+    "comment comments reply replies respond notice notices alert toolbar widget widgets share sharing social login menu nav "
+    "navigation banner promotion subscription skip".split())
+SURE_START = ("comment-", "comments-", "comment_", "comments_", "reply-", "replies-")
+#: What readers write, if more than the name says so: who and when, articles within, a heading that counts them.
+TALK_WORD = frozenset("comment reply replies respond discussion".split())
+WHO_WORD = frozenset("author byline user username avatar vcard commenter poster".split())
+WHEN_WORD = frozenset("date datetime time timestamp posted published".split())
+WHO, WHEN, ARTICLE, COUNTED = 1, 2, 4, 8
+TALK_HEADING = re.compile(
+    r"\W*(?:[\d.,]+\s+)?(?:reader\s+)?(?:comments?|repl(?:y|ies)|responses?)\W*\d*\W*|"
+    r"(?:leave|post|add|write)\s+(?:a|your)\s+(?:comment|reply)\W*|join\s+the\s+(?:discussion|conversation)\W*", re.I)
+#: Without one of these at the end of something, short text of a doubtful name is a label or a notice.
+SENTENCE = re.compile(r"[.!?…。！？][\"'”’»)\]]*(?:\s|$)")
+SHORT_BLOCK, SHORT_PARAGRAPH = 140, 50
 FORM = frozenset("form input button select textarea".split())
 #: Never dropped for a name: these hold the article.
 TRUSTED = frozenset(["html", "body", "main", "article"])
@@ -76,7 +93,8 @@ PLAIN = frozenset("div span center address".split()) | INLINE
 
 
 class Element:
-    __slots__ = ("tag", "parent", "depth", "dropped", "points", "chars", "links", "doubt", "forms", "mark")
+    __slots__ = ("tag", "parent", "depth", "dropped", "points", "chars", "links", "doubt", "forms", "mark", "talk", "signs",
+                 "titles", "outer", "inner")
 
     def __init__(self, tag: str, parent: "Element | None", dropped: bool):
         self.tag, self.parent, self.dropped = tag, parent, dropped
@@ -84,33 +102,49 @@ class Element:
         self.points: float | None = None
         self.chars = self.links = 0
         self.doubt: Element | None = parent.doubt if parent else None  # the nearest of doubtful name around it
-        self.forms = False
+        self.forms = self.talk = False
+        self.signs = 0  # that a doubtful one, or an article within an article, holds what readers write
+        # the outermost article around or at it, and the outermost in that one
+        self.outer: Element | None = parent.outer if parent else None
+        self.inner: Element | None = parent.inner if parent else None
+        if tag == "article":
+            if self.outer is None:
+                self.outer = self
+            elif self.inner is None:
+                self.inner = self
+        self.titles = False  # of what is dropped here, headings are not
         self.mark: tuple[int, int, int] | None = None  # of a doubtful inline element: blocks, texts, link text before it
 
 
-def chrome(tag: str, attributes: str) -> int:
+def chrome(tag: str, attributes: str) -> tuple[int, frozenset]:
     """2 for menus, headers, footers, sidebars, notices, adverts, forms, comments and what is hidden, 1 for what only
-    a name that parts of articles have too speaks for, 0 for others."""
+    a name that parts of articles have too speaks for, 0 for others; and the words of its names."""
     if tag in CHROME:
-        return 2
+        return 2, frozenset()
     if "=" not in attributes and "hidden" not in attributes.lower():
-        return 0
-    found = 0
+        return 0, frozenset()
+    found, names = 0, frozenset()
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return 0 if tag in TRUSTED else 2
+            return 0 if tag in TRUSTED else 2, names
         if name == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                return 2
+                return 2, names
         elif name == "role":
             if value in CHROME_ROLE:
-                return 2
-        elif name in ("class", "id") and tag not in TRUSTED and tag not in HEADING:
-            words = CHROME_WORD.intersection(re.split(r"[^a-z]+", value))
+                return 2, names
+        elif name in ("class", "id"):
+            said = frozenset(re.split(r"[^a-z]+", value))
+            names |= said
+            if tag in TRUSTED or tag in HEADING:
+                continue
+            words = CHROME_WORD & said
             if words:
-                found = max(found, 1 if words <= DOUBTFUL_WORD else 2)
-    return found
+                sure = tag not in INLINE and tag != "p" and any(
+                    one in SURE_NAME or one.startswith(SURE_START) and tag != "section" for one in value.split())
+                found = max(found, 1 if words <= DOUBTFUL_WORD and not sure else 2)
+    return found, names
 
 
 class Page:
@@ -118,7 +152,8 @@ class Page:
 
     def __init__(self, html: str):
         self.root = self.at = Element("#page", None, False)
-        self.open: dict[str, int] = {}
+        self.open: dict[str, list[Element]] = {}  # by tag, outermost first
+        self.articles = 0
         self.blocks: list[tuple[Element, str]] = []
         self.text: list[str] = []
         self.link_chars = 0
@@ -198,7 +233,7 @@ class Page:
 
     def _push(self, tag: str, dropped: bool) -> None:
         self.at = Element(tag, self.at, dropped)
-        self.open[tag] = self.open.get(tag, 0) + 1
+        self.open.setdefault(tag, []).append(self.at)
 
     def _pop(self) -> None:
         if self.at.mark is not None and self.at.mark[0] == len(self.blocks):
@@ -209,7 +244,7 @@ class Page:
                 self.link_chars = links
         if self.text and not self.at.dropped and self.at.tag not in INLINE:
             self._flush()
-        self.open[self.at.tag] -= 1
+        self.open[self.at.tag].pop()
         self.at = self.at.parent
 
     def _start(self, tag: str, attributes: str) -> None:
@@ -233,13 +268,43 @@ class Page:
             self._close_to("a", {"td", "table"} | UNSHOWN)
         if tag in FORM and self.at.doubt:
             self.at.doubt.forms = True
-        named = 0 if self.at.dropped else chrome(tag, attributes)
-        doubtful = named == 1 and (self.open.get("article") or self.open.get("main"))
-        self._push(tag, self.at.dropped or tag in UNSHOWN or bool(named) and not doubtful)
+        inside = bool(self.open.get("article") or self.open.get("main"))
+        if self.at.dropped:
+            # the title stands in the header of its article
+            self._push(tag, not (tag in HEADING and self.at.titles))
+            self.at.titles = self.at.parent.titles and (tag in PLAIN or tag == "hgroup")
+            return
+        named, names = chrome(tag, attributes)
+        doubtful = named == 1 and inside
+        if tag == "article":
+            # one after or in another article that is named for it
+            if inside and (self.open.get("article") or self.articles) and names & (TALK_WORD | {"comments"}):
+                named = 2
+            self.articles += 1
+        self._sign(tag, names)
+        nested = tag == "article" and self.open.get("article")
+        self._push(tag, tag in UNSHOWN or bool(named) and not doubtful)
+        if tag == "header" and self.open.get("article"):
+            self.at.titles = True
         if doubtful:
             self.at.doubt = self.at
+            self.at.talk = bool(names & TALK_WORD)
             if tag in INLINE:
                 self.at.mark = (len(self.blocks), len(self.text), self.link_chars)
+        elif nested and not self.at.dropped:
+            self.at.signs |= ARTICLE
+            self._sign(tag, names)
+
+    def _sign(self, tag: str, names: frozenset) -> None:
+        """Note who, when and articles for the doubtful element and the inner article around."""
+        signs = WHO * bool(names & WHO_WORD) | WHEN * (tag == "time" or bool(names & WHEN_WORD)) | ARTICLE * (tag == "article")
+        if not signs:
+            return
+        if self.at.doubt:
+            self.at.doubt.signs |= signs
+        articles = self.open.get("article", ())
+        if len(articles) > 1:
+            articles[-1].signs |= signs & ~ARTICLE
 
     def _end(self, tag: str) -> None:
         if tag not in INLINE and not self.at.dropped:
@@ -248,29 +313,28 @@ class Page:
             own = tag not in INLINE or tag in UNSHOWN
             self._close_to(tag, () if own else PARAGRAPH | TRUSTED | UNSHOWN | {"div", "section", "table"})
 
-    def _close_to(self, tag: str, stops) -> None:
-        """End the nearest open ``tag`` and all in it, unless one of ``stops`` lies between."""
-        element = self.at
-        while element.parent is not None and element.tag != tag:
-            if element.tag in stops:
-                return
-            element = element.parent
-        if element.parent is None:
-            return
+    def _innermost(self, tags) -> int:
+        """Depth of the nearest open element of these tags; the page itself is at 0."""
+        return max((self.open[tag][-1].depth for tag in tags if self.open.get(tag)), default=0)
+
+    def _leave(self, element: Element) -> None:
         while self.at is not element:
             self._pop()
         self._pop()
 
+    def _close_to(self, tag: str, stops) -> None:
+        """End the nearest open ``tag`` and all in it, unless one of ``stops`` lies between."""
+        found = self.open.get(tag)
+        if found and self._innermost(s for s in stops if s != tag) < found[-1].depth:
+            self._leave(found[-1])
+
     def _close_any(self, tags: set[str], stops: set[str]) -> None:
-        last, element = None, self.at
-        while element.parent is not None and element.tag not in stops:
-            if element.tag in tags:
-                last = element
-            element = element.parent
-        if last is not None:
-            while self.at is not last:
-                self._pop()
-            self._pop()
+        """End the outermost open element of ``tags`` within the nearest of ``stops``."""
+        limit = self._innermost(stops)
+        first = [found[bisect_right(found, limit, key=lambda e: e.depth):][:1] for found in map(self.open.get, tags) if found]
+        inner = [e for part in first for e in part]
+        if inner:
+            self._leave(min(inner, key=lambda e: e.depth))
 
     def article(self) -> list[str]:
         """The blocks of the best container and of its good siblings, in page order."""
@@ -321,7 +385,18 @@ class Page:
         return out
 
     def _drop_doubtful(self) -> None:
-        """Take out what has a doubtful name and is mostly links, or holds form fields."""
+        """Take out what has a doubtful name and is mostly links, holds form fields or what readers write, or is a short
+        label; and articles after the text of the article around them, if there are several or they say who and when."""
+        self._drop_articles()
+        plain: set[Element] = set()  # those that say a sentence, or have a heading
+        for element, said in self.blocks:
+            if element.doubt:
+                if element.tag in HEADING:
+                    plain.add(element.doubt)
+                    if TALK_HEADING.fullmatch(said):
+                        element.doubt.signs |= COUNTED
+                elif SENTENCE.search(said):
+                    plain.add(element.doubt)
         sums: dict[Element, list[int]] = {}
         for element, _ in self.blocks:
             if element.doubt and element not in sums:
@@ -346,16 +421,43 @@ class Page:
                 into[0] += of[0]
                 into[1] += of[1]
                 above.forms |= doubt.forms
+                above.signs |= doubt.signs
+                if doubt in plain:
+                    plain.add(above)
         gone = {}
         for doubt in sorted(nested, key=lambda e: e.depth):
             chars, links = inner[doubt]
-            gone[doubt] = gone.get(doubt.parent.doubt, False) or doubt.forms or links > LOW_LINKS * chars
+            signs = doubt.signs
+            talk = doubt.talk and (signs & (ARTICLE | COUNTED) or signs & WHO and signs & WHEN)
+            short = SHORT_PARAGRAPH if doubt.tag in PARAGRAPH else 0 if doubt.tag in INLINE else SHORT_BLOCK
+            label = doubt not in plain and chars < short
+            gone[doubt] = bool(gone.get(doubt.parent.doubt, False) or doubt.forms or links > LOW_LINKS * chars or talk or label)
         left = [(element, said) for element, said in self.blocks if not gone.get(element.doubt, False)]
         for element, _ in self.blocks:
             if gone.get(element.doubt, False):
                 element.chars = element.links = 0
         self.blocks = left
 
+    def _drop_articles(self) -> None:
+        last: dict[Element, int] = {}  # of an article, its last own long text
+        first: dict[Element, int] = {}
+        for at, (element, said) in enumerate(self.blocks):
+            if element.inner:
+                first.setdefault(element.inner, at)
+            elif element.outer and len(said) >= SHORT_BLOCK:
+                last[element.outer] = at
+        after: dict[Element, list[Element]] = {}
+        for article, at in first.items():
+            if last.get(article.outer, at) < at:
+                after.setdefault(article.outer, []).append(article)
+        gone = {article for found in after.values() for article in found
+                if len(found) > 1 or article.signs & WHO and article.signs & WHEN}
+        if gone:
+            for element, _ in self.blocks:
+                if element.inner in gone:
+                    element.chars = element.links = 0
+            self.blocks = [(element, said) for element, said in self.blocks if element.inner not in gone]
+
     def _kept(self, best: Element, scored: dict[Element, float], totals: dict[Element, list[int]]) -> set[Element]:
         """The article around the best container, and its siblings that belong to it; ``totals`` is in page order."""
         article, holders, above = best, {}, best

@@ -2,6 +2,7 @@
 
 import html as entities
 import re
+import time
 
 import pytest
 
@@ -88,6 +89,54 @@ def test_names_inside_articles(page, text):
     assert main_text(page) == text
 
 
+WHO = "<span class=author>Ann</span> <time>3 May</time>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<article>{BODY}<ul class=comment-list><li class=comment><p>{THREE}. Yes.</p><li class=comment>{THREE}</ul></article>",
+    f"<article>{BODY}<div class=comment><p>{THREE}. I agree.</p></div><div class=comment>{THREE}. No.</div></article>",
+    f"<main><article>{BODY}</article><div class=comment-thread><article class=comment><p>{THREE}. Yes.</p></article></div></main>",
+    f"<main><article>{BODY}</article><article class=comment><p>{THREE}. Yes.</p></article></main>",
+    f"<main>{BODY}<section class=discussion><h2>3 replies</h2><p>{THREE}. Yes.</p><p>{THREE}. No.</p></section></main>",
+    f"<main>{BODY}<section class=discussion><div>{WHO}<p>{THREE}. Yes.</p></div></section></main>",
+    f"<article>{BODY}<div class=notice>Please accept our terms</div></article>",
+    f"<article>{BODY}<p class=site-notice>Please accept our terms</p></article>",
+    f"<article>{BODY}<div class=toolbar>Print Save</div></article>",
+    f"<article>{BODY}<article><p>{THREE}. One.</p></article><article><p>{THREE}. Two.</p></article></article>",
+    f"<article>{BODY}<section><article>{WHO}<p>{THREE}. One.</p></article></section></article>",
+])
+def test_comments_and_notices_are_no_article_text(page):
+    assert main_text(page) == SAID
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<article>{BODY}<section class=discussion><h2>Discussion</h2><p>{THREE}. We found it.</p></section></article>",
+     f"{SAID}\nDiscussion\n{THREE}. We found it."),
+    (f"<article>{BODY}<div class='notice-period'><p>It ends in May.</p></div></article>", f"{SAID}\nIt ends in May."),
+    (f"<article><pre>x = 1 <span class=comment># one</span></pre>{BODY}</article>", f"x = 1 # one\n{SAID}"),
+    (f"<article class=all><article>{BODY}</article></article>", SAID),
+    (f"<article><p>{THREE}</p><article>{BODY}</article><p>{THREE}, {THREE}</p></article>",
+     f"{THREE}\n{SAID}\n{THREE}, {THREE}"),
+    (f"<article><header><div><h1>T</h1></div><p>By me, on Monday</p></header>{BODY}</article>", f"T\n{SAID}"),
+    (f"<header><h1>Site</h1></header><article>{BODY}</article>", SAID),
+    (f"<article>{BODY}<section id=reply-to-critics><h2>Reply to critics</h2><p>{THREE}. No.</p></section></article>",
+     f"{SAID}\nReply to critics\n{THREE}. No."),
+])
+def test_what_only_sounds_like_them_stays(page, text):
+    assert main_text(page) == text
+
+
+@pytest.mark.parametrize("make", [lambda n: "<section>" * n + "<li>x" * (2 * n), lambda n: "<div><p>" * n + "<td>" * n,
+                                  lambda n: "<b><dd>" * n, lambda n: "<tr><td>" * n + "</tr>" * n])
+def test_deep_pages_take_time_in_proportion(make):
+    def seconds(n):
+        start = time.process_time()
+        main_text(make(n))
+        return time.process_time() - start
+
+    assert min(seconds(8000) for _ in range(2)) < 10 * max(0.02, min(seconds(2000) for _ in range(2)))
+
+
 @pytest.mark.parametrize("page, text", [
     (f"<article><p>{LONG}<svg class=i/> and on</p><p>{LONG}</p></article>", f"{LONG} and on\n{LONG}"),
     (f"<article><p>{LONG}</p><svg class='i' /><p>two</p><svg><title>t</title><path d='M0'/><text>no</text></svg><p>three</p>"
