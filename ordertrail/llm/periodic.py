@@ -4,7 +4,7 @@ Periods are taken by octave, from B to 2B - 1. For each octave a document is cut
 the work per octave follows the length of the document and tiles know nothing of each other. In a tile, two Z-functions at
 its boundary (one to the right, one to the left) tell how far every period of the octave reaches from there, within the
 tile. These fragments are shuffled by document and period and stitched: fragments of one period that share at least a
-period of words are parts of one run. Only tiles in which some period holds for a few words at the boundary are made.
+period of words are parts of one run. Only tiles are made at whose boundary some period holds for long enough.
 
 Why this finds everything: a run of period p has at least 4p words, so it holds a boundary with at most 2B - 1 of its words
 before it and at least p + B words after it. From the first such boundary to the last, 2B words apart, the fragments reach
@@ -29,8 +29,8 @@ from .arrow import Sender, arrow_schema, fields, map_batches
 LEAST_WORDS, LEAST_PERIODS = 6, 4
 #: A tile in octaves: what it holds before and after its boundary, and how far boundaries are apart.
 BEFORE, AFTER, APART = 2, 5, 2
-#: Words after the boundary that are compared before a tile is made; it changes what is made, not what is found.
-COMPARED = 8
+#: Words on both sides of a boundary that are compared at most before a tile is made; it changes what is made, not found.
+COMPARED = 24
 
 
 def word_numbers(words: list[bytes]) -> np.ndarray:
@@ -40,7 +40,11 @@ def word_numbers(words: list[bytes]) -> np.ndarray:
 
 
 def boundaries(numbers: np.ndarray, octave: int) -> list[int]:
-    """Boundaries at which some period of the octave holds for the first words, so that a tile is worth making."""
+    """Boundaries that can lie in a run of the octave, so that a tile is worth making.
+
+    At a boundary in a run of period p, the words that equal those p further on are an octave at least to the right, and
+    with those to the left as many as the run has beyond its first period. They are counted up to ``COMPARED``.
+    """
     first, n = 1 << octave, len(numbers)
     stride = APART * first
     rows = -(-n // stride)
@@ -49,18 +53,30 @@ def boundaries(numbers: np.ndarray, octave: int) -> list[int]:
     blocks = padded.reshape(rows, stride)
     # periods B..2B-1 of a boundary at 2Bi are the second half of its row
     row, period = np.nonzero(blocks[:, first:] == blocks[:, :1])
-    at = row * stride
-    other = at + period + first
-    for i in range(1, min(first, COMPARED)):
-        inside = other + i < n
-        at, other = at[inside], other[inside]
-        same = numbers[at + i] == numbers[other + i]
-        at, other = at[same], other[same]
-        if not len(at):
-            break
+    at, period = row * stride, period + first
+    needed = np.minimum(np.maximum(LEAST_WORDS, LEAST_PERIODS * period) - period, COMPARED)
+    right = _matches(numbers, at, at + period, 1)
+    good = right >= min(first, COMPARED)
+    at, period, needed, right = at[good], period[good], needed[good], right[good]
+    if len(at):
+        at = at[right + _matches(numbers, at - 1, at + period - 1, -1) >= needed]
     return np.unique(at).tolist()
 
 
+def _matches(numbers: np.ndarray, one: np.ndarray, other: np.ndarray, step: int) -> np.ndarray:
+    """How many words from each pair of places on, in steps, are the same, counted up to ``COMPARED``."""
+    count = np.zeros(len(one), np.int64)
+    alive = np.arange(len(one))
+    for _ in range(COMPARED):
+        alive = alive[(one[alive] >= 0) & (other[alive] < len(numbers))]
+        alive = alive[numbers[one[alive]] == numbers[other[alive]]]
+        if not len(alive):
+            break
+        count[alive] += 1
+        one, other = one + step, other + step
+    return count
+
+
 def tiles(words: list[bytes]) -> Iterator[tuple[int, int, int, np.ndarray]]:
     """(octave, start, boundary within the tile, word numbers) of the tiles of a document that are worth solving."""
     numbers = word_numbers(words)

@@ -88,7 +88,7 @@ def test_tiles_in_any_tasks(spark):
             assert found == plain(split(text)), text
 
 
-@pytest.mark.parametrize("compared", [1, 3])
+@pytest.mark.parametrize("compared", [1, 5])
 def test_what_is_compared_first_changes_nothing(monkeypatch, compared):
     monkeypatch.setattr(periodic, "COMPARED", compared)
     for text in texts()[5:60]:
@@ -100,6 +100,12 @@ def test_what_is_compared_first_changes_nothing(monkeypatch, compared):
         assert set(p for _, _, p in plain(words)) >= set(best)
 
 
+def test_few_tiles_without_runs():
+    rng = random.Random(3)
+    words = [str(int(rng.paretovariate(0.3))).encode() for _ in range(20_000)]
+    assert sum(1 for _ in periodic.tiles(words)) < 40
+
+
 def test_a_long_run_leaves_a_task_as_one(spark):
     df = spark.createDataFrame([(1, "a " * 20_000)], "id long, text string")
     tiled = periodic.explode_tiles(df, ["id"], "text")
