@@ -1,146 +1,137 @@
-"""Per-feature attributions of a boosted-tree model, computed where the rows are.
+"""Per-feature attributions of boosted trees, computed where the rows are.
 
-The tree model is small (trees x leaves) and travels to the tasks; the customer rows stay
-distributed. A leaf constrains at most ``depth`` distinct features, so a row's contribution from it
-depends only on which of these constraints it meets: one lookup in a table with a line per combination.
+The trees are small (trees x leaves) and travel to the tasks; the customer rows stay distributed. What a leaf adds to the
+margin depends on the features tested on the way to it: a known feature passes its tests or not, an unknown one passes with
+the share of the rows that did in training. A feature's Shapley value in this game comes from the coefficients of one
+polynomial per leaf, in time that grows with the square of the number of features on the path, not with its power of two.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import cache
+from math import factorial
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import GBTClassificationModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path, ship_package
+from ..session import ship_package
+from .boosting import BoostedTrees, Tree
 
-
-# A leaf of m features takes 2**m * m numbers and its table is made with a 2**m by 2**m matrix: 1 MB at this bound.
-MAX_FEATURES_PER_LEAF = 10
+#: Rows whose polynomials are in memory at a time.
+ROWS = 2_000
 
 
 @dataclass
-class LeafTable:
-    """The leaves of one tree, padded to the same number ``m`` of constraints.
+class Leaves:
+    """The leaves of one tree, padded to the same number ``m`` of tested features.
 
-    ``feature``, ``low``, ``high``: (leaves, m), a row meets a constraint if low < value <= high.
-    ``share``: (leaves, 2**m, m), contribution of each constraint per combination of met ones.
+    ``feature``, ``low``, ``high``, ``missing``, ``share``: (leaves, m); a value passes if low <= value < high, a missing one
+    if ``missing``, and ``share`` of the rows did. A padded entry passes always. ``used`` is the number of real ones.
     """
 
     feature: np.ndarray
     low: np.ndarray
     high: np.ndarray
+    missing: np.ndarray
     share: np.ndarray
-    base: float
-
-
-@cache
-def _coalitions(m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For m players: member flags of every subset (2**m, m), Shapley weight by subset size, and whether
-    a subset lies inside a combination (combination, subset)."""
-    flags = (np.arange(2**m)[:, None] >> np.arange(m)) & 1
-    size = np.arange(m)
-    weight = np.array([math.factorial(s) * math.factorial(m - s - 1) / math.factorial(m) for s in size])
-    inside = (np.arange(2**m)[None, :] & ~np.arange(2**m)[:, None]) == 0
-    return flags, weight, inside
-
-
-def _shares(value: float, cover: np.ndarray) -> np.ndarray:
-    """Shapley values of the game 'known constraints are tested, unknown ones pass with their cover',
-    for every combination of met constraints."""
-    m = len(cover)
-    flags, weight, inside = _coalitions(m)
-    out = np.zeros((2**m, m))
-    for i in range(m):
-        without_i = flags[:, i] == 0
-        unknown = np.where(flags[without_i] == 1, 1.0, cover)
-        unknown[:, i] = 1.0
-        w = weight[flags[without_i].sum(axis=1)] * unknown.prod(axis=1)
-        out[:, i] = value * (inside[:, without_i] @ w) * (flags[:, i] - cover[i])
-    return out
-
+    used: np.ndarray
+    value: np.ndarray
 
-def _cover(node: dict) -> float:
-    """Weight of the rows that reached a node in training: class weights count, as they did in the fit."""
-    return node["impurityStats"][0]
+    @property
+    def base(self) -> float:
+        """The margin with no feature known."""
+        return float((self.value * self.share.prod(axis=1)).sum())
 
 
-def _leaf_table(nodes: dict[int, dict], tree_weight: float) -> LeafTable:
-    leaves: list[tuple[float, dict[int, tuple[float, float, float]]]] = []
-    todo: list[tuple[int, dict[int, tuple[float, float, float]]]] = [(0, {})]
+def leaves(tree: Tree) -> Leaves:
+    """Paths to all leaves, with the tests of a feature that is met several times taken as one."""
+    found, todo = [], [(0, {})]
     while todo:
-        node_id, path = todo.pop()
-        node = nodes[node_id]
-        if node["leftChild"] < 0:
-            leaves.append((node["prediction"] * tree_weight, path))
+        node, path = todo.pop()
+        feature = int(tree.feature[node])
+        if feature < 0:
+            found.append((float(tree.value[node]), path))
             continue
-        f = node["split"]["featureIndex"]
-        cut = node["split"]["leftCategoriesOrThreshold"][0]
-        low, high, cover = path.get(f, (-math.inf, math.inf, 1.0))
-        for child, bounds in (("leftChild", (low, min(high, cut))), ("rightChild", (max(low, cut), high))):
-            part = _cover(nodes[node[child]]) / _cover(node)
-            todo.append((node[child], path | {f: (*bounds, cover * part)}))
-    m = max(1, max(len(path) for _, path in leaves))
-    if m > MAX_FEATURES_PER_LEAF:
-        raise ValueError(f"a leaf tests {m} features; at most {MAX_FEATURES_PER_LEAF} can be attributed")
-    feature = np.zeros((len(leaves), m), dtype=np.int64)
-    low, high, cover = np.full(feature.shape, -np.inf), np.full(feature.shape, np.inf), np.ones(feature.shape)
-    for row, (_, path) in enumerate(leaves):
-        for col, (f, (lo, hi, share)) in enumerate(path.items()):
-            feature[row, col], low[row, col], high[row, col], cover[row, col] = f, lo, hi, share
-    return LeafTable(
-        feature, low, high,
-        np.stack([_shares(value, cover[row]) for row, (value, _) in enumerate(leaves)]),
-        float(sum(value * cover[row].prod() for row, (value, _) in enumerate(leaves))),
-    )
-
-
-def leaf_tables(spark: SparkSession, model: GBTClassificationModel) -> list[LeafTable]:
-    """Read the node table of the saved model, one entry per tree."""
-    path = scratch_path(spark, "model")
-    model.write().save(path)
-    trees: dict[int, dict[int, dict]] = {}
-    # the model's own nodes: trees x 2**(depth + 1) rows at most
-    for row in spark.read.parquet(f"{path}/data").collect():
-        node = row["nodeData"].asDict(recursive=True)
-        trees.setdefault(row["treeID"], {})[node["id"]] = node
-    return [_leaf_table(trees[t], w) for t, w in enumerate(model.treeWeights)]
-
-
-def _attribute(tables: Sequence[LeafTable], x: np.ndarray) -> np.ndarray:
+        low, high, missing, share = path.get(feature, (-np.inf, np.inf, True, 1.0))
+        cut, to_left = float(tree.cut[node]), bool(tree.missing_left[node])
+        for child, bounds, passes in ((2 * node + 1, (low, min(high, cut)), to_left),
+                                      (2 * node + 2, (max(low, cut), high), not to_left)):
+            part = float(tree.cover[child] / tree.cover[node])
+            todo.append((child, path | {feature: (*bounds, missing and passes, share * part)}))
+    m = max(1, max(len(path) for _, path in found))
+    shape = (len(found), m)
+    out = Leaves(np.zeros(shape, int), np.full(shape, -np.inf), np.full(shape, np.inf), np.ones(shape, bool), np.ones(shape),
+                 np.array([len(path) for _, path in found]), np.array([value for value, _ in found]))
+    for row, (_, path) in enumerate(found):
+        for column, (feature, test) in enumerate(path.items()):
+            out.feature[row, column] = feature
+            out.low[row, column], out.high[row, column], out.missing[row, column], out.share[row, column] = test
+    return out
+
+
+def contributions(of: Leaves, x: np.ndarray) -> np.ndarray:
+    """What every tested feature of every leaf adds: (rows, leaves, m).
+
+    With o = 1 for a passed test and z its share, the coefficient k of the product of all z + o t is the sum over all sets
+    of k known features of what is left of the leaf's value. Dividing by a feature's own factor leaves the sums over sets
+    without it, and these are weighted by how many orders of the features put such a set before it.
+    """
+    m = of.feature.shape[1]
+    values = x[:, of.feature]
+    within = (values >= of.low) & ((values < of.high) | (of.high == np.inf))
+    passed = np.where(np.isnan(values), of.missing, within).astype(float)
+    # an entry that only fills up has the factor 1
+    passed[:, np.arange(m)[None, :] >= of.used[:, None]] = 0.0
+    product = np.zeros((*passed.shape[:2], m + 1))
+    product[..., 0] = 1.0
+    for i in range(m):
+        o, z = passed[..., i, None], of.share[:, i, None]
+        product[..., 1:] = product[..., 1:] * z + product[..., :-1] * o
+        product[..., 0] *= of.share[:, i]
+    # of a leaf of n features, sets of k
+    weight = np.zeros((len(of.used), m))
+    for leaf, n in enumerate(of.used.tolist()):
+        for k in range(n):
+            weight[leaf, k] = factorial(k) * factorial(n - k - 1) / factorial(n)
+    out = np.empty_like(passed)
+    for i in range(m):
+        o, z = passed[..., i], of.share[:, i]
+        # synthetic division by z + t from the highest power down, or by z alone
+        rest, total = np.zeros(o.shape), np.zeros(o.shape)
+        for k in range(m - 1, -1, -1):
+            rest = product[..., k + 1] - z * rest
+            total += weight[:, k] * np.where(o == 1, rest, product[..., k] / z)
+        out[..., i] = of.value * (o - z) * total
+    out[:, np.arange(m)[None, :] >= of.used[:, None]] = 0.0
+    return out
+
+
+def _attribute(tables: Sequence[Leaves], x: np.ndarray) -> np.ndarray:
     out = np.zeros(x.shape)
-    for t in tables:
-        leaves, m = t.feature.shape
-        values = x[:, t.feature]
-        met = (values > t.low) & (values <= t.high)
-        combination = met @ (1 << np.arange(m))
-        share = t.share[np.arange(leaves), combination].reshape(len(x), leaves * m)
-        np.add.at(out.T, t.feature.ravel(), share.T)
+    for of in tables:
+        parts = contributions(of, x).reshape(len(x), -1)
+        np.add.at(out.T, of.feature.ravel(), parts.T)
     return out
 
 
-def attributions(model: GBTClassificationModel, df: DataFrame, columns: Sequence[str],
-                 key: str = "customer_unique_id") -> DataFrame:
-    """Contribution of every feature to each row's margin: key, ``base`` and one column per feature.
+def attributions(model: BoostedTrees, df: DataFrame, key: str = "customer_unique_id") -> DataFrame:
+    """Contribution of every feature to each row's margin: key, ``base`` and one column per feature of the model.
 
-    ``columns`` are the model's inputs in order. The contributions and ``base`` add up to the margin. A model with a
-    leaf that tests more than ``MAX_FEATURES_PER_LEAF`` features, for which trees must be deeper, is an error.
+    The contributions and ``base`` add up to the margin, whatever the depth of the trees.
     """
-    tables = leaf_tables(df.sparkSession, model)
+    tables = [leaves(tree) for tree in model.trees]
     ship_package(df.sparkSession)
     base = sum(t.base for t in tables)
-    names = list(columns)
+    names = model.columns
 
     def attribute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            phi = _attribute(tables, batch[names].to_numpy(dtype=float))
-            out = pd.DataFrame(phi, columns=names)
+            x = batch[names].to_numpy(dtype=float)
+            phi = [_attribute(tables, x[at:at + ROWS]) for at in range(0, len(x), ROWS)]
+            out = pd.DataFrame(np.concatenate(phi) if phi else x, columns=names)
             out.insert(0, "base", base)
             out.insert(0, key, batch[key].to_numpy())
             yield out

@@ -1,21 +1,18 @@
-"""Churn models on ``pyspark.ml``."""
+"""Churn models: logistic regression of ``pyspark.ml``, and boosted trees."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.classification import (
-    GBTClassificationModel,
-    GBTClassifier,
-    LogisticRegression,
-    LogisticRegressionModel,
-)
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import boosting
+from .boosting import BoostedTrees
 from .churn import FEATURES, class_weight, nan_policy
-from .segments import SEED, as_vectors
+from .segments import as_vectors
 
 
 def model_input(split: DataFrame, columns: Sequence[str] = tuple(FEATURES)) -> tuple[DataFrame, list[str]]:
@@ -46,18 +43,22 @@ def fit_logistic(train: DataFrame, label: str = "churned", c: float = 1.0, max_i
                               elasticNetParam=0.0, standardization=False).fit(train)
 
 
-def fit_gbt(train: DataFrame, label: str = "churned", max_iter: int = 300, max_depth: int = 5,
-            step_size: float = 0.05, seed: int = SEED) -> GBTClassificationModel:
-    """Boosted trees; positive rows are weighted by negatives / positives where both classes occur."""
+def fit_gbt(train: DataFrame, columns: Sequence[str] = tuple(FEATURES), label: str = "churned", max_iter: int = 300,
+            max_depth: int = 5, step_size: float = 0.05, max_bins: int = 256) -> BoostedTrees:
+    """Boosted trees on the columns as they are, gaps included; positive rows are weighted by negatives / positives where
+    both classes occur."""
     weight = class_weight(train, label).first()["scale_pos_weight"] or 1.0
-    weighted = train.withColumn("_weight", F.when(F.col(label) == 1, F.lit(float(weight))).otherwise(F.lit(1.0)))
-    return GBTClassifier(labelCol=label, weightCol="_weight", maxIter=max_iter, maxDepth=max_depth,
-                         stepSize=step_size, seed=seed).fit(weighted)
+    return boosting.fit(train, columns, label, max_iter, max_depth, step_size, float(weight), max_bins=max_bins)
 
 
-def score(model, vectors: DataFrame) -> DataFrame:
-    """Add ``churn_probability`` and ``churn_prediction`` (at 0.5)."""
-    scored = model.transform(vectors)
+def score(model: BoostedTrees | LogisticRegressionModel, df: DataFrame) -> DataFrame:
+    """Add ``churn_probability`` and ``churn_prediction`` (at 0.5); a logistic model reads the feature vectors, boosted
+    trees their columns."""
+    if isinstance(model, BoostedTrees):
+        scored = boosting.margin(model, df, "_margin")
+        return scored.withColumn("churn_probability", 1 / (1 + F.exp(-F.col("_margin")))).withColumn(
+            "churn_prediction", (F.col("_margin") > 0).cast("int")).drop("_margin")
+    scored = model.transform(df)
     return (
         scored.withColumn("churn_probability", vector_to_array("probability")[1])
         .withColumn("churn_prediction", F.col("prediction").cast("int"))
@@ -88,6 +89,6 @@ def top_risk(scored: DataFrame, n: int = 20) -> DataFrame:
     return scored.orderBy(F.desc("churn_probability"), "customer_unique_id").limit(n)
 
 
-def margin(model: GBTClassificationModel, vectors: DataFrame) -> DataFrame:
+def margin(model: BoostedTrees, df: DataFrame) -> DataFrame:
     """The tree model's raw score per customer."""
-    return model.transform(vectors).select("customer_unique_id", vector_to_array("rawPrediction")[1].alias("margin"))
+    return boosting.margin(model, df).select("customer_unique_id", "margin")

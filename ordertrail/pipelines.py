@@ -101,13 +101,14 @@ def run_churn(tables: Mapping[str, DataFrame], folder: str, split_date: str = ch
     split = stored(churn.time_split(churn.customer_features(base), split_date), "features")
     vectors, _ = models.model_input(split)
     train, test = churn.split_rows(vectors)
-    fits = {"logreg": models.fit_logistic(train), "gbt": models.fit_gbt(train, max_iter=rounds)}
-    tested = {name: stored(models.score(fit, test).drop("features"), f"tested-{name}") for name, fit in fits.items()}
+    boosted = models.fit_gbt(churn.split_rows(split)[0], max_iter=rounds)
+    fits = {"logreg": (models.fit_logistic(train), test), "gbt": (boosted, churn.split_rows(split)[1])}
+    tested = {name: stored(models.score(fit, rows).drop("features"), f"tested-{name}") for name, (fit, rows) in fits.items()}
 
     def both(measure: Callable[[DataFrame], DataFrame]) -> DataFrame:
         first, second = (measure(df).withColumn("model", F.lit(name)) for name, df in tested.items())
         return first.unionByName(second)
 
-    scored = stored(models.churn_export(models.score(fits["gbt"], vectors)), "scored")
+    scored = stored(models.churn_export(models.score(boosted, split)), "scored")
     write_csv(scored, folder)
     return Churn(scored, both(evaluate.roc_auc), both(evaluate.roc_curve), evaluate.classification_report(tested["gbt"]))

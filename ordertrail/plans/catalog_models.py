@@ -3,11 +3,11 @@
 Evaluation is checked on a fixed score; the model queries themselves have no SQL form.
 """
 
-from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import functions as F
 
-from ..operators import attribution, evaluate, models
-from ..operators.churn import customer_profile, split_rows
+from ..operators import attribution, boosting, evaluate, models
+from ..operators.boosting import BoostedTrees
+from ..operators.churn import FEATURES, customer_profile, split_rows
 from ..session import scratch_path
 from ..sources import read_csv, write_csv
 from .catalog_churn import base, scored, split
@@ -15,41 +15,43 @@ from .oracle_tables import r
 from .registry import query, rounded
 from .tables import Tables
 
-def _input(t: Tables):
-    """Feature vectors of all customers, from a table that is written once, and the names of their columns."""
-    return models.model_input(t.once("features", lambda: split(t)))
+def _features(t: Tables):
+    """Features of all customers, from a table that is written once."""
+    return t.once("features", lambda: split(t))
 
 
-def _scored_by_gbt(t: Tables):
-    """Scores of the boosted model, which is fitted once per folder and read by all queries that need it."""
-    vectors, names = _input(t)
-    model = t.model("gbt", GBTClassificationModel, lambda: models.fit_gbt(split_rows(vectors)[0]))
-    return models.score(model, vectors), model, names
+def _gbt(t: Tables) -> BoostedTrees:
+    """The boosted model, which is fitted once per folder and read by all queries that need it."""
+    return t.model("gbt", BoostedTrees, lambda: models.fit_gbt(split_rows(_features(t))[0]))
+
+
+def _fitted(t: Tables):
+    """Both models by name, each with the test part as it reads it."""
+    train, test = split_rows(models.model_input(_features(t))[0])
+    return {"logreg": (models.fit_logistic(train), test), "gbt": (_gbt(t), split_rows(_features(t))[1])}
 
 
 @query("logreg")
 def _(t: Tables):
-    vectors, _ = _input(t)
+    vectors, _ = models.model_input(_features(t))
     model = models.fit_logistic(split_rows(vectors)[0])
     return models.score(model, vectors).select(*models.EXPORT, "split")
 
 
 @query("gbt")
 def _(t: Tables):
-    return _scored_by_gbt(t)[0].select(*models.EXPORT, "split")
+    return models.score(_gbt(t), _features(t)).select(*models.EXPORT, "split")
 
 
 @query("score")
 def _(t: Tables):
-    return _scored_by_gbt(t)[0].drop("features")
+    return models.score(_gbt(t), _features(t))
 
 
 @query("model_auc")
 def _(t: Tables):
-    vectors, _ = _input(t)
-    train, test = split_rows(vectors)
-    fits = {"logreg": models.fit_logistic(train), "gbt": _scored_by_gbt(t)[1]}
-    aucs = [evaluate.roc_auc(models.score(m, test)).select(F.lit(n).alias("model"), "auc") for n, m in fits.items()]
+    aucs = [evaluate.roc_auc(models.score(m, test)).select(F.lit(n).alias("model"), "auc")
+            for n, (m, test) in _fitted(t).items()]
     return aucs[0].unionByName(aucs[1])
 
 
@@ -108,27 +110,23 @@ def _(t: Tables):
 
 @query("attribution")
 def _(t: Tables):
-    vectors, names = _input(t)
-    _, test = split_rows(vectors)
-    model = _scored_by_gbt(t)[1]
-    return attribution.mean_attribution(attribution.attributions(model, test, names), names)
+    _, test = split_rows(_features(t))
+    return attribution.mean_attribution(attribution.attributions(_gbt(t), test), FEATURES)
 
 
 @query("attribution_rows")
 def _(t: Tables):
     """Contributions next to the margin they add up to."""
-    vectors, names = _input(t)
-    _, test = split_rows(vectors)
-    model = _scored_by_gbt(t)[1]
-    parts = attribution.attributions(model, test, names)
-    total = sum((F.col(c) for c in names), F.col("base"))
-    margins = models.margin(model, test)
-    return parts.withColumn("total", total).join(margins, "customer_unique_id")
+    _, test = split_rows(_features(t))
+    model = _gbt(t)
+    parts = attribution.attributions(model, test)
+    total = sum((F.col(c) for c in model.columns), F.col("base"))
+    return parts.withColumn("total", total).join(models.margin(model, test), "customer_unique_id")
 
 
 @query("churn_export")
 def _(t: Tables):
-    return models.churn_export(_scored_by_gbt(t)[0])
+    return models.churn_export(models.score(_gbt(t), _features(t)))
 
 
 @query("churn_export_fixed", """
@@ -154,21 +152,74 @@ _COEFFICIENTS = {"total_orders": -0.5, "avg_review_score": 0.25, "purchase_month
     FROM (SELECT customer_unique_id, {" + ".join(f"{v} * {c}" for c, v in _COEFFICIENTS.items())} - 0.75 AS z FROM features)""")
 def _(t: Tables):
     """Probabilities of stated coefficients, as a fitted logistic model gives them."""
-    found = models.logistic_score(t.once("features", lambda: split(t)), _COEFFICIENTS, -0.75)
+    found = models.logistic_score(_features(t), _COEFFICIENTS, -0.75)
     return rounded(found.select("customer_unique_id", "churn_probability", "churn_prediction"), 6, "churn_probability")
 
 
 @query("model_roc_curve")
 def _(t: Tables):
     """ROC points of both fitted models on the test part."""
-    vectors, _ = _input(t)
-    train, test = split_rows(vectors)
-    fits = {"logreg": models.fit_logistic(train), "gbt": _scored_by_gbt(t)[1]}
-    curves = [evaluate.roc_curve(models.score(m, test)).withColumn("model", F.lit(n)) for n, m in fits.items()]
+    curves = [evaluate.roc_curve(models.score(m, test)).withColumn("model", F.lit(n)) for n, (m, test) in _fitted(t).items()]
     return curves[0].unionByName(curves[1])
 
 
 @query("model_report")
 def _(t: Tables):
     """Classification report of the boosted model on the test part."""
-    return evaluate.classification_report(split_rows(_scored_by_gbt(t)[0])[1])
+    return evaluate.classification_report(models.score(_gbt(t), split_rows(_features(t))[1]))
+
+
+# Stated bins, node, weight and score, so that SQL can follow one level of a tree: gaps in the mean review score, two nodes.
+_CUTS = {"total_orders": [15.0, 18.0, 21.0], "avg_review_score": [2.8, 3.0, 3.2], "purchase_month": [6.0, 6.5, 7.0]}
+_POSITIVE = 1.5
+
+
+def _level(t: Tables):
+    known = F.when(F.col("customer_unique_id") % 5 != 0, F.col("avg_review_score"))
+    rows = _features(t).withColumns({
+        "avg_review_score": known, "node": (1 + F.col("customer_unique_id") % 2).cast("int"),
+        "p": (F.col("customer_unique_id") * 7919 % 1000).cast("double") / 1000})
+    cut = boosting.binned(rows, list(_CUTS), list(_CUTS.values()))
+    weight = F.when(F.col("churned") == 1, F.lit(_POSITIVE)).otherwise(F.lit(1.0))
+    return boosting.histograms(boosting.with_gradients(cut, F.col("p"), "churned", weight))
+
+
+_BINS = ", ".join(f"""CASE WHEN {c} IS NULL THEN {boosting.MISSING} ELSE {" + ".join(
+    f"CAST({c} >= {x} AS INTEGER)" for x in cuts)} END""" for c, cuts in _CUTS.items())
+_HISTOGRAM = f"""
+    given AS (SELECT customer_unique_id % 2 + 1 AS node, churned, (customer_unique_id * 7919 % 1000) / 1000.0 AS p,
+                     CASE WHEN churned = 1 THEN {_POSITIVE} ELSE 1.0 END AS w, total_orders, purchase_month,
+                     CASE WHEN customer_unique_id % 5 <> 0 THEN avg_review_score END AS avg_review_score FROM features),
+    cut AS (SELECT node, CAST(round((p - churned) * w * {boosting.ONE}) AS BIGINT) AS g,
+                   CAST(round(p * (1 - p) * w * {boosting.ONE}) AS BIGINT) AS h, unnest([0, 1, 2]) AS feature, unnest([{_BINS}]) AS bin
+            FROM given),
+    sums AS (SELECT CAST(node AS INTEGER) AS node, feature, bin, CAST(sum(g) AS BIGINT) AS g, CAST(sum(h) AS BIGINT) AS h
+             FROM cut GROUP BY ALL)"""
+
+
+@query("gbt_histograms", f"WITH {_HISTOGRAM} SELECT * FROM sums")
+def _(t: Tables):
+    """Gradients and hessians by node, feature and bin of one level of a tree."""
+    return _level(t)
+
+
+@query("gbt_splits", f"""
+    WITH {_HISTOGRAM},
+    total AS (SELECT node, sum(g) AS g, sum(h) AS h FROM sums WHERE feature = 0 GROUP BY node),
+    place AS (SELECT DISTINCT node, feature, unnest([1, 2, 3]) AS bin FROM sums),
+    side AS (SELECT *, unnest([true, false]) AS missing_left FROM place),
+    lefts AS (SELECT side.node, side.feature, side.bin, missing_left, coalesce(sum(sums.g), 0) AS lg, coalesce(sum(sums.h), 0) AS lh
+              FROM side LEFT JOIN sums ON side.node = sums.node AND side.feature = sums.feature
+                   AND (sums.bin BETWEEN 0 AND side.bin - 1 OR sums.bin = {boosting.MISSING} AND missing_left) GROUP BY ALL),
+    gains AS (SELECT *, pow(lg / {boosting.ONE}.0, 2) / (lh / {boosting.ONE}.0 + 1) + pow((g - lg) / {boosting.ONE}.0, 2) / ((h - lh) / {boosting.ONE}.0 + 1)
+                        - pow(g / {boosting.ONE}.0, 2) / (h / {boosting.ONE}.0 + 1) AS gain
+              FROM lefts JOIN total USING (node) WHERE lh >= {boosting.ONE} AND h - lh >= {boosting.ONE})
+    SELECT node, feature, CAST(bin AS INTEGER) AS bin, CAST(missing_left AS INTEGER) AS missing_left, {r("gain", 6)} AS gain
+    FROM gains QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain, 9) DESC, feature, bin, missing_left DESC) = 1""")
+def _(t: Tables):
+    """The best split of every node of that level."""
+    sums = _level(t).toPandas()  # nodes x features x bins
+    cuts = list(_CUTS.values())
+    found = boosting.best_splits(*boosting.dense(sums, cuts), cuts)
+    rows = [(n, s["feature"], s["bin"], int(s["missing_left"]), s["gain"]) for n, s in found.items() if "feature" in s]
+    return rounded(t.spark.createDataFrame(rows, "node int, feature int, bin int, missing_left int, gain double"))

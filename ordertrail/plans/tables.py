@@ -58,9 +58,9 @@ class Tables:
         key = (self.spark.sparkContext.applicationId, self.folder, name)
         if key not in _models:
             path = scratch_path(self.spark, name)
-            fit().write().save(path)
+            fit().save(self.spark, path)
             _models[key] = path
-        return kind.load(_models[key])
+        return kind.load(self.spark, _models[key])
 
     # raw tables
 

@@ -11,9 +11,9 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from ordertrail.operators import attribution, churn, evaluate, models, segments
+from ordertrail.operators import attribution, boosting, churn, evaluate, models, segments
 from ordertrail.operators.rfm import zscore
-from ordertrail.session import drop_scratch, scratch_path, stored
+from ordertrail.session import drop_scratch, stored
 
 COLUMNS = ["a", "b", "c"]
 
@@ -30,16 +30,15 @@ def planted(spark):
 
 @pytest.fixture(scope="module")
 def gbt(planted):
-    vectors, names = models.model_input(planted, COLUMNS)
-    train, test = churn.split_rows(vectors)
-    return models.fit_gbt(train, max_iter=5, max_depth=3), vectors, test, names
+    train, test = churn.split_rows(planted)
+    return models.fit_gbt(train, COLUMNS, max_iter=5, max_depth=3), test
 
 
 def test_models_find_the_signal(planted, gbt):
-    model, vectors, test, _ = gbt
-    train, _ = churn.split_rows(vectors)
-    for fitted in (model, models.fit_logistic(train)):
-        scored = models.score(fitted, test)
+    model, test = gbt
+    train, vectors = churn.split_rows(models.model_input(planted, COLUMNS)[0])
+    for fitted, part in ((model, test), (models.fit_logistic(train), vectors)):
+        scored = models.score(fitted, part)
         assert evaluate.roc_auc(scored).first()["auc"] > 0.8
         assert scored.filter("churn_prediction <> CAST(churn_probability > 0.5 AS INT)").count() == 0
 
@@ -61,55 +60,73 @@ def test_gaps_get_a_column(spark, planted):
     vectors, names = models.model_input(gappy, COLUMNS)
     assert names == [*COLUMNS, "b_missing"]
     assert vectors.filter("b IS NULL").count() == 0
-    models.fit_gbt(vectors, max_iter=1, max_depth=2)
 
 
 def test_attributions_add_up_to_the_margin(planted, gbt):
-    model, _, test, names = gbt
-    parts = attribution.attributions(model, test, names)
+    model, test = gbt
+    parts = attribution.attributions(model, test)
     joined = parts.join(models.margin(model, test), "customer_unique_id").toPandas()
-    assert np.abs(joined[names].sum(axis=1) + joined.base - joined.margin).max() < 1e-9
-    means = dict(rows(attribution.mean_attribution(parts, names)))
+    assert np.abs(joined[COLUMNS].sum(axis=1) + joined.base - joined.margin).max() < 1e-9
+    means = dict(rows(attribution.mean_attribution(parts, COLUMNS)))
     assert means["a"] == max(means.values())
     assert means["a"] == pytest.approx(joined.a.abs().mean())
 
 
-def test_attributions_are_shapley_values(spark, gbt):
-    """Against the definition: expected margin with a subset of features known, over all subsets."""
-    model, _, test, names = gbt
-    path = scratch_path(spark, "model")
-    model.write().save(path)
-    trees = {}
-    for r in spark.read.parquet(f"{path}/data").collect():
-        trees.setdefault(r["treeID"], {})[r["nodeData"]["id"]] = r["nodeData"]
-
-    def expected(nodes, x, known, at=0):
-        n = nodes[at]
-        if n["leftChild"] < 0:
-            return n["prediction"]
-        f, cut = n["split"]["featureIndex"], n["split"]["leftCategoriesOrThreshold"][0]
-        left, right = n["leftChild"], n["rightChild"]
-        if f in known:
-            return expected(nodes, x, known, left if x[f] <= cut else right)
-        # the weights that the trees were fitted with
-        cover = [nodes[i]["impurityStats"][0] for i in (left, right)]
-        return (cover[0] * expected(nodes, x, known, left) + cover[1] * expected(nodes, x, known, right)) / sum(cover)
-
-    def value(x, known):
-        return sum(w * expected(trees[t], x, known) for t, w in enumerate(model.treeWeights))
-
-    m = len(names)
-    sample = attribution.attributions(model, test, names).join(test.select("customer_unique_id", *[
-        F.col(c).alias(f"x_{c}") for c in names]), "customer_unique_id").orderBy("customer_unique_id").limit(20)
-    for row in sample.collect():
-        x = [row[f"x_{c}"] for c in names]
-        for i, name in enumerate(names):
-            others = [j for j in range(m) if j != i]
-            phi = sum(
-                math.factorial(len(s)) * math.factorial(m - len(s) - 1) / math.factorial(m)
-                * (value(x, {*s, i}) - value(x, set(s)))
-                for k in range(m) for s in itertools.combinations(others, k))
-            assert row[name] == pytest.approx(phi, abs=1e-9)
+def expected(tree, x, known, at=0):
+    """The margin of a tree with some features known and the others averaged over."""
+    f = tree.feature[at]
+    if f < 0:
+        return tree.value[at]
+    left, right = 2 * at + 1, 2 * at + 2
+    if f in known:
+        to_left = tree.missing_left[at] if np.isnan(x[f]) else x[f] < tree.cut[at]
+        return expected(tree, x, known, left if to_left else right)
+    return sum(tree.cover[i] * expected(tree, x, known, i) for i in (left, right)) / tree.cover[at]
+
+
+def shapley(trees, x):
+    """From the definition: all sets of known features."""
+    m, out = len(x), []
+    value = {s: sum(expected(t, x, s) for t in trees)
+             for k in range(m + 1) for s in map(frozenset, itertools.combinations(range(m), k))}
+    for i in range(m):
+        out.append(sum(math.factorial(len(s)) * math.factorial(m - len(s) - 1) / math.factorial(m) * (value[s | {i}] - value[s])
+                       for s in value if i not in s))
+    return out
+
+
+def random_tree(rng, depth, features):
+    """Every node's cover is what its children have."""
+    tree = boosting.Tree.empty(depth)
+    inner = 2 ** depth - 1
+    tree.feature[:inner] = rng.integers(0, features, inner)
+    tree.cut[:inner], tree.missing_left[:inner] = rng.normal(size=inner), rng.random(inner) < .5
+    tree.value[:] = rng.normal(size=len(tree.value))
+    tree.cover[inner:] = rng.random(inner + 1) + .1
+    for n in reversed(range(inner)):
+        tree.cover[n] = tree.cover[2 * n + 1] + tree.cover[2 * n + 2]
+    return tree
+
+
+@pytest.mark.parametrize("depth, features", [(1, 3), (3, 2), (5, 6), (5, 8)])
+def test_attributions_are_shapley_values(depth, features):
+    rng = np.random.default_rng(depth * features)
+    trees = [random_tree(rng, depth, features) for _ in range(2)]
+    x = rng.normal(size=(6, features))
+    x[rng.random(x.shape) < .2] = np.nan
+    found = attribution._attribute([attribution.leaves(t) for t in trees], x)
+    assert np.allclose(found, [shapley(trees, row) for row in x], atol=1e-10)
+
+
+def test_attributions_of_deep_trees_add_up(spark):
+    """Paths of a dozen features, which no table of all sets could hold for every leaf."""
+    rng = np.random.default_rng(1)
+    model = boosting.BoostedTrees([f"f{i}" for i in range(40)], [random_tree(rng, 12, 40)])
+    x = rng.normal(size=(30, 40))
+    df = spark.createDataFrame([(i, *map(float, row)) for i, row in enumerate(x)], ["customer_unique_id", *model.columns])
+    found = attribution.attributions(model, df).join(models.margin(model, df), "customer_unique_id").toPandas()
+    assert np.abs(found[model.columns].sum(axis=1) + found.base - found.margin).max() < 1e-9
+    assert found.margin.std() > 0
 
 
 @pytest.fixture(scope="module")
@@ -180,14 +197,13 @@ def test_attribution_where_workers_lack_the_package(tmp_path):
 import sys
 sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
 from pyspark.sql import functions as F
-from ordertrail.operators import attribution, models, segments
+from ordertrail.operators import attribution, models
 from ordertrail.session import get_session
 spark = get_session("local[2]", spark__checkpoint__dir={str(tmp_path / 'shared')!r}, spark__sql__shuffle__partitions="2")
 df = spark.range(200).selectExpr("id AS customer_unique_id", "CAST(id % 7 AS DOUBLE) AS a", "CAST(id % 5 AS DOUBLE) AS b",
                                  "CAST(id % 7 > 3 AS INT) AS churned")
-vectors = segments.as_vectors(df, ["a", "b"])
-model = models.fit_gbt(vectors, max_iter=2, max_depth=2)
-parts = attribution.attributions(model, vectors, ["a", "b"]).join(models.margin(model, vectors), "customer_unique_id")
+model = models.fit_gbt(df, ["a", "b"], max_iter=2, max_depth=2)
+parts = attribution.attributions(model, df).join(models.margin(model, df), "customer_unique_id")
 assert parts.where("abs(base + a + b - margin) > 1e-9").count() == 0 and parts.count() == 200
 print("attributed")
 """
@@ -196,10 +212,3 @@ print("attributed")
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "elsewhere", env=env, capture_output=True, text=True,
                           timeout=300)
     assert "attributed" in done.stdout, done.stderr[-3000:]
-
-
-def test_too_deep_leaves_are_refused(monkeypatch, gbt):
-    model, _, test, names = gbt
-    monkeypatch.setattr(attribution, "MAX_FEATURES_PER_LEAF", 0)
-    with pytest.raises(ValueError, match="at most 0"):
-        attribution.attributions(model, test, names)
