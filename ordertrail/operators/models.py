@@ -39,8 +39,11 @@ def fit_logistic(train: DataFrame, label: str = "churned", c: float = 1.0, max_i
     ``c`` is the inverse penalty on the summed loss; Spark averages the loss, hence the division by the
     number of rows.
     """
-    return LogisticRegression(labelCol=label, maxIter=max_iter, regParam=1.0 / (c * train.count()),
-                              elasticNetParam=0.0, standardization=False).fit(train)
+    model = LogisticRegression(labelCol=label, maxIter=max_iter, regParam=1.0 / (c * train.count()),
+                               elasticNetParam=0.0, standardization=False).fit(train)
+    # its training summary holds the session, which cannot travel to tasks once a metric was observed in it
+    model._java_obj.setSummary(train.sparkSession._jvm.scala.Option.empty())
+    return model
 
 
 def fit_gbt(train: DataFrame, columns: Sequence[str] = tuple(FEATURES), label: str = "churned", max_iter: int = 300,

@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
-from multiprocessing.pool import ThreadPool
+from functools import reduce
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import half_even, ratio
+from . import kmeans
 from .rfm import RFM
 
 # Segment names from the highest to the lowest mean monetary value.
@@ -28,12 +27,6 @@ def as_vectors(df: DataFrame, columns: Sequence[str], output: str = "features")
     return VectorAssembler(inputCols=list(columns), outputCol=output).transform(df)
 
 
-def _in_parallel(df: DataFrame, tasks: Sequence[Callable], parallelism: int) -> list:
-    """Run independent Spark jobs from a few threads, so that small fits share the cluster."""
-    with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
-        return pool.map(lambda task: task(), map(inheritable_thread_target(df.sparkSession), tasks))
-
-
 @contextmanager
 def _kept(df: DataFrame) -> Iterator[DataFrame]:
     """Keep ``df`` cached inside the block, unless the caller already does."""
@@ -47,38 +40,24 @@ def _kept(df: DataFrame) -> Iterator[DataFrame]:
             df.unpersist()
 
 
-def _best_fits(vectors: DataFrame, ks: Sequence[int], n_init: int, max_iter: int, tol: float, seed: int,
-               parallelism: int) -> list[KMeansModel]:
-    """Per k the fit with the smallest cost over ``n_init`` seeds.
-
-    Sums over partitions differ in their last digits from run to run, so a later seed has to be better by
-    more than that; otherwise equal solutions would swap their cluster numbers.
-    """
-    def task(k: int, restart: int) -> Callable[[], KMeansModel]:
-        return lambda: KMeans(k=k, seed=seed + restart, maxIter=max_iter, tol=tol).fit(vectors)
-
-    fits = _in_parallel(vectors, [task(k, i) for k in ks for i in range(n_init)], parallelism)
-    best = []
-    for i in range(0, len(fits), n_init):
-        chosen, *others = fits[i:i + n_init]
-        for model in others:
-            if model.summary.trainingCost < chosen.summary.trainingCost * (1 - 1e-9):
-                chosen = model
-        best.append(chosen)
-    return best
+def _best_fits(df: DataFrame, columns: Sequence[str], ks: Sequence[int], n_init: int, max_iter: int, tol: float, seed: int,
+               ) -> list[kmeans.Start]:
+    """Per k the start of the smallest cost, of ``n_init``; all starts of all k settle in the same passes."""
+    with _kept(df.select(*columns)) as rows:
+        starts = kmeans.starts_of(rows, columns, ks, n_init, seed)
+        kmeans.settle(rows, columns, starts, max_iter, tol)
+    return [kmeans.best_of(starts, k) for k in ks]
 
 
-def kmeans_fit(vectors: DataFrame, k: int, n_init: int = 10, max_iter: int = 300, tol: float = 1e-4,
-               seed: int = SEED, parallelism: int = 4) -> KMeansModel:
-    """The fit with the smallest cost over ``n_init`` seeds. Pass a stored table: every iteration reads it."""
-    with _kept(vectors):
-        return _best_fits(vectors, [k], n_init, max_iter, tol, seed, parallelism)[0]
+def kmeans_fit(df: DataFrame, columns: Sequence[str], k: int, n_init: int = 10, max_iter: int = 300, tol: float = 1e-4,
+               seed: int = SEED) -> kmeans.Start:
+    """The fit with the smallest cost over ``n_init`` starts. Pass a stored table: every iteration reads it."""
+    return _best_fits(df, columns, [k], n_init, max_iter, tol, seed)[0]
 
 
-def kmeans_assign(vectors: DataFrame, k: int = DEFAULT_K, **fit) -> DataFrame:
+def kmeans_assign(df: DataFrame, columns: Sequence[str], k: int = DEFAULT_K, **fit) -> DataFrame:
     """Add ``cluster``, the nearest of ``k`` fitted centers."""
-    model = kmeans_fit(vectors, k, **fit)
-    return model.setPredictionCol("cluster").transform(vectors)
+    return nearest_center(df, columns, kmeans_fit(df, columns, k, **fit).centers.tolist())
 
 
 def nearest_center(df: DataFrame, columns: Sequence[str], centers: Sequence[Sequence[float]]) -> DataFrame:
@@ -90,16 +69,16 @@ def nearest_center(df: DataFrame, columns: Sequence[str], centers: Sequence[Sequ
     return df.withColumn("cluster", F.array_min(ranked)["id"])
 
 
-def k_sweep(vectors: DataFrame, k_range: Sequence[int] = range(2, 9), n_init: int = 10, max_iter: int = 300,
-            tol: float = 1e-4, seed: int = SEED, parallelism: int = 4) -> DataFrame:
+def k_sweep(df: DataFrame, columns: Sequence[str], k_range: Sequence[int] = range(2, 9), n_init: int = 10,
+            max_iter: int = 300, tol: float = 1e-4, seed: int = SEED) -> DataFrame:
     """Inertia and silhouette (squared Euclidean distance) per number of clusters; one row each."""
     ks = list(k_range)
-    with _kept(vectors):
-        models = _best_fits(vectors, ks, n_init, max_iter, tol, seed, parallelism)
-        judge = ClusteringEvaluator()
-        scores = _in_parallel(vectors, [lambda m=m: judge.evaluate(m.transform(vectors)) for m in models], parallelism)
-        found = [(k, float(m.summary.trainingCost), float(s)) for k, m, s in zip(ks, models, scores)]
-    return vectors.sparkSession.createDataFrame(found, "k int, inertia double, silhouette double")
+    fits = _best_fits(df, columns, ks, n_init, max_iter, tol, seed)
+    with _kept(df.select(*columns)) as rows:
+        scores = [silhouette(nearest_center(rows, columns, fit.centers.tolist()), columns).select(
+            F.lit(k).alias("k"), F.lit(fit.cost).alias("inertia"), "silhouette") for k, fit in zip(ks, fits)]
+        found = reduce(DataFrame.unionByName, scores).collect()  # a row per k
+    return df.sparkSession.createDataFrame([tuple(r) for r in found], "k int, inertia double, silhouette double")
 
 
 def choose_k(sweep: DataFrame | None = None, k: int = DEFAULT_K) -> int:

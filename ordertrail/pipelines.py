@@ -76,10 +76,10 @@ def run_segments(tables: Mapping[str, DataFrame], folder: str, k: int = segments
                  k_range: Sequence[int] = range(2, 9), n_init: int = 10) -> Segments:
     """Recency, frequency and monetary value, clusters, named segments, and their export to ``folder``."""
     table = stored(rfm.rfm(tables["fact_orders"], tables["dim_customers"]), "rfm")
-    vectors = segments.as_vectors(stored(rfm.zscore(table), "standard"), [f"{c}_z" for c in rfm.RFM])
-    sweep = segments.k_sweep(vectors, k_range, n_init)
+    standard, z = stored(rfm.zscore(table), "standard"), [f"{c}_z" for c in rfm.RFM]
+    sweep = segments.k_sweep(standard, z, k_range, n_init)
     named = stored(segments.segments_export(segments.assign_segments(
-        segments.kmeans_assign(vectors, k, n_init=n_init).drop("features"))), "segments")
+        segments.kmeans_assign(standard, z, k, n_init=n_init))), "segments")
     write_csv(named, folder)
     return Segments(named, sweep, segments.segment_profile(named), segments.segment_counts(named))
 

@@ -31,18 +31,18 @@ def _standard(t: Tables):
     return stored(rfm_ops.zscore(stored(_fixed(t), "rfm")), "standard")
 
 
-def _vectors(t: Tables):
+def _standardised(t: Tables):
     """Standardised customers, written once: every fit reads them many times."""
-    return segments.as_vectors(stored(rfm_ops.zscore(stored(_rfm(t), "rfm")), "standard"), Z)
+    return stored(rfm_ops.zscore(stored(_rfm(t), "rfm")), "standard")
 
 
 def _sweep(t: Tables):
     """The sweep over k, done once per folder: two queries show it."""
-    return t.once("k-sweep", lambda: segments.k_sweep(_vectors(t)))
+    return t.once("k-sweep", lambda: segments.k_sweep(_standardised(t), Z))
 
 
 def _assigned(t: Tables):
-    return t.once("k-means", lambda: segments.kmeans_assign(_vectors(t), segments.choose_k()).drop("features"))
+    return t.once("k-means", lambda: segments.kmeans_assign(_standardised(t), Z, segments.choose_k()))
 
 
 _Z_SQL = ", ".join(f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS {c}_z" for c in RFM)

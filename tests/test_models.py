@@ -11,7 +11,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from ordertrail.operators import attribution, boosting, churn, evaluate, models, segments
+from ordertrail.operators import attribution, boosting, churn, evaluate, kmeans, models, segments
 from ordertrail.operators.rfm import zscore
 from ordertrail.session import drop_scratch, stored
 
@@ -141,22 +141,73 @@ Z = ["recency_z", "frequency_z", "monetary_z"]
 
 
 def test_kmeans(customers):
-    vectors = segments.as_vectors(customers, Z)
-    model = segments.kmeans_fit(vectors, 4, n_init=3)
-    assigned = segments.kmeans_assign(vectors, 4, n_init=3)
+    fit = segments.kmeans_fit(customers, Z, 4, n_init=3)
+    assigned = segments.kmeans_assign(customers, Z, 4, n_init=3)
     pdf = assigned.toPandas()
     x = pdf[Z].to_numpy()
-    centers = np.array(model.clusterCenters())
-    distance = ((x[:, None, :] - centers[None]) ** 2).sum(axis=2)
+    distance = ((x[:, None, :] - fit.centers[None]) ** 2).sum(axis=2)
     assert (distance.argmin(axis=1) == pdf.cluster).all()
-    assert model.summary.trainingCost == pytest.approx(distance.min(axis=1).sum())
-    assert segments.inertia(assigned, Z).first()[0] == pytest.approx(model.summary.trainingCost)
+    assert fit.cost == pytest.approx(distance.min(axis=1).sum())
+    assert segments.inertia(assigned, Z).first()[0] == pytest.approx(fit.cost)
     named = segments.assign_segments(assigned)
     assert dict(rows(segments.segment_counts(named))) == dict.fromkeys(segments.SEGMENT_NAMES, 100)
 
 
+def lloyd(x, centers, max_iter=300, tol=1e-4):
+    for _ in range(max_iter):
+        nearest = ((x[:, None, :] - centers[None]) ** 2).sum(axis=2).argmin(axis=1)
+        new = np.array([x[nearest == c].mean(axis=0) if (nearest == c).any() else centers[c] for c in range(len(centers))])
+        moved = np.sqrt(((new - centers) ** 2).sum(axis=1)).max()
+        centers = new
+        if moved <= tol:
+            break
+    return centers, ((x[:, None, :] - centers[None]) ** 2).sum(axis=2).min(axis=1).sum()
+
+
+def test_all_starts_together_are_each_start_alone(customers):
+    x = customers.select(*Z).toPandas().to_numpy()
+    starts = kmeans.starts_of(customers, Z, [2, 3, 5], 3, 7)
+    assert [len(s.centers) for s in starts] == [2] * 3 + [3] * 3 + [5] * 3
+    # drawn from the rows, whatever their partitions
+    assert all((s.centers[:, None] == x[None]).all(axis=2).any(axis=1).all() for s in starts)
+    again = kmeans.starts_of(customers.orderBy("monetary").repartition(5), Z, [2, 3, 5], 3, 7)
+    assert all((a.centers == b.centers).all() for a, b in zip(starts, again))
+    wanted = [lloyd(x, s.centers) for s in starts]
+    kmeans.settle(customers, Z, starts)
+    for start, (centers, cost) in zip(starts, wanted):
+        assert start.settled and np.allclose(start.centers, centers) and start.cost == pytest.approx(cost)
+    assert kmeans.best_of(starts, 5).cost == min(s.cost for s in starts if s.k == 5)
+
+
+def test_one_scan_moves_all_starts(customers, monkeypatch):
+    starts, calls = kmeans.starts_of(customers, Z, [2, 3], 4, 1), []
+    real = kmeans._per_task
+    monkeypatch.setattr(kmeans, "_per_task", lambda *args: calls.append(real(*args)) or calls[-1])
+    kmeans.move(kmeans.numbers(customers, Z), 3, starts)
+    assert len(calls) == 1
+    assert calls[0]._jdf.queryExecution().executedPlan().toString().count("Scan") <= 2  # the node and its description
+
+
+def test_fewer_rows_than_clusters(spark):
+    df = spark.createDataFrame([(1.0,), (1.0,), (2.0,)], "a double")
+    fit = segments.kmeans_fit(df, ["a"], 5, n_init=2)
+    assert sorted(fit.centers.ravel().tolist()) == [1.0, 2.0] and fit.cost == 0
+    assert segments.kmeans_assign(df, ["a"], 5, n_init=2).select("cluster").distinct().count() == 2
+    with pytest.raises(Exception, match="missing value"):
+        segments.kmeans_fit(df.unionByName(spark.createDataFrame([(None,)], df.schema)), ["a"], 2)
+
+
+def test_draws_follow_the_squared_distance(spark):
+    """Of rows at 1 and 3 from the only center, the far one is drawn nine times in ten."""
+    df = spark.createDataFrame([(0.0,), (1.0,), (3.0,)], "a double")
+    starts = [kmeans.Start(2, seed, np.array([[0.0]])) for seed in range(400)]
+    kmeans._draw(kmeans.numbers(df, ["a"]), 1, starts, 1)
+    far = sum(s.centers[1, 0] == 3.0 for s in starts) / len(starts)
+    assert 0.84 < far < 0.96
+
+
 def test_sweep(customers):
-    sweep = segments.k_sweep(segments.as_vectors(customers, Z), range(2, 6), n_init=2)
+    sweep = segments.k_sweep(customers, Z, range(2, 6), n_init=2)
     found = {r["k"]: r for r in sweep.collect()}
     assert segments.choose_k() == 4 and segments.choose_k(sweep) == max(found, key=lambda k: found[k]["silhouette"])
     assert found[4]["inertia"] < found[2]["inertia"]
