@@ -5,70 +5,67 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import text_literal
 from ..schemas import NOT_NULL, PRIMARY_KEY
 from ..session import stored
-from .members import member_keys
+from .members import keep_members
 
 # (column of the fact, dimension, whether NULL is allowed); the dimension has a column of the same name
 Reference = tuple[str, DataFrame, bool]
 
 
-def dangling_keys(used: DataFrame, key: str, dim: DataFrame, nullable: bool) -> DataFrame:
-    """The different values of ``key`` in ``used`` that the dimension does not hold, written once.
+def fk_marks(fact: DataFrame, refs: Sequence[Reference], unique: bool = False) -> tuple[DataFrame, dict[str, Column]]:
+    """The fact next to the keys it refers to, and per reference whether it dangles: it has no such key, or is NULL where
+    that is not allowed.
 
-    They are few as a rule, and the written size lets Catalyst decide how the fact meets them.
+    One left join per reference. The keys are written once, so that Catalyst broadcasts them if they are small, and else
+    adaptive execution splits a key, or the NULLs, that many rows hold. With ``unique`` the dimensions are tables whose
+    keys are known to be different, and are joined as they are.
     """
-    values = used.select(key).distinct()
-    if nullable:
-        values = values.filter(F.col(key).isNotNull())
-    return stored(values.join(dim.select(key), key, "left_anti"), f"dangling-{key}")
+    marked, marks = fact, {}
+    for key, dim, nullable in refs:
+        keys = dim.select(F.col(key).alias(f"_key_{key}"))
+        if not unique:
+            keys = stored(keys.where(keys[f"_key_{key}"].isNotNull()).distinct(), f"keys-{key}")
+        marked = marked.join(keys, F.col(key) == F.col(f"_key_{key}"), "left")
+        dangles = F.col(f"_key_{key}").isNull()
+        marks[key] = dangles & F.col(key).isNotNull() if nullable else dangles
+    return marked, marks
+
 
+def _reasons(marks: Mapping[str, Column]) -> list[Column]:
+    """Rows per reason, and in total: one with two dangling references counts for both but once in the total."""
+    total = reduce(Column.__or__, marks.values(), F.lit(False))
+    return [F.count_if(mark).alias(name) for name, mark in [*marks.items(), ("any", total)]]
 
-def _keys(fact: DataFrame, refs: Sequence[Reference]) -> DataFrame:
-    """The referring columns of the fact, written once."""
-    return stored(fact.select(*dict.fromkeys(key for key, _, _ in refs)), "fact-keys")
+
+def fk_drop(fact: DataFrame, refs: Sequence[Reference], lost: Observation, unique: bool = False) -> DataFrame:
+    """What ``fk_filter`` keeps; ``lost`` has the counts of ``fk_report`` once the result was computed, in the same pass."""
+    marked, marks = fk_marks(fact, refs, unique)
+    dropped = reduce(Column.__or__, marks.values(), F.lit(False))
+    return marked.observe(lost, *_reasons(marks)).where(~dropped).select(fact.columns)
 
 
 def fk_filter(fact: DataFrame, refs: Sequence[Reference]) -> DataFrame:
     """Keep the fact rows whose every reference exists in its dimension, or is NULL where allowed.
 
-    Only the different combinations of keys meet the dimensions. Those with a dangling one are written, few as a rule,
-    and the wide fact is joined once, to them alone.
+    A semi join per reference, which repeated keys of a dimension do not multiply: nothing is written for it.
     """
-    if not refs:
-        return fact
-    keys = list(dict.fromkeys(key for key, _, _ in refs))
-    used = fact.select(*keys).distinct()
-    bad = []
     for key, dim, nullable in refs:
-        # NULL as a member where it is allowed: a filter on the used keys would keep the three uses from being one
-        members = member_keys(dim, key, nullable)
-        bad.append(used.join(members, F.col(key).eqNullSafe(F.col("_member")), "left_anti"))
-    dangling = stored(reduce(DataFrame.unionByName, bad), "dangling").select(*[F.col(k).alias(f"_bad_{k}") for k in keys])
-    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_bad_{k}")) for k in keys])
-    return fact.join(dangling, same, "left_anti")
+        fact = keep_members(fact, key, dim, allow_null=nullable)
+    return fact
 
 
 def fk_report(fact: DataFrame, refs: Sequence[Reference]) -> DataFrame:
-    """Fact rows that ``fk_filter`` drops, per reference and in total.
+    """Fact rows that ``fk_filter`` drops, per reference and in total: (reason, dropped_rows).
 
-    The key columns of the fact are written once and read for every reference; one pass over them then counts all
-    reasons. A row with two dangling references counts for both but once in the total.
+    One pass over the referring columns counts all reasons.
     """
-    keys = _keys(fact, refs)
-    marks = []
-    marked = keys
-    for key, dim, nullable in refs:
-        dangling = dangling_keys(keys, key, dim, nullable).select(
-            F.col(key).alias(f"_key_{key}"), F.lit(True).alias(f"_bad_{key}"))
-        marked = marked.join(dangling, F.col(key).eqNullSafe(F.col(f"_key_{key}")), "left")
-        marks.append((key, F.col(f"_bad_{key}").isNotNull()))
-    total = reduce(Column.__or__, [mark for _, mark in marks], F.lit(False))
-    counts = marked.agg(*[F.count_if(mark).alias(name) for name, mark in [*marks, ("any", total)]])
+    marked, marks = fk_marks(fact.select(*dict.fromkeys(key for key, _, _ in refs)), refs)
+    counts = marked.agg(*_reasons(marks))
     return counts.select(F.inline(F.array(*[
         F.struct(F.lit(name).alias("reason"), F.col(name).alias("dropped_rows")) for name in counts.columns])))
 

@@ -109,8 +109,7 @@ def _created(name: str) -> str:
 def _(t: Tables):
     """What the created tables hold and are made of, before the load and after it."""
     folder = scratch_path(t.spark, "star")
-    create_star(t.spark, folder)
-    empty = {name: t.spark.read.parquet(f"{folder}/{name}") for name in STAR}
+    empty = create_star(t.spark, folder)
     before = {r["table_name"]: r["row_count"] for r in load_counts(empty).collect()}  # a row per table
     kinds = [(name, i, f.name, f.dataType.simpleString(), before[name]) for name, df in empty.items()
              for i, f in enumerate(df.schema)]

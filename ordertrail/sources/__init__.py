@@ -14,6 +14,7 @@ from .writers import (  # noqa: F401
     create_star,
     export_all,
     load_star,
+    read_star,
     write_csv,
     write_jdbc,
     write_table,

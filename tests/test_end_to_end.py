@@ -5,10 +5,11 @@ from decimal import Decimal as D
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from ordertrail import pipelines
 from ordertrail.operators import models, star
-from ordertrail.sources import create_star, load_counts, load_raw, load_star
+from ordertrail.sources import create_star, load_counts, load_raw, load_star, read_star, writers
 
 N = 300
 
@@ -84,14 +85,75 @@ def test_a_repeated_key_stops_the_load(loaded, tmp_path):
         load_star(twice, str(tmp_path))
 
 
-def test_a_failed_load_leaves_the_tables(spark, loaded, tmp_path):
-    _, built, tables = loaded
-    load_star(built, str(tmp_path))
-    bad = built | {"fact_orders": built["fact_orders"].union(built["fact_orders"])}
-    with pytest.raises(ValueError, match="unique order_id"):
-        load_star(bad, str(tmp_path))
-    assert spark.read.parquet(f"{tmp_path}/fact_orders").count() == tables["fact_orders"].count()
-    assert sorted(p.name for p in tmp_path.iterdir()) == sorted(built)
+def contents(spark, folder):
+    return {name: df.count() for name, df in read_star(spark, folder).items()}
+
+
+STEPS = {"types": (0, "type_conform"), "first table": (0, "write_table"), "third table": (2, "write_table"),
+         "fact": (4, "write_table"), "references": (0, "fk_drop"), "keys of dimensions": (0, "pk_check"),
+         "keys of the fact": (4, "pk_check"), "publishing": (0, "_publish"), "pointer": (0, "_claim")}
+
+
+@pytest.fixture(scope="module")
+def small(loaded):
+    """The tables of two orders' customers, to load before and after."""
+    _, built, _ = loaded
+    return {n: df.limit(3) if n != "fact_orders" else df.where("false") for n, df in built.items()}
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_a_load_that_fails_anywhere_changes_nothing(spark, loaded, small, tmp_path, monkeypatch, step):
+    load_star(small, str(tmp_path))
+    before = contents(spark, str(tmp_path))
+    assert before == {n: 3 if n != "fact_orders" else 0 for n in small}
+    after, name = STEPS[step]
+    real, calls = getattr(writers, name), []
+
+    def fails(*args, **kwargs):
+        calls.append(name)
+        if len(calls) > after:
+            raise OSError("injected")
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(writers, name, fails)
+    with pytest.raises(OSError, match="injected"):
+        load_star(loaded[1], str(tmp_path))
+    monkeypatch.undo()
+    assert contents(spark, str(tmp_path)) == before
+    assert len(list((tmp_path / "versions").iterdir())) == len(list((tmp_path / "pointers").glob("0*"))) == 1
+    load_star(loaded[1], str(tmp_path))
+    assert contents(spark, str(tmp_path))["fact_orders"] == N - 6
+
+
+def test_a_load_with_broken_keys_changes_nothing(spark, loaded, small, tmp_path):
+    _, built, _ = loaded
+    load_star(small, str(tmp_path))
+    before = contents(spark, str(tmp_path))
+    for bad, what in ((built | {"fact_orders": built["fact_orders"].union(built["fact_orders"])}, "fact_orders: 294 x unique order_id"),
+                      (built | {"dim_sellers": built["dim_sellers"].union(built["dim_sellers"])}, "9 x unique seller_id"),
+                      (built | {"dim_customers": built["dim_customers"].withColumn("customer_unique_id", F.lit(None).cast("string"))},
+                       "not null customer_unique_id")):
+        with pytest.raises(ValueError, match=what):
+            load_star(bad, str(tmp_path))
+        assert contents(spark, str(tmp_path)) == before
+
+
+def test_readers_keep_the_version_they_have(spark, loaded, small, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        read_star(spark, str(tmp_path))
+    load_star(loaded[1], str(tmp_path))
+    reader = read_star(spark, str(tmp_path))
+    written = load_star(small, str(tmp_path))
+    assert written.counts["dim_sellers"] == 3 and contents(spark, str(tmp_path))["dim_sellers"] == 3
+    assert reader["dim_sellers"].count() == 9
+    # the version before the last is still there, the ones before are not
+    load_star(small, str(tmp_path))
+    assert len(list((tmp_path / "versions").iterdir())) == writers.KEPT_VERSIONS
+
+
+def test_counts_come_with_the_write(loaded):
+    _, _, tables = loaded
+    assert tables.counts == {name: df.count() for name, df in tables.items()}
 
 
 def test_dropped_rows_are_reported(loaded):
