@@ -177,10 +177,15 @@ def probes(likely: np.ndarray, filed: np.ndarray, enough: int) -> list[np.ndarra
     return [row[:n] for row, n in zip(order, needed)]
 
 
-def nearest(query: np.ndarray, ids: np.ndarray, vectors: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+def nearest(query: np.ndarray, ids: np.ndarray, vectors: np.ndarray, own: int, k: int, repeated: bool = False,
+            ) -> tuple[np.ndarray, np.ndarray]:
     """Ids and exact distances of the k nearest vectors but the query's own; ties to the smaller id."""
     distances = np.sqrt(((vectors - query) ** 2).sum(axis=1))
     distances = np.where(ids == own, np.inf, distances)
+    if repeated:  # of an id with several vectors, the nearest
+        order = np.lexsort((distances, ids))
+        first = order[np.concatenate([[True], ids[order][1:] != ids[order][:-1]])]
+        ids, distances = ids[first], distances[first]
     if len(ids) > k:  # all that are as near as the k-th
         some = np.flatnonzero(distances <= np.partition(distances, k - 1)[k - 1])
     else:
@@ -196,7 +201,8 @@ def search(df: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id",
     ``df`` are the candidates, ``queries`` rows of the same kind; a query does not find rows with its own key. The
     score is the Euclidean distance in double precision; ties go to the smaller key. Vectors that are null, zero or
     hold null or non-finite components, rows with a null key, and vectors of another dimension than most have take
-    no part, as query or candidate. Repeated rows count once. A query gets fewer rows if there are fewer candidates,
+    no part, as query or candidate. An id on several vectors is as near as the nearest of them, and as a query it is as
+    near to others as any of them; repeated rows count once. A query gets fewer rows if there are fewer candidates,
     and none if there is none. Fitting sees at most about ``SAMPLE`` rows; every usable row is filed.
     """
     if k < 1:
@@ -261,24 +267,27 @@ def search(df: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id",
     in_part, visiting = block_count(sizes, BLOCK), block_count(asks, QUERY_BLOCK)
     left = sent.where(in_part > 0).withColumn("block", every(in_part)).withColumn(
         "ask", F.pmod(F.xxhash64("id", F.lit(1)), visiting).cast("int"))
-    right = filed.where(visiting > 0).withColumn("block", F.pmod(F.xxhash64("id"), in_part).cast("int")).withColumn(
-        "ask", every(visiting))
+    # dealt out by row, so that a repeated id fills no block
+    right = filed.where(visiting > 0).withColumn(
+        "block", F.pmod(F.monotonically_increasing_id(), in_part).cast("int")).withColumn("ask", every(visiting))
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
-            right = right.drop_duplicates("id")
             ids, vectors = right["id"].to_numpy(), np.stack(right["v"].to_numpy())
+            repeated = len(np.unique(ids)) < len(ids)
             for own, query in zip(left["id"].to_numpy(), left["v"].to_numpy()):
-                found, distances = nearest(query, ids, vectors, own, k)
+                found, distances = nearest(query, ids, vectors, own, k, repeated)
                 out.append(pd.DataFrame({"query_id": own, "vec_id": found, "score": distances}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
     keys = ("part", "block", "ask")
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
         compare, "query_id bigint, vec_id bigint, score double")
+    # an id of several vectors may be found once for each, and asks with each
+    once = found.repartition("query_id").groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
+    return once.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,9 +39,23 @@ class Sender:
         return pa.RecordBatch.from_arrays(arrays, schema=self.schema)
 
 
+def unused(taken: Iterable[str], name: str) -> str:
+    """``name``, with underscores behind it as long as it is one of ``taken``; Spark's names ignore case."""
+    lowered = {t.lower() for t in taken}
+    while name.lower() in lowered:
+        name += "_"
+    return name
+
+
+def given_name(key: str, new: Iterable[str]) -> str:
+    """What a key column is called in the result: its name, or ``<name>_given`` if a new column has it."""
+    return f"{key}_given" if key.lower() in {n.lower() for n in new} else key
+
+
 def fields(df: DataFrame, *names: str) -> str:
     """Columns of ``df`` with their types, as part of a schema string."""
-    return ", ".join(f"`{name}` {df.schema[name].dataType.simpleString()}" for name in names)
+    kinds = {f.name.lower(): f.dataType.simpleString() for f in df.schema}
+    return ", ".join(f"`{name}` {kinds[name.lower()]}" for name in names)
 
 
 def arrow_schema(ddl: str) -> pa.Schema:

@@ -19,8 +19,9 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .arrow import Sender, arrow_schema, fields, map_batches
+from .arrow import Sender, arrow_schema, fields, given_name, map_batches, unused
 
 #: The pre-tokenizer's pattern, and the white space of Unicode.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -226,10 +227,13 @@ def encode(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") ->
     """``key`` and ``ids``: the token ids of every whole text, as little-endian unsigned 32-bit integers.
 
     ``path`` names the vocabulary file, which every worker reads from its own installation. A null text counts
-    as empty and has no ids; a null or repeated key stays as it is, one row of output per row of input. Special
+    as empty and has no ids; a null or repeated key stays as it is, one row of output per row of input; one that is
+    named ``ids`` is called ``ids_given``. Special
     tokens written out in a text become their ids. No shuffle, and nothing is held beyond one batch of rows.
     """
-    ddl = f"{fields(df, key)}, ids binary"
+    called = given_name(key, ["ids"])
+    named = df.select(F.col(key).alias(called), F.col(text).alias(unused([called], "text")))
+    ddl = f"{fields(named, called)}, ids binary"
     schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,7 +245,7 @@ def encode(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") ->
                     yield out.batch()
         yield out.batch()
 
-    return map_batches(df.select(key, text), ddl, run)
+    return map_batches(named, ddl, run)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "text") -> DataFrame:

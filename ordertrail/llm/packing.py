@@ -18,13 +18,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from tokenizers import Tokenizer
 
 from ..session import ship_package, stored
-from .arrow import Sender, arrow_schema, fields, map_batches
+from .arrow import Sender, arrow_schema, fields, given_name, map_batches, unused
 from .bpe import BYTES, byte_alphabet, parts
 
 #: Words remembered per Python worker, and the longest one that is worth it; limits memory, not results.
@@ -33,6 +33,8 @@ MARKS = frozenset(b".,;:!?")
 #: Words that normalising and pre-tokenising leave as they are: lower-case Latin letters.
 PLAIN = re.compile("[a-zß-öø-ÿ]+")
 ENTRIES = 4  # bytes of an id
+#: Columns of a piece; a key that is named like one is called ``<name>_given``.
+PIECE = ("piece", "start", "length", "ids", "task", "number", "sequence_id", "offset", "first", "place")
 
 
 class WordIds(dict):
@@ -96,7 +98,9 @@ def pieces(df: DataFrame, path: str, capacity: int, end_id: int, key: str = "doc
     Columns: ``key``, ``piece``, ``start``, ``length``, ``ids`` (little-endian unsigned 32-bit integers), and the
     piece's number among those of its length in its task, ``task`` and ``number``.
     """
-    ddl = (f"{fields(df, key)}, piece int, start bigint, length int, ids binary, "
+    called = given_name(key, PIECE)
+    named = df.select(F.col(key).alias(called), F.col(text).alias(unused([called], "text")))
+    ddl = (f"{fields(named, called)}, piece int, start bigint, length int, ids binary, "
            "task int, number bigint")
     schema = arrow_schema(ddl)
     end, step = np.array([end_id], "<u4").tobytes(), capacity * ENTRIES
@@ -114,7 +118,7 @@ def pieces(df: DataFrame, path: str, capacity: int, end_id: int, key: str = "doc
                     seen[length] += 1
         yield out.batch()
 
-    return map_batches(df.select(key, text), ddl, run)
+    return map_batches(named, ddl, run)
 
 
 def patterns(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:
@@ -206,14 +210,16 @@ class Places:
 
 
 def pack(df: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, key: str = "doc_id", text: str = "text",
-         ) -> DataFrame:
+         carry: dict[str, Column] | None = None) -> DataFrame:
     """One row per piece of a document: ``key``, ``piece``, ``start``, ``length``, ``ids``, ``sequence_id``,
-    ``offset``.
+    ``offset``. ``carry`` names what to return in place of ``ids``, computed where the pieces lie.
 
     A document is its token ids and ``end_id``; only one of more than ``capacity`` ids is cut. Sequences hold at
     most ``capacity`` ids, without gaps from offset 0. A null or empty text is one piece of one id; null and
     repeated keys stay as they are, every row is packed; other columns of ``df`` are left out. An empty table
-    gives no rows. The tokenised pieces are written once to the shared folder.
+    gives no rows. The tokenised pieces are written once to the shared folder. Of each task that wrote some, one row tells
+    how many of each length the tasks before hold; while these rows are small enough to be sent along, no piece is shuffled,
+    and beyond that only with what ``carry`` says.
     """
     if capacity < 1:
         raise ValueError("capacity must be positive")
@@ -221,10 +227,13 @@ def pack(df: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, key: s
     written = stored(pieces(df, path, capacity, end_id, key, text), "pieces")
     by_task = written.groupBy("task", "length").agg(F.count("*").alias("n"))
     counts = {r["length"]: r["n"] for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    # one row per task and length: how many such pieces the tasks before hold
+    # one row per task: how many pieces of each length the tasks before hold
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = stored(by_task.select("task", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first")),
-                    "firsts")
+    before = by_task.select("task", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"))
+    by_length = F.map_from_entries(F.collect_list(F.struct("length", "first")))
+    firsts = stored(before.groupBy("task").agg(by_length.alias("known")).select("task", F.transform(
+        F.sequence(F.lit(1), F.lit(capacity)), lambda n: F.coalesce(F.try_element_at("known", n), F.lit(0).cast("bigint"))).alias(
+        "first")), "firsts")
     ship_package(spark)
     places = spark.sparkContext.broadcast(Places(patterns(counts, capacity)))
 
@@ -240,7 +249,11 @@ def pack(df: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, key: s
                 sequence[rows], offset[rows] = places.value.find(size, numbers[rows])
         return pd.DataFrame({"sequence_id": sequence, "offset": offset})
 
-    placed = written.join(firsts, ["task", "length"]).withColumn(
-        "place", place("length", F.col("number") + F.col("first")))
-    return placed.select(key, "piece", "start", F.col("length").cast("bigint").alias("length"), "ids",
-                         "place.sequence_id", "place.offset")
+    carried = carry or {"ids": F.col("ids")}
+    called = given_name(key, PIECE)
+    narrow = written.select(called, "piece", "start", "length", "task", "number", *(
+        c.alias(unused([called, *PIECE], f"carried-{i}")) for i, c in enumerate(carried.values())))
+    placed = narrow.join(firsts, "task").select(
+        *narrow.columns, place("length", F.col("number") + F.element_at("first", F.col("length"))).alias("place"))
+    return placed.select(called, "piece", "start", F.col("length").cast("bigint").alias("length"), *(
+        F.col(f"`{column}`").alias(name) for column, name in zip(narrow.columns[6:], carried)), "place.sequence_id", "place.offset")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package, stored
-from .arrow import Sender, arrow_schema, fields, map_batches
+from .arrow import Sender, arrow_schema, fields, map_batches, unused
 
 SPACES = b" \t\n\v\f\r"
 SYMBOLS = b"#*$%&|<>"
@@ -33,6 +33,8 @@ CLASSES = ("Ll", "Lu", "L", "Nd", "P", "S", "M", "space", "")
 OWN_WORDS = 10_000
 #: References of languages that hold this share of all words, so 1,000 at most, go to every task; others are joined.
 LANGUAGE_SHARE = 1 / 1000
+#: Words of such a language that are dealt to a task together.
+LOT_WORDS = 5_000_000
 #: What the character classes are in the pool: all letters and marks are one.
 FOLDED = (0, 0, 0, 1, 2, 3, 0, 4, 5)
 #: Common words are this share of their language's words, so there are 1,000 a language at most, of bounded size.
@@ -254,8 +256,8 @@ def assess(df: DataFrame, keep: list[str], lang: str = "lang", text: str = "text
     counts as empty: no words, not kept. One row of output per row of input; an empty table gives none. Input
     columns named like an output column are replaced.
 
-    Only documents of languages that hold less than ``LANGUAGE_SHARE`` of the words are shuffled, by language, if any
-    of these has a reference: it comes first in its partition, so there is one copy of it.
+    Only documents of languages that hold less than ``LANGUAGE_SHARE`` of the words are shuffled, by language and, of
+    larger ones, by lots of ``LOT_WORDS``, if any of these has a reference: a copy of it comes first in every lot.
     """
     limit = limits
     found = references(df, lang, text)
@@ -264,7 +266,7 @@ def assess(df: DataFrame, keep: list[str], lang: str = "lang", text: str = "text
     new = ("n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
            "base_failed boolean, class_distance double, word_distance double, kept boolean")
     taken = {part.split()[0] for part in new.split(",")}
-    kept = [name for name in keep if name not in taken]
+    kept = [name for name in keep if name.lower() not in taken]
     ddl = ", ".join([fields(df, *kept), new] if kept else [new])
     schema = arrow_schema(ddl)
 
@@ -297,16 +299,22 @@ def assess(df: DataFrame, keep: list[str], lang: str = "lang", text: str = "text
                     yield out.batch()
         yield out.batch()
 
-    chosen = [F.col(name) for name in kept] + [F.col(lang).cast("string").alias("__lang"), F.col(text).alias("__text")]
-    docs = df.select(*chosen)
+    own_lang, own_text, own_ref, salt = (unused(kept, n) for n in ("language", "said", "reference", "salt"))
+    docs = df.select(*(F.col(f"`{name}`") for name in kept), F.col(lang).cast("string").alias(own_lang),
+                     F.col(text).alias(own_text))
     if found.others is None:
         return map_batches(docs, ddl, run)
-    here = F.col("__lang").isNull() | F.col("__lang").isin(list(found.large))
-    own = F.struct("words", "counts")
+    here = F.col(own_lang).isNull() | F.col(own_lang).isin(list(found.large))
+    # a language is dealt out in lots of so many words, each with a copy of the reference
+    lots = F.ceil(F.col("words") / LOT_WORDS).cast("int")
     refs = found.others.select(
-        *(F.lit(None).cast(df.schema[name].dataType).alias(name) for name in kept), F.col("lang").alias("__lang"),
-        F.lit(None).cast("string").alias("__text"), own.alias("__own"))
-    none = F.lit(None).cast(refs.schema["__own"].dataType).alias("__own")
-    beside = docs.where(~here).select("*", none).unionByName(refs).repartition("__lang").sortWithinPartitions(
-        "__lang", F.col("__own").isNull())
+        *(F.lit(None).cast(docs.schema[at].dataType).alias(name) for at, name in enumerate(kept)), F.col("lang").alias(own_lang),
+        F.lit(None).cast("string").alias(own_text), F.struct("words", "counts").alias(own_ref),
+        F.explode(F.sequence(F.lit(0), lots - 1)).alias(salt))
+    none = F.lit(None).cast(refs.schema[own_ref].dataType).alias(own_ref)
+    several = found.others.where(lots > 1).select(F.col("lang").alias("-lang"), lots.alias("-lots"))
+    salted = docs.where(~here).join(several, F.col(own_lang) == F.col("`-lang`"), "left").select(
+        *docs.columns, none, F.pmod(F.xxhash64(own_text), F.coalesce("`-lots`", F.lit(1))).cast("int").alias(salt))
+    beside = salted.unionByName(refs).repartition(own_lang, salt).sortWithinPartitions(
+        own_lang, salt, F.col(own_ref).isNull()).drop(salt)
     return map_batches(docs.where(here), ddl, run).unionByName(map_batches(beside, ddl, run))

@@ -78,8 +78,9 @@ def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Place of every piece of every document in sequences of 2048 tokens."""
-    packed = packing.pack(table(spark, folder, "documents"), public_tokenizers.path(WORD_BPE))
-    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+    packed = packing.pack(table(spark, folder, "documents"), public_tokenizers.path(WORD_BPE),
+                          carry={"ids_crc32": F.crc32("ids")})
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 #: The conversation that the query adds: texts that hold the template's own control strings.

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
+from .arrow import unused
 
 IDENTIFIER, SECRET, ENDPOINT = "identifier", "secret", "endpoint"
 
@@ -148,17 +149,18 @@ def scan(df: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
     spans; an empty table stays empty. The linked spans are written to the shared folder first, so that their size
     decides how they are joined; a text that many rows share is split by adaptive execution.
     """
-    linked = stored(link(df, text).withColumnRenamed("text_key", "__key"), "linked")
+    own_key, own_base, other_key, other = (unused(df.columns, n) for n in ("text_key", "base", "linked_key", "linked"))
+    linked = stored(link(df, text), "linked").toDF(other_key, other)
     plain = F.coalesce(F.col(text), F.lit(""))
-    based = df.withColumns({"__key": F.sha2(plain, 256), "__base": F.concat(*(spans_of(plain, k) for k in STRONG))})
+    based = df.withColumns({own_key: F.sha2(plain, 256), own_base: F.concat(*(spans_of(plain, k) for k in STRONG))})
     names = F.array(*(F.lit(k.name) for k in KINDS))
-    every = F.array_sort(F.concat("__base", F.coalesce("linked", F.array().cast(_SPANS))), lambda a, b: F.when(
+    every = F.array_sort(F.concat(own_base, F.coalesce(other, F.array().cast(_SPANS))), lambda a, b: F.when(
         (a["start"] < b["start"]) | ((a["start"] == b["start"]) & (a["place"] < b["place"])), -1).when(
         (a["start"] == b["start"]) & (a["place"] == b["place"]), 0).otherwise(1))
     named = F.transform(every, lambda s: F.struct(
         s["start"], s["stop"], F.element_at(names, s["place"] + 1).alias("kind")))
-    kept = [c for c in df.columns if c != spans]
-    return based.join(linked, "__key", "left").select(*kept, named.alias(spans))
+    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() != spans.lower()]
+    return based.join(linked, F.col(own_key) == F.col(other_key), "left").select(*kept, named.alias(spans))
 
 
 def redact(df: DataFrame, text: str = "text", spans: str = "spans", mask: str = MASK) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from ..session import ship_package, stored
-from .arrow import Sender, arrow_schema, fields, map_batches
+from .arrow import Sender, arrow_schema, fields, given_name, map_batches, unused
 
 WORDS, DISTANCE, SEED = 4, 4, 42
 BITS, BANDS = 64, 3
@@ -66,7 +66,7 @@ def fingerprints(df: DataFrame, keep: list[str], text: str = "text", words: int
 
     A null text has no words; a kept column called fp is replaced.
     """
-    kept = [name for name in keep if name != "fp"]
+    kept = [name for name in keep if name.lower() != "fp"]
     ddl = ", ".join([fields(df, *kept), "fp bigint"] if kept else ["fp bigint"])
     schema = arrow_schema(ddl)
 
@@ -81,7 +81,7 @@ def fingerprints(df: DataFrame, keep: list[str], text: str = "text", words: int
                     yield out.batch()
         yield out.batch()
 
-    return map_batches(df.select(*kept, F.col(text).alias("__text")), ddl, run)
+    return map_batches(df.select(*kept, F.col(text).alias(unused(kept, "text"))), ddl, run)
 
 
 def bands(count: int) -> list[np.uint64]:
@@ -332,12 +332,14 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     Fingerprints of shingles of ``words`` words link at ``distance`` or fewer differing bits. Texts without words,
     null ones too, have fingerprint 0, which links like any other. Null keys are never smallest; a component of null
     keys only has a null id. Repeated rows are rows of their own with the same answer. Equal fingerprints are
-    compared once. Other columns are left out; an empty table gives no rows.
+    compared once. Other columns are left out; an empty table gives no rows. A key named like a new column is called
+    ``<name>_given``.
     """
     if not 0 <= distance < BITS:
         raise ValueError("the distance must be from 0 to 63 bits")
-    fps = stored(fingerprints(df, [key], text, words), "fingerprints")
-    nodes = stored(fps.groupBy("fp").agg(F.min(key).alias("least")), "nodes")
+    named = df.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    fps = stored(fingerprints(named, ["id"], "text", words), "fingerprints")
+    nodes = stored(fps.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
     roots = stored(components(links(nodes, distance)), "roots")
     linked = roots.join(nodes, roots["node"] == nodes["fp"]).select("fp", "root", "least")
     ids = stored(linked.groupBy("root").agg(F.min("least").alias("component_id")), "ids")
@@ -346,4 +348,5 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     classes = stored(nodes.join(of_linked, nodes["fp"] == of_linked["node"], "left").select(
         "fp", F.when(is_linked, F.col("component_id")).otherwise(F.col("least")).alias("component_id"),
         F.coalesce("root", "fp").alias("class_fp")), "classes")
-    return fps.join(classes, "fp").select(key, "fp", "component_id", "class_fp")
+    called = given_name(key, ("fp", "component_id", "class_fp"))
+    return fps.join(classes, "fp").select(F.col("id").alias(called), "fp", "component_id", "class_fp")

@@ -67,6 +67,12 @@ def test_rows(spark):
     found = ann.search(df, df.where("vec_id % 100 = 0")).collect()
     got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in found)
     assert got == [(0, 1, 1), (0, 2, 2), (0, 3, 100), (100, 1, 1), (100, 2, 2), (100, 3, 0)]
+    # an id on several vectors is as near as the nearest of them, also as a query
+    several = spark.createDataFrame([(1, [5.0, 0.0]), (1, [0.0, 5.0]), (2, [5.0, 1.0]), (3, [0.0, 7.0]), (3, [9.0, 9.0]), (4, [3.0, 3.0])] + [(3, [0.0, 7.0])] * 40,
+                                    "vec_id long, embedding array<double>")
+    rows = ann.search(several, several.where("vec_id = 1")).collect()
+    assert [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in sorted(rows, key=lambda r: r["rank"])] == [
+        (1, 1, 2, 1.0), (1, 2, 3, 2.0), (1, 3, 4, 13 ** .5)]
     assert ann.search(df.limit(0), df).count() == 0
     one = df.where("vec_id = 1")
     assert ann.search(one, one).count() == 0
