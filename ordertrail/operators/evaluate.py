@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .onerow import with_totals
 from .ordered import running_totals
 
 
@@ -16,8 +15,7 @@ def _ranked_scores(df: DataFrame, score: str, label: str) -> DataFrame:
         .groupBy(F.col(score).alias("score"))
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
     )
-    ranked = running_totals(counted, ["score"], ["pos", "neg"])
-    return with_totals(ranked, F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
+    return running_totals(counted, ["score"], ["pos", "neg"])
 
 
 def roc_auc(df: DataFrame, score: str = "churn_probability", label: str = "churned") -> DataFrame:

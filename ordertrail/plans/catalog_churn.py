@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import churn, extensions
 from ..operators.segments import assign_segments
+from ..session import stored
 from .catalog_customers import _fixed
 from .oracle_tables import r
 from .registry import query, rounded
@@ -26,12 +27,15 @@ def split(t: Tables):
     return churn.time_split(features(t), SPLIT_DATE)
 
 
-def scored(t: Tables):
+def with_fixed_score(customers):
     """A fixed score per customer, so that evaluation can be checked without a model."""
     score = (F.col("customer_unique_id") * 7919 % 1000).cast("double") / 1000
-    return churn.churn_label(base(t)).select(
-        "customer_unique_id", "churned", score.alias("churn_probability"),
-        (score >= 0.5).cast("int").alias("churn_prediction"))
+    return customers.withColumns({"churn_probability": score, "churn_prediction": (score >= 0.5).cast("int")})
+
+
+def scored(t: Tables):
+    return with_fixed_score(churn.churn_label(base(t))).select(
+        "customer_unique_id", "churned", "churn_probability", "churn_prediction")
 
 
 _SPLIT_SQL = f"""
@@ -144,9 +148,10 @@ def _(t: Tables):
     JOIN (SELECT customer_unique_id, total_revenue FROM customer_profile) USING (customer_unique_id), d
     GROUP BY segment""")
 def _(t: Tables):
-    revenue = churn.customer_profile(base(t)).select("customer_unique_id", "total_revenue")
-    risk = extensions.revenue_at_risk(scored(t).join(revenue, "customer_unique_id"),
-                                      assign_segments(_fixed(t)), extensions.observed_days(t.fact))
+    # customers, segments and days all come from the fact, so it is written; label and revenue come from one aggregation
+    fact = stored(t.fact, "fact")
+    profile = churn.customer_profile(churn.churn_base(fact, t.stored_customers, t.stored_products, t.dim_payments))
+    risk = extensions.revenue_at_risk(with_fixed_score(profile), assign_segments(_fixed(t, fact)), extensions.observed_days(fact))
     return rounded(risk, 4)
 
 

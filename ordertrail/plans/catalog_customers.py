@@ -22,8 +22,9 @@ def _rfm(t: Tables):
     return rfm_ops.rfm(t.fact, t.dim_customers)
 
 
-def _fixed(t: Tables):
-    return _rfm(t).withColumn("cluster", (F.col("customer_unique_id") % 4).cast("int"))
+def _fixed(t: Tables, fact=None):
+    """Customers with a fixed cluster, from the fact or a written copy of it."""
+    return rfm_ops.rfm(fact or t.fact, t.dim_customers).withColumn("cluster", (F.col("customer_unique_id") % 4).cast("int"))
 
 
 def _standard(t: Tables):

@@ -1,11 +1,14 @@
 """One key holds a third of all rows, and NULL keys are frequent: results stay whole."""
 
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
 from conftest import rows
 
 from ordertrail.operators import evaluate, quality, reports, rfm, star
+from ordertrail.operators import ordered
 from ordertrail.operators.ordered import exact_quantiles, running_totals
 
 N = 6000
@@ -96,6 +99,32 @@ def test_quantiles(spark):
                      for c in ("a", "b") for p in probabilities}
 
 
+@pytest.mark.parametrize("numbers", [
+    [1.0], [2.0, 2.0, 2.0], [float("-inf"), 1.0, 2.0, float("inf")], [1.0, float("nan"), float("inf")], [5e-324, 0.0, 1.0, -5e-324],
+    [1.7e308, -1.7e308, 0.0, 1e-300, 1e-290, 1.0], [10.0 ** i for i in range(-40, 40)], [], [None, 3.0, 4.0]])
+def test_quantiles_of_odd_numbers(spark, numbers):
+    df = spark.createDataFrame([(v,) for v in numbers], "v double").repartition(3)
+    found = {r["probability"]: r["value"] for r in exact_quantiles(df, ["v"], [0.0, 0.25, 0.5, 1.0]).collect()}
+    known = sorted((v for v in numbers if v is not None), key=lambda v: (v != v, v))
+    expected = {}
+    for p in (0.0, 0.25, 0.5, 1.0) if known else ():
+        at = p * (len(known) - 1)
+        a, b = known[math.floor(at)], known[math.ceil(at)]
+        expected[p] = a if a == b else a + (b - a) * (at - math.floor(at))
+    assert found == pytest.approx(expected, nan_ok=True)
+
+
+def test_quantiles_take_few_scans_and_sort_nothing(spark, monkeypatch):
+    scans, real = [], ordered._narrow
+    monkeypatch.setattr(ordered, "_narrow", lambda values, seeking: scans.append(values) or real(values, seeking))
+    df = spark.range(100_000).selectExpr("exp(id % 9973 / 700D) AS a", "CAST(id AS DOUBLE) AS b")
+    found = {(r["metric"], r["probability"]): r["value"] for r in exact_quantiles(df, ["a", "b"], [0.25, 0.5, 0.9]).collect()}
+    pdf = df.toPandas()
+    assert found == {(c, p): pytest.approx(np.quantile(pdf[c], p)) for c in ("a", "b") for p in (0.25, 0.5, 0.9)}
+    assert 0 < len(scans) <= 4
+    assert "FileScan" in scans[0]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_auc_with_a_third_of_all_scores_equal(spark):
     df = spark.range(3000).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 0.5D ELSE (id * 7919 % 1000) / 1000D END AS churn_probability",
