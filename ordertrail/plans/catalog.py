@@ -1,6 +1,7 @@
 """All registered queries, by area."""
 
 from . import (  # noqa: F401
+    catalog_actives,
     catalog_aggregates,
     catalog_churn,
     catalog_customers,
