@@ -19,6 +19,7 @@ from ..sources import (
     load_star,
     read_csv,
     read_parquet,
+    read_split_csv,
     read_sql,
     write_csv,
     write_table,
@@ -52,6 +53,17 @@ def _(t: Tables):
     return orders.withColumns({c: parse_ts(c) for c in LIFECYCLE_TIMESTAMPS})
 
 
+@query("src_csv_split", """
+    SELECT order_id, coalesce(order_status, 'none') || chr(10) || '"' || customer_id || '",' AS review, customer_id FROM raw_orders""")
+def _(t: Tables):
+    """Text with line breaks and quotes, written and read back by splits."""
+    path = scratch_path(t.spark, "split-csv")
+    said = F.concat(F.coalesce("order_status", F.lit("none")), F.lit('\n"'), F.col("customer_id"), F.lit('",'))
+    written = t.orders.select("order_id", said.alias("review"), "customer_id")
+    write_csv(written, path)
+    return read_split_csv(t.spark, path, written.schema)
+
+
 # number of rows and, per column, of values and of different values, and the sum of the money
 _CONTENTS = {name: re.findall(r"(\w+) (?:string|int|decimal)", ddl) for name, ddl in RAW.items()}
 _SUMS = {"order_items": "price", "payments": "payment_value", "products": "product_length_cm", "reviews": "review_score"}

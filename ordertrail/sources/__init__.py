@@ -8,6 +8,7 @@ from .readers import (  # noqa: F401
     read_sql,
     unparsed_counts,
 )
+from .split_csv import read_split_csv  # noqa: F401
 from .writers import (  # noqa: F401
     Star,
     append_new,

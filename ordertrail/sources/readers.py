@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schemas import FREE_TEXT, RAW, raw_schema
+from .split_csv import read_split_csv
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, corrupt: str | None = None,
@@ -21,8 +22,8 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, corrupt: str |
     ``mixed_headers`` the header of each file is read ahead instead, and files are read by the order they have;
     that is one short job per file. Columns outside the schema are not parsed. Lines that do not fit keep NULL in
     the fields that failed; with ``corrupt`` (the name of an additional column) the whole line is kept there.
-    ``multi_line`` allows line breaks inside quoted text; such a file cannot be split, so large data should come in
-    many files.
+    ``multi_line`` allows line breaks inside quoted text; such a file is read by one task, ``read_split_csv`` reads it by
+    several.
     """
     # quotes inside quoted text are doubled
     options = {"header": "true", "escape": '"', "multiLine": str(multi_line).lower()}
@@ -58,15 +59,18 @@ def load_raw(spark: SparkSession, folder: str, files: Mapping[str, str] | None =
     """All raw tables by name; ``files`` maps a table to its file name (``<table>.csv`` if absent).
 
     With ``corrupt`` every table gets that column with the lines that do not fit their types; ``quarantine_raw``
-    sets them aside. ``multi_line`` names the tables whose text may hold line breaks: their files are read by one
-    task each, so leave it empty where the texts have none.
+    sets them aside. ``multi_line`` names the tables whose text may hold line breaks: their files are read in splits by
+    ``read_split_csv``, or with ``mixed_headers`` by one task each.
     """
     files = files or {}
-    return {
-        name: read_csv(spark, f"{folder}/{files.get(name, name + '.csv')}", raw_schema(name), corrupt,
-                       multi_line=name in multi_line, mixed_headers=mixed_headers)
-        for name in RAW
-    }
+
+    def read(name: str) -> DataFrame:
+        path = f"{folder}/{files.get(name, name + '.csv')}"
+        if name in multi_line and not mixed_headers:
+            return read_split_csv(spark, path, raw_schema(name), corrupt)
+        return read_csv(spark, path, raw_schema(name), corrupt, multi_line=name in multi_line, mixed_headers=mixed_headers)
+
+    return {name: read(name) for name in RAW}
 
 
 def quarantine_raw(raw: Mapping[str, DataFrame], corrupt: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
