@@ -270,18 +270,26 @@ def assess(df: DataFrame, keep: list[str], lang: str = "lang", text: str = "text
     ddl = ", ".join([fields(df, *kept), new] if kept else [new])
     schema = arrow_schema(ddl)
 
+    own_lang, own_text, own_ref, salt = (unused(kept, n) for n in ("language", "said", "reference", "salt"))
+    # a text that is kept is not sent twice
+    text_kept = text in kept
+    lang_at, text_at = len(kept), kept.index(text) if text_kept else len(kept) + 1
+    width = len(kept) + 2 - text_kept
+    if text_kept:
+        own_text = text
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, (refs, pool) = Sender(schema), shared.value
         current: dict[str, Reference] = {}
         for batch in batches:
-            *rows, languages, texts = [batch.column(i).to_pylist() for i in range(len(kept) + 2)]
-            given = batch.column(len(kept) + 2) if batch.num_columns > len(kept) + 2 else None
-            for at, (language, said) in enumerate(zip(languages, texts)):
+            # texts become strings one by one: a batch of them all would be held several times
+            columns, given = batch.columns[:len(kept)], batch.column(width) if batch.num_columns > width else None
+            for at, (language, text_of) in enumerate(zip(batch.column(lang_at).to_pylist(), batch.column(text_at))):
                 if given is not None and given[at].is_valid:
                     own = given[at].as_py()
                     current = {language: _reference(own["words"], [tuple(c.values()) for c in own["counts"]])}
                     continue
-                said = said or ""
+                said = text_of.as_py() or ""
                 spelled = said.encode()
                 words = spelled.split()
                 counts = base_counts(said, spelled, words)
@@ -293,15 +301,15 @@ def assess(df: DataFrame, keep: list[str], lang: str = "lang", text: str = "text
                 else:
                     far, most = pool_divergences(pool, said, lowered, limit), limit.kind_distance
                 good = not (failed or far[0] > limit.class_distance or far[1] > most)
-                size = 96 + sum(len(row[at]) for row in rows if isinstance(row[at], (str, bytes)))
-                if out.add(*(row[at] for row in rows), *counts, failed, *(None if x != x else x for x in far), good,
+                own_row = [column[at].as_py() for column in columns]
+                size = 96 + sum(len(value) for value in own_row if isinstance(value, (str, bytes)))
+                if out.add(*own_row, *counts, failed, *(None if x != x else x for x in far), good,
                            size=size):
                     yield out.batch()
         yield out.batch()
 
-    own_lang, own_text, own_ref, salt = (unused(kept, n) for n in ("language", "said", "reference", "salt"))
-    docs = df.select(*(F.col(f"`{name}`") for name in kept), F.col(lang).cast("string").alias(own_lang),
-                     F.col(text).alias(own_text))
+    docs = df.select(*(F.col(f"`{name}`") for name in kept), F.col(lang).cast("string").alias(own_lang), *(
+        [] if text_kept else [F.col(text).alias(own_text)]))
     if found.others is None:
         return map_batches(docs, ddl, run)
     here = F.col(own_lang).isNull() | F.col(own_lang).isin(list(found.large))
@@ -309,12 +317,12 @@ def assess(df: DataFrame, keep: list[str], lang: str = "lang", text: str = "text
     lots = F.ceil(F.col("words") / LOT_WORDS).cast("int")
     refs = found.others.select(
         *(F.lit(None).cast(docs.schema[at].dataType).alias(name) for at, name in enumerate(kept)), F.col("lang").alias(own_lang),
-        F.lit(None).cast("string").alias(own_text), F.struct("words", "counts").alias(own_ref),
+        *([] if text_kept else [F.lit(None).cast("string").alias(own_text)]), F.struct("words", "counts").alias(own_ref),
         F.explode(F.sequence(F.lit(0), lots - 1)).alias(salt))
     none = F.lit(None).cast(refs.schema[own_ref].dataType).alias(own_ref)
     several = found.others.where(lots > 1).select(F.col("lang").alias("-lang"), lots.alias("-lots"))
     salted = docs.where(~here).join(several, F.col(own_lang) == F.col("`-lang`"), "left").select(
-        *docs.columns, none, F.pmod(F.xxhash64(own_text), F.coalesce("`-lots`", F.lit(1))).cast("int").alias(salt))
+        *docs.columns, none, F.pmod(F.xxhash64(F.col(f"`{own_text}`")), F.coalesce("`-lots`", F.lit(1))).cast("int").alias(salt))
     beside = salted.unionByName(refs).repartition(own_lang, salt).sortWithinPartitions(
         own_lang, salt, F.col(own_ref).isNull()).drop(salt)
     return map_batches(docs.where(here), ddl, run).unionByName(map_batches(beside, ddl, run))

@@ -73,11 +73,12 @@ def fingerprints(df: DataFrame, keep: list[str], text: str = "text", words: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Sender(schema)
         for batch in batches:
-            *columns, texts = [column.to_pylist() for column in batch.columns]
+            *columns, texts = batch.columns
             for row in zip(texts, *columns):
-                fp = fingerprint(row[0] or "", words)
-                size = 64 + sum(len(v) for v in row[1:] if isinstance(v, (str, bytes)))
-                if out.add(*row[1:], fp - (1 << BITS) if fp >> BITS - 1 else fp, size=size):
+                fp = fingerprint(row[0].as_py() or "", words)
+                own = [value.as_py() for value in row[1:]]
+                size = 64 + sum(len(v) for v in own if isinstance(v, (str, bytes)))
+                if out.add(*own, fp - (1 << BITS) if fp >> BITS - 1 else fp, size=size):
                     yield out.batch()
         yield out.batch()
 
