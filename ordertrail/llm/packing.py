@@ -230,10 +230,10 @@ def pack(df: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, key: s
     # one row per task: how many pieces of each length the tasks before hold
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     before = by_task.select("task", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"))
-    by_length = F.map_from_entries(F.collect_list(F.struct("length", "first")))
-    firsts = stored(before.groupBy("task").agg(by_length.alias("known")).select("task", F.transform(
-        F.sequence(F.lit(1), F.lit(capacity)), lambda n: F.coalesce(F.try_element_at("known", n), F.lit(0).cast("bigint"))).alias(
-        "first")), "firsts")
+    by_length = F.array_sort(F.collect_list(F.struct("length", "first")))
+    firsts = stored(before.groupBy("task").agg(by_length.alias("known")).select(
+        "task", F.transform("known", lambda k: k["length"]).alias("lengths"),
+        F.transform("known", lambda k: k["first"]).alias("first")), "firsts")
     ship_package(spark)
     places = spark.sparkContext.broadcast(Places(patterns(counts, capacity)))
 
@@ -254,6 +254,6 @@ def pack(df: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, key: s
     narrow = written.select(called, "piece", "start", "length", "task", "number", *(
         c.alias(unused([called, *PIECE], f"carried-{i}")) for i, c in enumerate(carried.values())))
     placed = narrow.join(firsts, "task").select(
-        *narrow.columns, place("length", F.col("number") + F.element_at("first", F.col("length"))).alias("place"))
+        *narrow.columns, place("length", F.col("number") + F.element_at("first", F.array_position("lengths", F.col("length")).cast("int"))).alias("place"))
     return placed.select(called, "piece", "start", F.col("length").cast("bigint").alias("length"), *(
         F.col(f"`{column}`").alias(name) for column, name in zip(narrow.columns[6:], carried)), "place.sequence_id", "place.offset")
