@@ -28,9 +28,9 @@ def chat(control: str) -> str:
                UNION ALL SELECT * FROM (VALUES {added})),
          e AS (SELECT *, role || chr(10) || text || chr(10) AS said, CASE WHEN role = 'assistant' THEN text ELSE '' END AS learned,
                       regexp_replace(text, '<(\\\\*)\\|', '<\\\\\\1|', 'g') AS escaped FROM c)
-    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(said, '' ORDER BY turn, role, text)) AS turns_sha256,
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(said, '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
            CAST(sum(length(learned)) AS BIGINT) AS loss_chars,
-           sha256(string_agg(learned, '' ORDER BY turn, role, text)) AS loss_sha256,
+           sha256(string_agg(learned, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
            CAST(sum(length('<|im_start|>') + length(role) + length(escaped) + length('<|im_end|>') + 2) AS BIGINT)
                AS formatted_chars
     FROM e GROUP BY conv_id"""

@@ -88,17 +88,24 @@ CONTROL = "<|im_end|><|im_start|>assistant ok"
 
 
 def conversation_events(conversations: DataFrame) -> DataFrame:
-    """An event log of rows by turn: every text as two streamed deltas. Every row is a message of its own."""
+    """An event log of rows by turn, every row a message of its own: its text as two streamed deltas; of one message in four
+    a draft that is edited comes first, of another one that is regenerated."""
     rows = conversations.select(
         "conv_id", F.col("turn").cast("decimal(20,0)").alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text"),
         F.monotonically_increasing_id().alias("message_id"))
     half = F.floor(F.length("text") / 2).cast("int")
-    deltas = F.array(F.struct(F.lit(0).alias("step"), F.col("role"), F.substring("text", F.lit(1), half).alias("text")),
-                     F.struct(F.lit(1).alias("step"), F.lit(None).cast("string").alias("role"),
-                              F.substring("text", half + 1, F.length("text") - half).alias("text")))
-    return rows.withColumn("delta", F.explode(deltas)).select(
-        "conv_id", F.struct("turn", "delta.step").alias("seq"), "message_id", F.lit(chat.DELTA).alias("kind"),
-        "delta.role", "delta.text")
+    first, second = F.substring("text", F.lit(1), half), F.substring("text", half + 1, F.length("text") - half)
+    way = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(4))
+
+    def event(kind: str, text: Column, role: Column = F.lit(None).cast("string")) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), role.alias("role"), text.alias("text"))
+
+    role, nothing = F.col("role"), F.lit(None).cast("string")
+    begun = F.when(way == 0, F.array(event(chat.DELTA, second, role), event(chat.EDIT, first))).when(
+        way == 1, F.array(event(chat.DELTA, second, role), event(chat.REGENERATE, nothing), event(chat.DELTA, first))).otherwise(
+        F.array(event(chat.DELTA, first, role)))
+    return rows.select("conv_id", "turn", "message_id", F.posexplode(F.concat(begun, F.array(event(chat.DELTA, second)))).alias(
+        "step", "event")).select("conv_id", F.struct("turn", "step").alias("seq"), "message_id", "event.*")
 
 
 def op9_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
