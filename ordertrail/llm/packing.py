@@ -25,7 +25,7 @@ from tokenizers import Tokenizer
 
 from ..session import ship_package, stored
 from .arrow import Sender, arrow_schema, fields, given_name, map_batches, unused
-from .bpe import BYTES, byte_alphabet, parts
+from .bpe import AT_ONCE, BYTES, byte_alphabet, parts
 
 #: Words remembered per Python worker, and the longest one that is worth it; limits memory, not results.
 REMEMBERED, WORTH = 150_000, 48
@@ -56,7 +56,11 @@ class WordIds(dict):
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.before.get(word)
-        if ids is None:
+        if ids is None and word.isalpha() and word.islower():  # ASCII letters, of which the alphabet changes none
+            ids = array("I", [token.id for token in self.model.tokenize(word.decode("ascii"))]).tobytes()
+        elif ids is None and word[-1] in MARKS and word[:-1].isalpha():
+            ids = self[word[:-1]] + self[word[-1:]]
+        elif ids is None:
             text = word.decode()
             # normalising can turn a letter into one and a combining character, which joins the mark after it
             if word[-1] in MARKS and (PLAIN.fullmatch(text, 0, len(text) - 1) or self._letters(text[:-1])):
@@ -80,6 +84,8 @@ class WordIds(dict):
         """Token ids as little-endian unsigned 32-bit integers."""
         spelled = text.encode()
         lowered = spelled.lower()
+        if len(lowered) <= AT_ONCE and b"<|" not in lowered:
+            return b"".join(map(self.__getitem__, lowered.split()))
         # a special token is written in lower case; upper case does not make one
         said = text if b"<|" in lowered else lowered.decode()
         return b"".join([b"".join(map(self.__getitem__, part.encode().split())) for part in parts(said)])
