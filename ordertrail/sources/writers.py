@@ -140,12 +140,12 @@ def _version(spark: SparkSession, folder: str) -> Iterator[str]:
 
 
 def _publish(spark: SparkSession, folder: str, version: str) -> None:
-    """Create the next pointer. Of two loads that end at once one finds its number taken and takes the one after."""
-    while True:
-        names = _names(spark, f"{folder}/{POINTERS}")
-        number = int(max(names).split("-")[0]) + 1 if names else 1
-        if _claim(spark, f"{folder}/{POINTERS}/{number:012d}-{version}"):
-            return
+    """Create the next pointer. Two loads that end at once may take the same number; then the larger name counts, for all
+    readers alike."""
+    names = _names(spark, f"{folder}/{POINTERS}")
+    number = int(max(names).split("-")[0]) + 1 if names else 1
+    if not _claim(spark, f"{folder}/{POINTERS}/{number:012d}-{version}"):
+        raise OSError(f"{folder}: cannot publish {version}")
 
 
 def _claim(spark: SparkSession, path: str) -> bool:
