@@ -77,6 +77,11 @@ class WordIds(dict):
             self[word] = ids
         return ids
 
+    def forget(self) -> None:
+        """Let go of all words: a worker lives on after its task, and so would they."""
+        self.clear()
+        self.before = {}
+
     def _letters(self, text: str) -> bool:
         return text.isalpha() and self.tokenizer.normalizer.normalize_str(text).isalpha()
 
@@ -123,6 +128,7 @@ def pieces(df: DataFrame, path: str, capacity: int, end_id: int, key: str = "doc
                         yield out.batch()
                     seen[length] += 1
         yield out.batch()
+        known.forget()
 
     return map_batches(named, ddl, run)
 
