@@ -1,13 +1,13 @@
 """Second-order boosted trees for a 0/1 label, fitted by one aggregation per level of a tree.
 
 Values are binned once by a quantile sketch; a missing value has a bin of its own and every split learns the side it goes
-to. A level of a tree needs the sums of gradients and hessians by node, feature and bin. Their number is given by the parameters
-(nodes x features x bins) whatever the number of rows, so that the best splits are found from them on the driver. The sums
+to. A level of a tree needs the sums of gradients and hessians by node, feature and bin. The sums
 are of fixed-point numbers, so they, and with them the trees, do not depend on the order or the partitioning of the rows.
 
 ``histograms`` is this aggregation as a DataFrame. A fit needs it some 1,500 times, one after the other, and there planning
 a query takes several times as long as its work on small tables; so ``fit`` keeps the binned rows in memory as blocks of
-arrays and adds up arrays of the same sums with ``treeReduce``.
+arrays, adds up arrays of the same sums by node with ``reduceByKey`` and finds the best split of a node where its sums are.
+Only these splits, a few numbers per node, reach the driver, whatever the number of rows and tasks.
 """
 
 from __future__ import annotations
@@ -23,15 +23,18 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship_package, stored
+from ..session import ship_package, spread, stored
 
 #: One in fixed point: nine places, and room for some 8e9 rows of weight 1 in a sum.
 ONE = 1 << 30
 MISSING = -1
-#: Margins are kept next to the rows after so many trees; of later trees they are computed when needed.
+#: Every tree adds to the margins kept next to the rows; after so many they are made again from the binned rows, so that
+#: what a lost task needs is a short chain.
 KEPT_EVERY = 25
-#: Rows in a block and in a task.
-BLOCK_ROWS, TASK_ROWS = 50_000, 500_000
+#: Rows in a block, rows in a task at most, and those that are worth a task of their own while cores are idle.
+BLOCK_ROWS, TASK_ROWS, LEAST_ROWS = 50_000, 500_000, 10_000
+#: Nodes whose sums a task adds up.
+NODES = 4
 
 
 @dataclass
@@ -246,13 +249,25 @@ class Block:
             node = np.where(feature < 0, node, 2 * node + 2 - left)
         return node
 
+    def grown(self, trees: Sequence[Tree], levels: int, missing: int) -> "Block":
+        """The same rows with what the trees add to their margins."""
+        margin = self.margin.copy()
+        for tree in trees:
+            margin += tree.value[self.after(tree, levels, missing)]
+        return Block(self.y, self.bins, margin)
+
+
+def _tasks(rows: int, cores: int) -> int:
+    """Tasks for so many rows: all cores if there is enough to do, and more where tasks would get too large."""
+    return max(1, -(-rows // TASK_ROWS), min(cores, -(-rows // LEAST_ROWS)))
+
 
 def fit(train: DataFrame, columns: Sequence[str], label: str, rounds: int = 300, depth: int = 5, rate: float = 0.05,
         positive_weight: float = 1.0, penalty: Penalty = Penalty(), max_bins: int = 256) -> BoostedTrees:
     """Fit ``rounds`` trees of at most ``depth`` levels; positive rows weigh ``positive_weight``.
 
     Rows without a label are left out. The rows are binned once and written; what is kept in memory besides can be made
-    again from that and the trees. Every level of a tree is one pass over the rows, whose sums are added up task by task.
+    again from that and the trees. Every level of a tree is one pass over the rows, whose sums are added up node by node.
     """
     if rounds < 0 or depth < 1 or not 2 <= max_bins < 1 << 15:
         raise ValueError("rounds, depth or max_bins out of range")
@@ -261,56 +276,74 @@ def fit(train: DataFrame, columns: Sequence[str], label: str, rounds: int = 300,
     given = train.where(F.col(label).isNotNull())
     cuts = cut_points(given, names, max_bins)
     packed = stored(_pack(binned(given, names, cuts).select(F.col(label).alias("y"), "bins")), "binned")
-    tasks = -(-(packed.agg(F.sum("n")).first()[0] or 0) // TASK_ROWS)
-    blocks = packed.coalesce(max(1, tasks)).rdd
+    tasks = _tasks(packed.agg(F.sum("n")).first()[0] or 0, spark.sparkContext.defaultParallelism)
     missing, features = _widest(cuts), len(names)
     model = BoostedTrees(names)
 
-    def state(trees: list[Tree]):
-        def ready(row) -> Block:
-            bins = np.frombuffer(row["bins"], np.uint16).reshape(row["n"], features).astype(np.int32)
-            block = Block(np.frombuffer(row["y"], np.uint8), np.minimum(bins, missing), np.zeros(row["n"]))
-            for tree in trees:
-                block.margin += tree.value[block.after(tree, depth, missing)]
-            return block
-
-        return blocks.map(ready).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def level_sums(rows, since: list[Tree], tree: Tree, level: int) -> np.ndarray:
-        first, shape = 2 ** level - 1, (2, 2 ** level, features, missing + 1)
-
-        def add(given: Iterator[Block]) -> Iterator[np.ndarray]:
-            total = np.zeros(shape, np.int64)
+    def ready(rows: Iterator) -> Iterator[Block]:
+        def block(found: list) -> Block:
+            bins = np.frombuffer(b"".join(r["bins"] for r in found), np.uint16).reshape(-1, features)
+            y = np.frombuffer(b"".join(r["y"] for r in found), np.uint8)
+            return Block(y, np.minimum(bins, np.uint16(missing)), np.zeros(len(y)))
+
+        # what Arrow brings in small batches is put together again
+        found, n = [], 0
+        for row in rows:
+            if found and n + row["n"] > BLOCK_ROWS:
+                yield block(found)
+                found, n = [], 0
+            found.append(row)
+            n += row["n"]
+        if found:
+            yield block(found)
+
+    def grown(rows, trees: list[Tree]):
+        return rows.map(lambda block: block.grown(trees, depth, missing)).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def level_splits(rows, tree: Tree, level: int) -> dict[int, dict]:
+        first, shape = 2 ** level - 1, (2 ** level, features, missing + 1)
+
+        def add(given: Iterator[Block]) -> Iterator[tuple[int, np.ndarray]]:
+            total = np.zeros((2, *shape), np.int64)
             for block in given:
-                margin = block.margin.copy()
-                for earlier in since:
-                    margin += earlier.value[block.after(earlier, depth, missing)]
-                p = 1 / (1 + np.exp(-margin))
+                p = 1 / (1 + np.exp(-block.margin))
                 weight = np.where(block.y == 1, positive_weight, 1.0) * ONE
                 node = block.after(tree, level, missing) - first
                 active = node >= 0
-                at = np.ravel_multi_index((node[active, None], np.arange(features)[None, :], block.bins[active]), shape[1:])
+                at = np.ravel_multi_index((node[active, None], np.arange(features)[None, :], block.bins[active]), shape)
                 for i, values in enumerate(((p - block.y) * weight, p * (1 - p) * weight)):
                     # whole numbers, so sums of a block are exact in floating point too
                     repeated = np.repeat(np.rint(values[active]), features)
-                    total[i] += np.bincount(at.ravel(), repeated, total[i].size).astype(np.int64).reshape(shape[1:])
-            yield total
+                    total[i] += np.bincount(at.ravel(), repeated, total[i].size).astype(np.int64).reshape(shape)
+            for n in range(shape[0]):
+                if total[1, n, 0].any():
+                    yield n + first, total[:, n]
+
+        def split(found: tuple[int, np.ndarray]) -> tuple[int, dict]:
+            node, sums = found
+            return node, best_splits([node], sums[:, None], cuts, penalty)[node]
 
-        return rows.mapPartitions(add).treeReduce(np.add)
+        # a node of a task is one array, and a few numbers per node come back
+        sums = rows.mapPartitions(add).reduceByKey(np.add, min(tasks, -(-2 ** level // NODES)))
+        return dict(sorted(sums.map(split).collect()))
 
-    rows, kept = state([]), 0
+    blocks = packed.repartition(tasks).rdd.mapPartitions(ready).persist(StorageLevel.MEMORY_AND_DISK)
+    rows, before = blocks, None
     for number in range(rounds):
-        if number - kept == KEPT_EVERY:
-            rows.unpersist()
-            rows, kept = state(model.trees[:]), number
         tree = Tree.empty(depth)
         for level in range(depth):
-            sums = level_sums(rows, model.trees[kept:], tree, level)
-            nodes = [n for n in range(2 ** level) if sums[1, n, 0].any()]
-            if not _grow(tree, best_splits([n + 2 ** level - 1 for n in nodes], sums[:, nodes], cuts, penalty), cuts, rate, penalty):
+            found = level_splits(rows, tree, level)
+            if before is not None:  # the first pass has made the margins from these
+                before.unpersist()
+                before = None
+            if not _grow(tree, found, cuts, rate, penalty):
                 break
         model.trees.append(tree)
-    rows.unpersist()
+        before = None if rows is blocks else rows
+        rows = grown(rows, [tree]) if (number + 1) % KEPT_EVERY else grown(blocks, model.trees[:])
+    for kept in (before, rows, blocks):
+        if kept is not None:
+            kept.unpersist()
     return model
 
 
@@ -341,4 +374,4 @@ def margin(model: BoostedTrees, df: DataFrame, output: str = "margin") -> DataFr
         for batch in batches:
             yield pd.Series(trees.margins(np.column_stack([c.to_numpy(float) for c in batch])))
 
-    return df.withColumn(output, walk(*[_number(c) for c in model.columns]))
+    return spread(df).withColumn(output, walk(*[_number(c) for c in model.columns]))

@@ -1,5 +1,7 @@
 """Boosted trees against trees grown from the raw values, node by node and cut by cut."""
 
+import pickle
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -125,3 +127,27 @@ def test_odd_inputs(spark, table):
     assert boosting.fit(table, COLUMNS, "y", rounds=0).trees == []
     named = table.withColumnsRenamed({"a": "margin", "b": "node", "c": "g.h"})
     assert boosting.margin(boosting.fit(named, ["margin", "node", "g.h"], "y", rounds=1), named, "out").count() == 400
+
+
+def test_only_splits_reach_the_driver(table, monkeypatch):
+    """Sums stay where they are added up: what a level sends does not grow with bins or tasks."""
+    from pyspark.core.rdd import RDD
+
+    monkeypatch.setattr(boosting, "LEAST_ROWS", 50)
+    collect, sent = RDD.collect, []
+
+    def weighed(self):
+        found = collect(self)
+        sent.append(len(pickle.dumps(found)))
+        return found
+
+    monkeypatch.setattr(RDD, "collect", weighed)
+    model = boosting.fit(table.coalesce(1), COLUMNS, "y", rounds=2, depth=4)
+    assert len(model.trees) == 2 and (model.trees[0].feature >= 0).sum() > 4
+    assert len(sent) >= 8 and max(sent) < 500 + 8 * 250  # at most 8 nodes in a level
+
+
+def test_few_rows_use_all_cores(spark, table):
+    assert [boosting._tasks(n, 12) for n in (0, 9_000, 25_000, 210_000, 1_260_000, 60_000_000)] == [1, 1, 3, 12, 12, 120]
+    model = boosting.fit(table, COLUMNS, "y", rounds=1, depth=1)
+    assert boosting.margin(model, table.coalesce(1)).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
