@@ -4,6 +4,9 @@ The trees are small (trees x leaves) and travel to the tasks; the customer rows
 margin depends on the features tested on the way to it: a known feature passes its tests or not, an unknown one passes with
 the share of the rows that did in training. A feature's Shapley value in this game comes from the coefficients of one
 polynomial per leaf, in time that grows with the square of the number of features on the path, not with its power of two.
+
+They depend on nothing but the leaf and which of its tests a row passes. Where a tree has fewer such patterns than a batch
+has rows, the polynomials are worked out once per pattern, and a row looks its own up.
 """
 
 from __future__ import annotations
@@ -17,11 +20,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship_package
+from ..session import ship_package, spread
 from .boosting import BoostedTrees, Tree
 
-#: Rows whose polynomials are in memory at a time.
-ROWS = 2_000
+#: Tests of rows, or polynomials, that are in memory at a time.
+HELD = 500_000
 
 
 @dataclass
@@ -72,17 +75,22 @@ def leaves(tree: Tree) -> Leaves:
     return out
 
 
-def contributions(of: Leaves, x: np.ndarray) -> np.ndarray:
-    """What every tested feature of every leaf adds: (rows, leaves, m).
+def tests_passed(of: Leaves, x: np.ndarray) -> np.ndarray:
+    """Which tests of every leaf the rows pass: (rows, leaves, m)."""
+    values = x[:, of.feature]
+    within = (values >= of.low) & ((values < of.high) | (of.high == np.inf))
+    return np.where(np.isnan(values), of.missing, within)
+
+
+def contributions(of: Leaves, tests: np.ndarray) -> np.ndarray:
+    """What every tested feature of every leaf adds, by the tests that are passed: both (rows, leaves, m).
 
     With o = 1 for a passed test and z its share, the coefficient k of the product of all z + o t is the sum over all sets
     of k known features of what is left of the leaf's value. Dividing by a feature's own factor leaves the sums over sets
     without it, and these are weighted by how many orders of the features put such a set before it.
     """
     m = of.feature.shape[1]
-    values = x[:, of.feature]
-    within = (values >= of.low) & ((values < of.high) | (of.high == np.inf))
-    passed = np.where(np.isnan(values), of.missing, within).astype(float)
+    passed = tests.astype(float)
     # an entry that only fills up has the factor 1
     passed[:, np.arange(m)[None, :] >= of.used[:, None]] = 0.0
     product = np.zeros((*passed.shape[:2], m + 1))
@@ -109,11 +117,36 @@ def contributions(of: Leaves, x: np.ndarray) -> np.ndarray:
     return out
 
 
+def _by_feature(of: Leaves, parts: np.ndarray, features: int) -> np.ndarray:
+    """Parts (rows, leaves, m) added up to (rows, leaves, features); a feature is once on a path."""
+    out = np.zeros((*parts.shape[:2], features))
+    for i in range(parts.shape[2]):
+        out[:, np.arange(len(of.used)), of.feature[:, i]] += parts[..., i]
+    return out
+
+
+def by_pattern(of: Leaves, features: int) -> np.ndarray:
+    """What every leaf adds to each feature for every pattern of passed tests: (leaves x patterns, features); the first test
+    is the lowest bit of a pattern's number."""
+    m = of.feature.shape[1]
+    tests = (np.arange(1 << m)[:, None] >> np.arange(m) & 1).astype(bool)
+    parts = contributions(of, np.broadcast_to(tests[:, None], (1 << m, *of.feature.shape)))
+    return _by_feature(of, parts, features).transpose(1, 0, 2).reshape(-1, features)
+
+
 def _attribute(tables: Sequence[Leaves], x: np.ndarray) -> np.ndarray:
-    out = np.zeros(x.shape)
+    out, features = np.zeros(x.shape), x.shape[1]
     for of in tables:
-        parts = contributions(of, x).reshape(len(x), -1)
-        np.add.at(out.T, of.feature.ravel(), parts.T)
+        n, m = of.feature.shape
+        known = by_pattern(of, features) if 1 << m < len(x) and n << m <= HELD // m else None
+        step = max(1, HELD // (n * max(m, features)))
+        for at in range(0, len(x), step):
+            tests = tests_passed(of, x[at:at + step])
+            if known is None:
+                out[at:at + step] += _by_feature(of, contributions(of, tests), features).sum(axis=1)
+            else:
+                pattern = (tests << np.arange(m)).sum(axis=2)
+                out[at:at + step] += known[pattern + (np.arange(n) << m)].sum(axis=1)
     return out
 
 
@@ -130,15 +163,15 @@ def attributions(model: BoostedTrees, df: DataFrame, key: str = "customer_unique
     def attribute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             x = batch[names].to_numpy(dtype=float)
-            phi = [_attribute(tables, x[at:at + ROWS]) for at in range(0, len(x), ROWS)]
-            out = pd.DataFrame(np.concatenate(phi) if phi else x, columns=names)
+            out = pd.DataFrame(_attribute(tables, x), columns=names)
             out.insert(0, "base", base)
             out.insert(0, key, batch[key].to_numpy())
             yield out
 
     schema = f"`{key}` {df.schema[key].dataType.simpleString()}, base double, " + ", ".join(
         f"`{c}` double" for c in names)
-    return df.select(key, *[F.col(c).cast("double").alias(c) for c in names]).mapInPandas(attribute, schema)
+    values = df.select(key, *[F.col(c).cast("double").alias(c) for c in names])
+    return spread(values).mapInPandas(attribute, schema)
 
 
 def mean_attribution(contributions: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -118,6 +118,26 @@ def test_attributions_are_shapley_values(depth, features):
     assert np.allclose(found, [shapley(trees, row) for row in x], atol=1e-10)
 
 
+@pytest.mark.parametrize("depth, features", [(2, 3), (5, 6)])
+def test_polynomials_are_worked_out_once_per_pattern(depth, features, monkeypatch):
+    rng = np.random.default_rng(depth)
+    tables = [attribution.leaves(random_tree(rng, depth, features)) for _ in range(2)]
+    x = rng.normal(size=(300, features))
+    x[rng.random(x.shape) < .2] = np.nan
+    one_by_one = np.concatenate([attribution._attribute(tables, row[None]) for row in x])
+    made, plain = [], attribution.contributions
+    monkeypatch.setattr(attribution, "contributions", lambda of, tests: made.append(len(tests)) or plain(of, tests))
+    assert np.allclose(attribution._attribute(tables, x), one_by_one, atol=1e-12)
+    assert made == [2 ** of.feature.shape[1] for of in tables]
+    monkeypatch.setattr(attribution, "HELD", 100)
+    assert np.allclose(attribution._attribute(tables, x), one_by_one, atol=1e-12)
+
+
+def test_attributions_use_all_cores(spark, gbt):
+    model, test = gbt
+    assert attribution.attributions(model, test.coalesce(1)).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
 def test_attributions_of_deep_trees_add_up(spark):
     """Paths of a dozen features, which no table of all sets could hold for every leaf."""
     rng = np.random.default_rng(1)
