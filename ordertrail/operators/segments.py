@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import half_even, ratio
+from ..session import spread
 from . import kmeans
 from .rfm import RFM
 
@@ -43,7 +44,7 @@ def _kept(df: DataFrame) -> Iterator[DataFrame]:
 def _best_fits(df: DataFrame, columns: Sequence[str], ks: Sequence[int], n_init: int, max_iter: int, tol: float, seed: int,
                ) -> list[kmeans.Start]:
     """Per k the start of the smallest cost, of ``n_init``; all starts of all k settle in the same passes."""
-    with _kept(df.select(*columns)) as rows:
+    with _kept(spread(df.select(*columns))) as rows:
         starts = kmeans.starts_of(rows, columns, ks, n_init, seed)
         kmeans.settle(rows, columns, starts, max_iter, tol)
     return [kmeans.best_of(starts, k) for k in ks]
@@ -74,7 +75,7 @@ def k_sweep(df: DataFrame, columns: Sequence[str], k_range: Sequence[int] = rang
     """Inertia and silhouette (squared Euclidean distance) per number of clusters; one row each."""
     ks = list(k_range)
     fits = _best_fits(df, columns, ks, n_init, max_iter, tol, seed)
-    with _kept(df.select(*columns)) as rows:
+    with _kept(spread(df.select(*columns))) as rows:
         scores = [silhouette(nearest_center(rows, columns, fit.centers.tolist()), columns).select(
             F.lit(k).alias("k"), F.lit(fit.cost).alias("inertia"), "silhouette") for k, fit in zip(ks, fits)]
         found = reduce(DataFrame.unionByName, scores).collect()  # a row per k
