@@ -69,6 +69,30 @@ _CONTENTS = {name: re.findall(r"(\w+) (?:string|int|decimal)", ddl) for name, dd
 _SUMS = {"order_items": "price", "payments": "payment_value", "products": "product_length_cm", "reviews": "review_score"}
 
 
+def column_contents(df: DataFrame, summed: str | None = None) -> DataFrame:
+    """Per column the rows, its values, its different values, and of ``summed`` the sum as a double.
+
+    Values are counted as text, a short row per column and value: several distinct counts in one aggregation would make
+    every row as often as there are columns, each as wide as all of them. Columns are of text or exact numbers.
+    """
+    cells = F.array(*[F.struct(F.lit(i).alias("at"), F.col(c).cast("string").alias("value")) for i, c in enumerate(df.columns)])
+    value, n = F.col("value"), F.col("n")
+    counted = df.select(F.inline(cells)).groupBy("at", "value").agg(F.count("*").alias("n"))
+    number = value.try_cast(df.schema[summed].dataType) * n if summed else F.lit(None).cast("bigint")
+    total = F.sum(F.when(F.col("at") == df.columns.index(summed), number) if summed else number).cast("double")
+    columns = counted.groupBy("at").agg(F.sum("n").alias("rows"), F.sum(F.when(value.isNotNull(), n).otherwise(0)).alias("filled"),
+                                        F.count("value").alias("different"), total.alias("total"))
+    # a row per column; a table without rows has none
+    found = columns.agg(F.map_from_entries(F.collect_list(F.struct("at", F.struct("rows", "filled", "different", "total")))).alias("found"))
+
+    def of(i: int, what: str):
+        return F.try_element_at("found", F.lit(i))[what]
+
+    return found.select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column"), *[F.coalesce(of(i, x), F.lit(0)).alias(x) for x in ("rows", "filled", "different")],
+        of(i, "total").alias("total")) for i, c in enumerate(df.columns)])))
+
+
 @query("src_csv_all", " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, '{c}' AS \"column\", count(*) AS rows, count({c}) AS filled, "
     f"count(DISTINCT {c}) AS different, CAST({f'sum({c})' if _SUMS.get(name) == c else 'NULL'} AS DOUBLE) AS total "
@@ -77,14 +101,8 @@ def _(t: Tables):
     folder = scratch_path(t.spark, "csv")
     for name, raw in t.raw.items():
         write_csv(_as_text(raw.select(*[c for c in raw.columns if c in raw_schema(name).names])), f"{folder}/{name}.csv")
-    parts = []
-    for name, df in load_raw(t.spark, folder, multi_line=()).items():
-        counts = df.agg(F.count("*").alias("rows"), *[F.struct(
-            F.count(c).alias("filled"), F.countDistinct(c).alias("different"),
-            (F.sum(c) if _SUMS.get(name) == c else F.lit(None)).cast("double").alias("total")).alias(c) for c in df.columns])
-        parts.append(counts.select(F.lit(name).alias("table_name"), F.inline(F.array(*[F.struct(
-            F.lit(c).alias("column"), "rows", f"{c}.filled", f"{c}.different", f"{c}.total") for c in df.columns]))))
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, [column_contents(df, _SUMS.get(name)).select(F.lit(name).alias("table_name"), "*")
+                                          for name, df in load_raw(t.spark, folder, multi_line=()).items()])
 
 
 @query("src_parquet", "SELECT o_orderkey, o_custkey, o_orderdate FROM orders")

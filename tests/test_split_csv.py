@@ -1,10 +1,12 @@
 """CSV with line breaks in quotes: the same rows as the reader that takes one task per file, from many splits."""
 
 import random
+from decimal import Decimal
 
 import pytest
 from conftest import rows
 
+from ordertrail.plans.catalog_sources import column_contents
 from ordertrail.sources import read_csv
 from ordertrail.sources.split_csv import read_records, read_split_csv
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
@@ -68,3 +70,21 @@ def test_windows_line_ends_and_empty_files(spark, tmp_path):
 def test_lines_are_not_shuffled(spark, folder, small_splits):
     plan = read_records(spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_contents_are_counted_in_short_rows(spark):
+    """A cell takes part once, not in a row as wide as the table for every column; empty tables keep their lines."""
+    df = spark.createDataFrame([("a", 1, Decimal("0.10")), ("a", None, Decimal("0.10")), (None, 1, None), ("", 2, Decimal("7.00"))],
+                               "k string, n int, price decimal(10,2)")
+    found = column_contents(df, "price")
+    assert [tuple(r) for r in found.collect()] == [("k", 4, 3, 2, None), ("n", 4, 3, 2, None), ("price", 4, 3, 2, 7.2)]
+    assert "Expand" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in column_contents(df.where("false"), "n").collect()] == [(c, 0, 0, 0, None) for c in df.columns]
+    assert [tuple(r) for r in column_contents(df.select("n")).collect()] == [("n", 4, 3, 2, None)]
+
+
+def test_the_query_counts_contents_that_way(spark, folder):
+    from ordertrail.plans import registered
+
+    plan = registered()["src_csv_all"](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
