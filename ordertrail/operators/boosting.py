@@ -32,7 +32,7 @@ MISSING = -1
 #: what a lost task needs is a short chain.
 KEPT_EVERY = 25
 #: Rows in a block, rows in a task at most, and those that are worth a task of their own while cores are idle.
-BLOCK_ROWS, TASK_ROWS, LEAST_ROWS = 50_000, 500_000, 10_000
+BLOCK_ROWS, TASK_ROWS, LEAST_ROWS = 50_000, 500_000, 50_000
 #: Nodes whose sums a task adds up.
 NODES = 4
 
@@ -324,7 +324,9 @@ def fit(train: DataFrame, columns: Sequence[str], label: str, rounds: int = 300,
             return node, best_splits([node], sums[:, None], cuts, penalty)[node]
 
         # a node of a task is one array, and a few numbers per node come back
-        sums = rows.mapPartitions(add).reduceByKey(np.add, min(tasks, -(-2 ** level // NODES)))
+        sums = rows.mapPartitions(add)
+        if tasks > 1:
+            sums = sums.reduceByKey(np.add, min(tasks, -(-2 ** level // NODES)))
         return dict(sorted(sums.map(split).collect()))
 
     blocks = packed.repartition(tasks).rdd.mapPartitions(ready).persist(StorageLevel.MEMORY_AND_DISK)

