@@ -17,6 +17,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,22 +28,26 @@ from ..session import ship_package, stored
 from .arrow import Sender, arrow_schema, fields, given_name, map_batches, unused
 from .bpe import AT_ONCE, BYTES, byte_alphabet, parts
 
-#: Words remembered per Python worker, and the longest one that is worth it; limits memory, not results.
+#: Pieces and words remembered per Python worker, and the longest one that is worth it; limits memory, not results.
 REMEMBERED, WORTH = 150_000, 48
+#: Bytes of texts whose words are told apart at once; limits memory, not results.
+TOGETHER = 2 << 20
 MARKS = frozenset(b".,;:!?")
-#: Words that normalising and pre-tokenising leave as they are: lower-case Latin letters.
-PLAIN = re.compile("[a-zß-öø-ÿ]+")
+#: Words of which normalising changes nothing but upper case: printable ASCII and Latin letters.
+LATIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+#: The pre-tokenizer's pattern for such a word in lower case.
+LATIN_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 ENTRIES = 4  # bytes of an id
 #: Columns of a piece; a key that is named like one is called ``<name>_given``.
 PIECE = ("piece", "start", "length", "ids", "task", "number", "sequence_id", "offset", "first", "place")
 
 
 class WordIds(dict):
-    """Ids of single words, lower-cased in ASCII, by the ``tokenizers`` library.
+    """Ids of texts by the ``tokenizers`` library; remembers those of pieces of Latin words in lower case, and of other words.
 
     The tokenizer drops white space before it splits a text into pieces, so the ids of a text are those of its
-    words, and a mark after what are letters once normalised is a piece of its own. Words of plain letters go straight to the tokenizer's
-    model, which is several times faster than the normaliser and pre-tokenizer that would not change them.
+    words, and each different word of some texts is looked at once. Pieces of Latin words go straight to the
+    tokenizer's model, which is several times faster than its normaliser and pre-tokenizer.
     """
 
     def __init__(self, path: str):
@@ -54,46 +59,72 @@ class WordIds(dict):
         shown = {b: c for c, b in byte_alphabet().items()}
         self.alphabet = "".join(shown[b] for b in range(BYTES))
 
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.before.get(word)
-        if ids is None and word.isalpha() and word.islower():  # ASCII letters, of which the alphabet changes none
-            ids = array("I", [token.id for token in self.model.tokenize(word.decode("ascii"))]).tobytes()
-        elif ids is None and word[-1] in MARKS and word[:-1].isalpha():
-            ids = self[word[:-1]] + self[word[-1:]]
-        elif ids is None:
-            text = word.decode()
-            # normalising can turn a letter into one and a combining character, which joins the mark after it
-            if word[-1] in MARKS and (PLAIN.fullmatch(text, 0, len(text) - 1) or self._letters(text[:-1])):
-                ids = self[word[:-1]] + self[word[-1:]]
-            elif PLAIN.fullmatch(text):
-                tokens = self.model.tokenize(word.decode("latin-1").translate(self.alphabet))
-                ids = array("I", [token.id for token in tokens]).tobytes()
-            else:
-                ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        if len(word) <= WORTH:
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.before.get(piece)
+        if ids is None:
+            # printable ASCII stands for itself
+            shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.alphabet)
+            ids = array("I", [token.id for token in self.model.tokenize(shown)]).tobytes()
+        return self._remember(piece, ids)
+
+    def _remember(self, said: str, ids: bytes) -> bytes:
+        if len(said) <= WORTH:
             if len(self) >= REMEMBERED:
                 self.before = dict(self)
                 self.clear()
-            self[word] = ids
+            self[said] = ids
         return ids
 
     def forget(self) -> None:
-        """Let go of all words: a worker lives on after its task, and so would they."""
+        """Let go of all pieces: a worker lives on after its task, and so would they."""
         self.clear()
         self.before = {}
+        pa.default_memory_pool().release_unused()
+
+    def word(self, word: str) -> bytes:
+        plain = word.isascii()
+        if plain and word.isalpha():
+            return self[word.lower()]
+        if (plain and word.isprintable() or LATIN.fullmatch(word)) and "<|" not in word:  # no special token
+            return b"".join(map(self.__getitem__, LATIN_PIECES.findall(word.lower())))
+        return self._remember(word, self.get(word) or self.before.get(word) or self._other(word))
+
+    def _other(self, word: str) -> bytes:
+        # normalising can turn a letter into one and a combining character, which joins the mark after it
+        if ord(word[-1]) in MARKS and self._letters(word[:-1]):
+            return self.word(word[:-1]) + self[word[-1]]
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def _letters(self, text: str) -> bool:
         return text.isalpha() and self.tokenizer.normalizer.normalize_str(text).isalpha()
 
+    def _together(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text; its words go by their own spelling."""
+        words = pc.ascii_split_whitespace(texts)
+        borders, told = words.offsets, words.flatten().dictionary_encode()
+        del words
+        different = told.dictionary.to_numpy(zero_copy_only=False)  # several times faster than to_pylist
+        known = pa.array(map(self.word, different), pa.binary())
+        return pc.binary_join(pa.ListArray.from_arrays(borders, known.take(told.indices)), b"").to_pylist()
+
     def encode(self, text: str) -> bytes:
         """Token ids as little-endian unsigned 32-bit integers."""
-        spelled = text.encode()
-        lowered = spelled.lower()
-        if len(lowered) <= AT_ONCE and b"<|" not in lowered:
-            return b"".join(map(self.__getitem__, lowered.split()))
         # a special token is written in lower case; upper case does not make one
-        said = text if b"<|" in lowered else lowered.decode()
-        return b"".join([b"".join(map(self.__getitem__, part.encode().split())) for part in parts(said)])
+        said = text if "<|" in text else text.encode().lower().decode()
+        return b"".join([self._together(pa.array([part]))[0] for part in parts(said)])
+
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """What ``encode`` returns for each text, a null one counting as empty. Texts that are long or may hold special
+        tokens are encoded by themselves."""
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(), dtype=np.int64)
+        borders = (np.flatnonzero(np.diff(ends // TOGETHER)) + 1).tolist()
+        for first, last in zip([0, *borders], [*borders, len(texts)]):
+            some = pc.fill_null(texts[first:last], "")
+            alone = pc.or_(pc.greater(pc.binary_length(some), AT_ONCE), pc.match_substring(some, "<|"))
+            ids = self._together(pc.ascii_lower(pc.if_else(alone, "", some)))
+            for at in np.flatnonzero(alone).tolist():
+                ids[at] = self.encode(some[at].as_py())
+            yield from ids
 
 
 @lru_cache(maxsize=2)
@@ -119,8 +150,8 @@ def pieces(df: DataFrame, path: str, capacity: int, end_id: int, key: str = "doc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, out, seen, task = word_ids(path), Sender(schema), Counter(), TaskContext.get().partitionId()
         for batch in batches:
-            for name, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = known.encode(value.as_py() or "") + end
+            for name, coded in zip(batch.column(0).to_pylist(), known.encode_all(batch.column(1))):
+                ids = coded + end
                 for piece, first in enumerate(range(0, len(ids), step)):
                     part = ids[first:first + step]
                     length = len(part) // ENTRIES

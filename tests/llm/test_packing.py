@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -46,6 +47,38 @@ def test_every_letter_before_every_mark(library):
         assert np.frombuffer(known.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_a_word_of_many_texts_is_looked_at_once(library, monkeypatch):
+    rnd = random.Random(5)
+    words = ["the", "The", "Été,", "don't", '"we\'ll"', "x%%%,", "0a1f3c9e", "ÀÉß!", "\x1fa", "ª", "Ёлка.", "你好", "e\u0301.", "µm", "''s"]
+    words += ["".join(rnd.choice("abeoéüÀß'\"%.,!7") for _ in range(rnd.randint(1, 9))) for _ in range(300)]
+    texts = [rnd.choice([" ", "\n", " \t"]).join(rnd.choices(words, k=40)) for _ in range(400)]
+    texts += ["", None, " ", "a <|endoftext|>B <|STARTOFTEXT|>", "long Été, " * 90]
+    rnd.shuffle(texts)
+    monkeypatch.setattr(packing, "AT_ONCE", 700)
+    expected = [np.array(c.ids, "<u4").tobytes() for c in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    for together in (1, 3000, 1 << 20):
+        monkeypatch.setattr(packing, "TOGETHER", together)
+        for kind in (pa.string(), pa.large_string()):
+            assert list(packing.WordIds(PATH).encode_all(pa.array([None, *texts], kind)[1:])) == expected
+    looked, known = Counter(), packing.WordIds(PATH)
+    word = known.word
+    monkeypatch.setattr(known, "word", lambda said: looked.update([said]) or word(said))
+    known.encode_all(pa.array(["cat Dog cat", "dog cat"] * 50)).__next__()
+    assert looked == {"cat": 1, "dog": 1}
+    assert list(known.encode_all(pa.array([], pa.string()))) == []
+
+
+def test_pieces_do_not_pile_up(library, monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 20)
+    known, texts = packing.WordIds(PATH), [f"w{'abcdefghij'[n % 10] * (n // 10 + 1)} ё{n}" for n in range(200)]
+    first = list(known.encode_all(pa.array(texts)))
+    assert len(known) <= 20 and len(known.before) <= 20
+    coded = library.encode_batch(texts, add_special_tokens=False)
+    assert first == [np.array(c.ids, "<u4").tobytes() for c in coded]
+    known.forget()
+    assert not known and not known.before
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_patterns_use_every_piece_once(seed):
     rnd = random.Random(seed)
